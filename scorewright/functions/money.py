@@ -60,4 +60,4 @@ def retry_waits(retries, delay=rules.RETRY_DELAY_S) -> Column:
     r = _c(retries) if not isinstance(retries, int) else F.lit(retries)
     d = _c(delay) if not isinstance(delay, (int, float)) else F.lit(delay)
     return F.when(r <= 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), r - 1), lambda k: (d * F.shiftleft(F.lit(1).cast("bigint"), k)).cast("bigint")))
+        F.transform(F.sequence(F.lit(0), r - 1), lambda k: (d * F.pow(F.lit(2), k)).cast("bigint")))
