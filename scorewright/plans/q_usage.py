@@ -110,7 +110,7 @@ def q_model_type(spark, sf_dir):
 
 @query("retry_schedule", with_sql(("fx_usage",), [], "SELECT submission, req, least(req - 1, 3) AS retries, "
                                   "CAST(least(req, 4) AS INTEGER) AS attempts, req - 1 > 3 AS exhausted, "
-                                  "array_to_string(list_transform(range(0, least(req - 1, 3)), k -> CAST(5 * (1 << k) AS BIGINT)), ',') AS waits, "
+                                  "array_to_string(list_transform(range(0, least(req - 1, 3)), lambda k: CAST(5 * (1 << k) AS BIGINT)), ',') AS waits, "
                                   "CAST(5 * ((1 << least(req - 1, 3)) - 1) AS BIGINT) AS total_wait_s FROM fx_usage"))
 def q_retry_schedule(spark, sf_dir):
     u = fx(spark, sf_dir, "fx_usage")
