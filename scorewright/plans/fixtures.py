@@ -73,7 +73,7 @@ def _pts(x: str) -> str:
 
 
 _NL = "chr(10)"
-_EX = "CONCAT('Exercise ', CAST(l_orderkey % 9 + 1 AS VARCHAR(20)), '.', CAST(l_linenumber AS VARCHAR(20)))"
+_EX = "CONCAT('Exercise ', CAST(l_linenumber AS VARCHAR(20)), '.', CAST(l_partkey AS VARCHAR(20)))"
 _Q = "CAST(floor(l_quantity) AS BIGINT)"
 _LETTERS = ", ".join(f"{_NL}, '{c}) 1 point'" for c in "abcdefghi")
 
@@ -102,7 +102,7 @@ FROM ({HINT_BLOCKS}) b GROUP BY assignment_id
 FX_HINTS_DUCKDB = f"""
 SELECT * FROM ({FX_HINTS_FIXED}) f
 UNION ALL
-SELECT assignment_id, string_agg(block, chr(10) ORDER BY n) AS hint
+SELECT assignment_id, string_agg(block, chr(10) ORDER BY n, block) AS hint
 FROM ({HINT_BLOCKS}) b GROUP BY assignment_id
 """
 
