@@ -72,3 +72,74 @@ def rubric_totals(rubric: DataFrame, key: str = "assignment_id") -> DataFrame:
     """Exercise total = sum of its gradable units."""
     return rubric.groupBy(key, "exercise").agg(F.sum("points").alias("total_points"),
                                                F.count(F.lit(1)).alias("n_units"))
+
+
+# ---- T9 / T10: model-solution markdown ------------------------------------
+MD_EXERCISE_RE = r"^\s*##\s*Exercise\s+(\S+)\s*\((.*)\)\.\s*\(Total:\s*(\d+(?:\.\d+)?)\s*points?\)\s*$"
+MD_UNIT_RE = r"^\s*\(([A-Za-z]+)\)\s*(.*?)\s*\[(\d+(?:\.\d+)?)\s*points?\]\s*$"
+MD_CONTAINER_RE = r"^\s*\(([A-Za-z]+)\)\s*(.*)$"
+MD_SOLUTION_RE = r"^\s*\*\*Solution\.\*\*\s*$"
+
+
+def parse_solution_units(md: DataFrame, key: str = "assignment_id", text_col: str = "markdown") -> DataFrame:
+    """solution_units (key, exercise, title, header_total, part, sub,
+    prompt, points, solution_text) from markdown in the solution grammar.
+
+    Roman units are parts (they close an open container); letter units are
+    sub-parts of the open container.  A sole '(i)' unit of an exercise
+    without containers is the exercise itself (part null)."""
+    lines = hint_lines(md, key, text_col)
+    df = (lines.withColumn("ex_id", F.nullif(F.regexp_extract("line", MD_EXERCISE_RE, 1), F.lit("")))
+          .withColumn("unit_id", F.when(F.col("ex_id").isNull(), F.nullif(F.lower(F.regexp_extract("line", MD_UNIT_RE, 1)), F.lit(""))))
+          .withColumn("cont_id", F.when(F.col("ex_id").isNull() & F.col("unit_id").isNull(),
+                                        F.nullif(F.lower(F.regexp_extract("line", MD_CONTAINER_RE, 1)), F.lit("")))))
+    w = Window.partitionBy(key).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    df = (df.withColumn("exercise", F.last(F.when(F.col("ex_id").isNotNull(), F.concat(F.lit("Exercise "), F.col("ex_id"))),
+                                           ignorenulls=True).over(w))
+          .withColumn("unit_ord", F.last(F.when(F.col("unit_id").isNotNull() | F.col("cont_id").isNotNull()
+                                                | F.col("ex_id").isNotNull(), F.col("ord")), ignorenulls=True).over(w)))
+    we = Window.partitionBy(key, "exercise").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    roman_unit = F.col("unit_id").rlike(ROMAN_RE)
+    df = df.withColumn("open_container", F.last(
+        F.when(F.col("cont_id").isNotNull(), F.col("cont_id")).when(F.col("unit_id").isNotNull() & roman_unit, F.lit("")),
+        ignorenulls=True).over(we))
+    headers = df.filter(F.col("ex_id").isNotNull()).select(
+        key, "exercise", F.regexp_extract("line", MD_EXERCISE_RE, 2).alias("title"),
+        F.regexp_extract("line", MD_EXERCISE_RE, 3).cast("double").alias("header_total"))
+    units = df.filter(F.col("unit_id").isNotNull()).select(
+        key, "exercise", "ord", "unit_id",
+        F.when(roman_unit | (F.coalesce(F.col("open_container"), F.lit("")) == ""), F.col("unit_id"))
+        .otherwise(F.col("open_container")).alias("part"),
+        F.when(~roman_unit & (F.coalesce(F.col("open_container"), F.lit("")) != ""), F.col("unit_id")).alias("sub"),
+        F.regexp_extract("line", MD_UNIT_RE, 2).alias("prompt"),
+        F.regexp_extract("line", MD_UNIT_RE, 3).cast("double").alias("points"))
+    body = (df.filter(F.col("ex_id").isNull() & F.col("unit_id").isNull() & F.col("cont_id").isNull()
+                      & ~F.col("line").rlike(MD_SOLUTION_RE))
+            .groupBy(key, "unit_ord")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))), lambda x: x["line"]),
+                              "\n").alias("solution_text")))
+    units = units.join(body, (units[key] == body[key]) & (units["ord"] == body["unit_ord"]), "left") \
+        .drop(body[key]).drop("unit_ord")
+    sole = units.groupBy(key, "exercise").agg(F.count(F.lit(1)).alias("n_units"),
+                                              F.count_if(F.col("sub").isNotNull()).alias("n_subs"))
+    units = units.join(sole, [key, "exercise"]).withColumn(
+        "part", F.when((F.col("n_units") == 1) & (F.col("n_subs") == 0) & (F.col("part") == "i"), F.lit(None))
+        .otherwise(F.col("part"))).drop("n_units", "n_subs", "unit_id")
+    return units.join(headers, [key, "exercise"], "left")
+
+
+def validate_solution(units: DataFrame, rubric: DataFrame, key: str = "assignment_id") -> DataFrame:
+    """Per exercise, header total = sum of unit points, and unit points
+    equal the rubric's (null-safe join on exercise, part, sub)."""
+    u = units.alias("u")
+    r = rubric.alias("r")
+    cond = ((F.col("u." + key) == F.col("r." + key)) & (F.col("u.exercise") == F.col("r.exercise"))
+            & F.col("u.part").eqNullSafe(F.col("r.part")) & F.col("u.sub").eqNullSafe(F.col("r.sub")))
+    j = u.join(r, cond, "left").select(F.col("u." + key).alias(key), F.col("u.exercise").alias("exercise"),
+                                       F.col("u.points").alias("points"), F.col("u.header_total").alias("header_total"),
+                                       F.col("r.points").alias("rubric_points"))
+    return j.groupBy(key, "exercise").agg(
+        F.first("header_total").alias("header_total"), F.sum("points").alias("unit_points"),
+        F.count_if(F.col("rubric_points").isNull()).alias("units_not_in_rubric"),
+        F.count_if(F.col("rubric_points").isNotNull() & (F.col("rubric_points") != F.col("points"))).alias("points_mismatch")) \
+        .withColumn("total_ok", F.abs(F.col("header_total") - F.col("unit_points")) < 1e-9)

@@ -1 +1,180 @@
-"""(filled in below)"""
+"""Request building, model calls, documents, archives, pipelines, streaming
+(T11, T12, T14, S8, S9, I1, I5, I6, T9, T10, X1)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from .. import rules
+from ..functions import prompts as PR
+from ..functions import text as X
+from ..operators import enrich as E
+from ..operators import files as FO
+from ..operators import rubric as RB
+from ..session import shared_dir
+from ..sources.archives import expand_archives
+from ..sources.documents import extract_document_text
+from . import grading as GR
+from . import preprocess as PP
+from . import sqlgen as G
+from .fixtures import FX_FILES
+from .q_files import PRE_FX, PRE_STEPS
+from .registry import fx, query, table, with_sql
+
+
+def _offline():
+    return E.OfflineClient("offline-pro")
+
+
+# ---- T11 ------------------------------------------------------------------------
+_CTX_SQL = (
+    "SELECT o.submission, '\nSubmission Structure Information:\n- Submission Name: ' || o.submission || "
+    "'\n- Total Original Files: ' || coalesce(CAST(i.total_original_files AS VARCHAR), 'Unknown') || "
+    "'\n- Textual Files: ' || coalesce(CAST(i.textual_outputs AS VARCHAR), 'Unknown') || "
+    "'\n- Visual Files: ' || coalesce(CAST(i.visual_outputs AS VARCHAR), 'Unknown') || "
+    "'\n\nThe following files have been uploaded for analysis:\n' || "
+    "CASE WHEN i.submission IS NULL THEN '' ELSE '\nTextual files:\n' || coalesce(t.l, '') || '\nVisual files:\n' || coalesce(v.l, '') END AS context "
+    "FROM outcome o LEFT JOIN info i ON i.submission = o.submission "
+    "LEFT JOIN (SELECT submission, string_agg('- ' || output_path || chr(10), '' ORDER BY output_path) AS l FROM outputs WHERE channel = 'textual' GROUP BY 1) t ON t.submission = o.submission "
+    "LEFT JOIN (SELECT submission, string_agg('- ' || output_path || chr(10), '' ORDER BY output_path) AS l FROM outputs WHERE channel = 'visual' GROUP BY 1) v ON v.submission = o.submission")
+
+
+@query("build_context", with_sql(PRE_FX, PRE_STEPS, _CTX_SQL))
+def q_build_context(spark, sf_dir):
+    pp = PP.preprocess(fx(spark, sf_dir, "fx_files"), fx(spark, sf_dir, "fx_failures"))
+    info = PP.preprocess_info(pp)
+    lists = pp.outputs.groupBy("submission").agg(
+        F.array_sort(F.collect_list(F.when(F.col("channel") == "textual", F.col("output_path")))).alias("tf"),
+        F.array_sort(F.collect_list(F.when(F.col("channel") == "visual", F.col("output_path")))).alias("vf"))
+    j = pp.submissions.join(info, "submission", "left").join(lists, "submission", "left")
+    has = F.col("total_original_files").isNotNull()
+    return j.select("submission", PR.build_context(
+        F.col("submission"), "total_original_files", "textual_outputs", "visual_outputs",
+        F.when(has, F.coalesce("tf", F.array().cast("array<string>"))),
+        F.when(has, F.coalesce("vf", F.array().cast("array<string>")))).alias("context"))
+
+
+# ---- T12, T14 over conversations ---------------------------------------------------
+_HINT1 = "(SELECT hint FROM fx_hints WHERE assignment_id = '1')"
+
+
+@query("build_grade_request", with_sql(("fx_hints",), [],
+       "SELECT u.conv_id, u.turn, replace(" + G.q(PR.GRADING_INSTRUCTION) + ", '{structural_hint}', " + _HINT1 + ") || "
+       + G.q(PR.MODEL_SOLUTION_HEADER) + " || a.text || " + G.q(PR.STUDENT_SUBMISSION_HEADER) + " || u.text AS request "
+       "FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 "
+       "WHERE u.role = 'user' AND a.role = 'assistant'"))
+def q_build_grade_request(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("submission"))
+    a = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("solution"))
+    hint = fx(spark, sf_dir, "fx_hints").filter(F.col("assignment_id") == "1").select("hint").limit(1)
+    # the one hint of the assignment: a single-row broadcast side
+    j = u.join(a, ["conv_id", "turn"]).withColumn("assignment_id", F.lit("1")).join(
+        F.broadcast(hint.withColumn("assignment_id", F.lit("1"))), "assignment_id").drop("assignment_id")
+    return j.select("conv_id", "turn", PR.build_grade_request(F.col("hint"), F.col("solution"), F.col("submission")).alias("request"))
+
+
+@query("empty_reply", f"SELECT conv_id, turn, CASE WHEN {G.collapse('coalesce(text, ' + chr(39) + chr(39) + ')')} = '' THEN "
+                      f"{G.q(rules.EMPTY_REPLY_MARKER)} ELSE text END AS reply, "
+                      f"{G.collapse('coalesce(text, ' + chr(39) + chr(39) + ')')} = '' AS is_error FROM conversations WHERE role = 'assistant'")
+def q_empty_reply(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    return c.select("conv_id", "turn", PR.empty_reply(F.col("text")).alias("reply"), PR.is_empty_reply(F.col("text")).alias("is_error"))
+
+
+# ---- S9 html (native), S9 others and S8 (Python) ------------------------------------
+def _html_sql(col):
+    out = col
+    for pattern, repl in X.HTML_REWRITES:
+        out = f"regexp_replace({out}, {G.q(pattern)}, {G.q(repl)}, 'g')"
+    return G.collapse(out)
+
+
+@query("extract_html_text", f"SELECT page_id, {_html_sql('html')} AS text FROM pages")
+def q_extract_html_text(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", X.html_to_text(F.col("html")).alias("text"))
+
+
+@query("extract_document_text")
+def q_extract_document_text(spark, sf_dir):
+    f = FO.classify_files(fx(spark, sf_dir, "fx_files"))
+    docs = f.filter((F.col("category") == "mixed") & (F.col("ext") != ".pdf"))
+    return extract_document_text(docs.select("path", "name", "content"))
+
+
+@query("expand_archives")
+def q_expand_archives(spark, sf_dir):
+    f = FO.classify_files(fx(spark, sf_dir, "fx_files"))
+    return expand_archives(f.filter(F.col("category") == "archive")).drop("content")
+
+
+# ---- I1, I5, I6 with the offline client ---------------------------------------------
+@query("invoke_model")
+def q_invoke_model(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    req = c.select("conv_id", "turn", F.lit("parsing").alias("stage"),
+                   F.concat(F.lit(PR.PARSE_INSTRUCTION), F.lit("\n\n"), F.col("text")).alias("request"))
+    return E.persist_responses(E.invoke_model(req, _offline))
+
+
+def _conv_submissions(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    # one conversation = one submission; its turns are few, so the collect is bounded
+    return c.groupBy(F.col("conv_id").alias("submission")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n").alias("text")) \
+        .withColumn("assignment_id", F.lit("1"))
+
+
+@query("grade_pipeline")
+def q_grade_pipeline(spark, sf_dir):
+    subs = _conv_submissions(spark, sf_dir)
+    sol = fx(spark, sf_dir, "fx_hints").select("assignment_id", "hint", F.col("hint").alias("solution"))
+    out = GR.grade_pipeline(subs, sol, _offline)
+    cost = out["usage"].groupBy("submission").agg(F.sum("cost_usd").alias("cost_usd"))
+    nsc = out["scores"].groupBy("submission").agg(F.count(F.lit(1)).alias("n_scores"))
+    return out["status"].select("submission", "parsing", "grading", "json_status").join(nsc, "submission", "left") \
+        .join(cost, "submission", "left")
+
+
+def _solutions(spark, sf_dir):
+    h = fx(spark, sf_dir, "fx_hints")
+    return h.select("assignment_id", "hint", F.concat(F.lit("Solutions for "), F.col("assignment_id")).alias("solution_text"))
+
+
+@query("solution_pipeline")
+def q_solution_pipeline(spark, sf_dir):
+    out = GR.solution_pipeline(_solutions(spark, sf_dir), _offline)
+    return out["checks"]
+
+
+@query("parse_solution_units")
+def q_parse_solution_units(spark, sf_dir):
+    out = GR.solution_pipeline(_solutions(spark, sf_dir), _offline)
+    return out["units"]
+
+
+@query("validate_solution")
+def q_validate_solution(spark, sf_dir):
+    out = GR.solution_pipeline(_solutions(spark, sf_dir), _offline)
+    return out["checks"].groupBy("total_ok").agg(F.count(F.lit(1)).alias("exercises"),
+                                                 F.sum("points_mismatch").alias("points_mismatch"),
+                                                 F.sum("units_not_in_rubric").alias("units_not_in_rubric"))
+
+
+# ---- X1 -------------------------------------------------------------------------------
+@query("stream_intake")
+def q_stream_intake(spark, sf_dir):
+    from ..streaming.intake import stream_intake
+    run = shared_dir(spark, f"stream_intake/{uuid.uuid4().hex}")
+
+    def to_files(docs):
+        docs.createOrReplaceTempView("documents_stream")
+        return docs.sparkSession.sql(FX_FILES.replace("FROM documents) d", "FROM documents_stream) d"))
+
+    # a glob, so the file source treats the one table file as a listing
+    q = stream_intake(spark, f"{sf_dir.rstrip('/')}/documents.parque[t]", f"{run}/ledger", f"{run}/checkpoint", to_files)
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/ledger").drop("batch_id")
