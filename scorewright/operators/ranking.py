@@ -22,8 +22,13 @@ def rank_within(df: DataFrame, keys: list[str], order: list[str], name: str = "r
 
     ``order`` must be unique within a key (ties are broken arbitrarily)."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_key_rows).select(*keys)
-    # hot keys number at most rows / hot_key_rows: a small side by construction
+    # Hot keys number at most rows / hot_key_rows: a bounded list, so it is
+    # fetched to decide the plan and broadcast back as a small side.
+    hot_rows = sizes.filter(F.col("__n") > hot_key_rows).select(*keys).collect()
+    w = Window.partitionBy(*keys).orderBy(*order)
+    if not hot_rows:
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    hot = df.sparkSession.createDataFrame(hot_rows, sizes.select(*keys).schema)
     tagged = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
     cold = tagged.filter(F.col("__hot").isNull()).drop("__hot")
     warm = tagged.filter(F.col("__hot")).drop("__hot")

@@ -43,23 +43,35 @@ def parse_structure_hint(hints: DataFrame, key: str = "assignment_id", text_col:
           .withColumn("pts", F.when(F.col("ex_id").isNotNull(), _pts(F.regexp_extract("line", EXERCISE_RE, 2)))
                       .when(F.col("marker").isNotNull(), _pts(F.regexp_extract("line", MARKER_RE, 2)))
                       .when(F.col("bare"), F.regexp_extract("line", BARE_POINTS_RE, 1).cast("double"))))
-    w_hint = Window.partitionBy(key).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("exercise", F.last(F.when(F.col("ex_id").isNotNull(),
-                                                 F.concat(F.lit("Exercise "), F.col("ex_id"))), ignorenulls=True).over(w_hint))
-    w_ex_before = Window.partitionBy(key, "exercise").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    # Every window shares (hint, line order): one shuffle and one sort.
+    # Per-exercise state is carried by a '#' sentinel on header lines.
+    base = Window.partitionBy(key).orderBy("ord")
+    upto = base.rowsBetween(Window.unboundedPreceding, 0)
+    before = base.rowsBetween(Window.unboundedPreceding, -1)
+    after = base.rowsBetween(1, Window.unboundedFollowing)
+    rest = base.rowsBetween(0, Window.unboundedFollowing)
+    header = F.col("ex_id").isNotNull()
+    df = df.withColumn("exercise", F.last(F.when(header, F.concat(F.lit("Exercise "), F.col("ex_id"))),
+                                          ignorenulls=True).over(upto))
     pred = (F.when(F.col("marker") == "i", "h").when(F.col("marker") == "v", "u").when(F.col("marker") == "x", "w"))
-    df = df.withColumn("prev_marker", F.last("marker", ignorenulls=True).over(w_ex_before))
+    df = df.withColumn("prev_marker", F.last(F.when(header, F.lit("#")).otherwise(F.col("marker")),
+                                             ignorenulls=True).over(before))
     roman = F.col("marker").rlike(ROMAN_RE) & ~F.coalesce(F.col("prev_marker") == pred, F.lit(False))
     df = df.withColumn("is_roman", F.col("marker").isNotNull() & roman)
-    w_ex = Window.partitionBy(key, "exercise").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("cur_part", F.last(F.when(F.col("is_roman"), F.col("marker")), ignorenulls=True).over(w_ex))
-    df = df.withColumn("level", F.when(F.col("ex_id").isNotNull() | F.col("bare"), "exercise")
+    df = df.withColumn("cur_part", F.nullif(F.last(F.when(header, F.lit("#")).when(F.col("is_roman"), F.col("marker")),
+                                                   ignorenulls=True).over(upto), F.lit("#")))
+    df = df.withColumn("level", F.when(header | F.col("bare"), "exercise")
                        .when(F.col("is_roman") | (F.col("marker").isNotNull() & F.col("cur_part").isNull()), "part")
                        .when(F.col("marker").isNotNull(), "sub"))
     df = df.withColumn("part", F.when(F.col("level") == "part", F.col("marker"))
                        .when(F.col("level") == "sub", F.col("cur_part")))
-    w_part = Window.partitionBy(key, "exercise", "part")
-    df = df.withColumn("pointed_children", F.count_if((F.col("level") == "sub") & F.col("pts").isNotNull()).over(w_part))
+    # pointed sub-parts of a part = running count at the next part/exercise
+    # line (or the end) minus the running count at the part line
+    boundary = F.col("level").isin("part", "exercise")
+    df = df.withColumn("__c", F.sum(F.when((F.col("level") == "sub") & F.col("pts").isNotNull(), 1).otherwise(0)).over(upto))
+    df = df.withColumn("__c_next", F.coalesce(F.first(F.when(boundary, F.col("__c") - F.lit(0)), ignorenulls=True).over(after),
+                                              F.last("__c").over(rest)))
+    df = df.withColumn("pointed_children", F.col("__c_next") - F.col("__c"))
     unit = F.col("pts").isNotNull() & ((F.col("level") != "part") | (F.col("pointed_children") == 0))
     return df.filter(unit).select(
         key, "ord", "exercise",

@@ -11,26 +11,29 @@ NUMERIC_VARIANT = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$"
 
 def parse_replies(replies: DataFrame, report_col: str = "report") -> DataFrame:
     """T5 + T6: add json_str (last fenced block), json_status, v (VARIANT)."""
-    out = replies.withColumn("json_str", S.extract_last_json(F.col(report_col)))
-    return out.withColumn("json_status", S.json_status(F.col("json_str"))) \
+    out = replies.withColumn("json_str", S.extract_last_json(F.col(report_col))) \
         .withColumn("v", F.try_parse_json(F.col("json_str")))
+    return out.withColumn("json_status", F.when(F.col("json_str").isNull(), "no_json")
+                          .when(F.col("v").isNull(), "parse_error").otherwise("ok"))
 
 
 def flatten_scores(parsed: DataFrame, key: str = "submission", variant_col: str = "v") -> DataFrame:
     """(key, exercise, part, sub, points) for every numeric leaf at depth
     1-3 of an object tree; top-level 'total' and non-numeric leaves dropped.
 
-    Lateral VARIANT explodes: one pass, no shuffle, no fixed schema."""
+    Lateral VARIANT explodes: one pass, no shuffle, no fixed schema.  Only
+    objects have keys (an array explodes with null keys, a scalar into
+    nothing), so the object test is a filter on the generator output, which
+    Catalyst cannot push below the parse and evaluate twice."""
     spark = parsed.sparkSession
     src = parsed.select(F.col(key).alias("k"), F.col(variant_col).alias("v"))
     sql = (
         "SELECT r.k, e.key AS exercise, p.key AS part, s.key AS sub, "
         "try_variant_get(coalesce(s.value, p.value, e.value), '$', 'double') AS points "
-        "FROM (SELECT k, v FROM {src} WHERE schema_of_variant(v) LIKE 'OBJECT%') r, "
-        "LATERAL variant_explode(r.v) e "
+        "FROM {src} r, LATERAL variant_explode(r.v) e "
         "LEFT JOIN LATERAL variant_explode_outer(e.value) p "
         "LEFT JOIN LATERAL variant_explode_outer(p.value) s "
-        "WHERE e.key <> 'total' AND schema_of_variant(coalesce(s.value, p.value, e.value)) RLIKE '"
+        "WHERE e.key IS NOT NULL AND e.key <> 'total' AND schema_of_variant(coalesce(s.value, p.value, e.value)) RLIKE '"
         + NUMERIC_VARIANT + "'")
     return spark.sql(sql, src=src).withColumnRenamed("k", key)
 

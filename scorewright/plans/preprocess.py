@@ -21,7 +21,7 @@ from ..functions import text as X
 from ..operators import files as FO
 from ..operators import reports as R
 from ..operators.ranking import DEFAULT_HOT_KEY_ROWS
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources.archives import expand_archives
 
 
@@ -67,7 +67,7 @@ def preprocess(files: DataFrame, failures: DataFrame | None = None, max_depth: i
         # once, cut the lineage into the shared checkpoint folder (survives
         # executor loss), and keep content only where a later step reads it.
         keep = (F.col("category") == "archive") | ((F.col("category") == "mixed") & (F.col("ext") == ".pdf"))
-        classified = classified.withColumn("content", F.when(keep, F.col("content"))).checkpoint(eager=True)
+        classified = materialize(classified.withColumn("content", F.when(keep, F.col("content"))), "classified")
     proc = classified.filter("should_process")
 
     top = proc.filter(F.col("category") != "archive").withColumn("text", _as_text(proc)).drop("content")
@@ -83,7 +83,10 @@ def preprocess(files: DataFrame, failures: DataFrame | None = None, max_depth: i
     named = (named.withColumn("__collapsed", F.when(is_pdf, X.collapse_ws(F.col("text"))))
              .withColumn("has_text", F.when(is_pdf, X.has_extractable_text(F.col("__collapsed"), collapsed=True))
                          .otherwise(F.lit(False)))
-             .drop("__collapsed"))
+             .drop("__collapsed", "text"))
+    if checkpoint:
+        # routes, failures, outputs and every count read this table
+        named = materialize(named, "named_files")
     routes = FO.route_channels(named)
 
     if failures is None:

@@ -21,16 +21,20 @@ W1_STEPS = [
            f"WHEN bare THEN CAST(regexp_extract(line, {G.q(RB.BARE_POINTS_RE)}, 1) AS DOUBLE) END AS pts, "
            "last_value(CASE WHEN ex_id IS NOT NULL THEN 'Exercise ' || ex_id END IGNORE NULLS) OVER "
            "(PARTITION BY assignment_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS exercise FROM h3"),
-    ("h5", "SELECT *, last_value(marker IGNORE NULLS) OVER (PARTITION BY assignment_id, exercise ORDER BY ord "
-           "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_marker FROM h4"),
+    ("h5", "SELECT *, last_value(CASE WHEN ex_id IS NOT NULL THEN '#' ELSE marker END IGNORE NULLS) OVER (PARTITION BY assignment_id "
+           "ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_marker FROM h4"),
     ("h6", f"SELECT *, marker IS NOT NULL AND regexp_matches(marker, {G.q(RB.ROMAN_RE)}) AND NOT coalesce(prev_marker = "
            "(CASE marker WHEN 'i' THEN 'h' WHEN 'v' THEN 'u' WHEN 'x' THEN 'w' END), false) AS is_roman FROM h5"),
-    ("h7", "SELECT *, last_value(CASE WHEN is_roman THEN marker END IGNORE NULLS) OVER (PARTITION BY assignment_id, exercise "
-           "ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cur_part FROM h6"),
+    ("h7", "SELECT *, nullif(last_value(CASE WHEN ex_id IS NOT NULL THEN '#' WHEN is_roman THEN marker END IGNORE NULLS) OVER "
+           "(PARTITION BY assignment_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '#') AS cur_part FROM h6"),
     ("h8", "SELECT *, CASE WHEN ex_id IS NOT NULL OR bare THEN 'exercise' WHEN is_roman OR (marker IS NOT NULL AND cur_part IS NULL) "
            "THEN 'part' WHEN marker IS NOT NULL THEN 'sub' END AS level FROM h7"),
-    ("h9", "SELECT *, CASE WHEN level = 'part' THEN marker WHEN level = 'sub' THEN cur_part END AS part FROM h8"),
-    ("h10", "SELECT *, count_if(level = 'sub' AND pts IS NOT NULL) OVER (PARTITION BY assignment_id, exercise, part) AS pointed_children FROM h9"),
+    ("h9", "SELECT *, CASE WHEN level = 'part' THEN marker WHEN level = 'sub' THEN cur_part END AS part, "
+           "sum(CASE WHEN level = 'sub' AND pts IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY assignment_id ORDER BY ord "
+           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM h8"),
+    ("h10", "SELECT *, coalesce(first_value(CASE WHEN level IN ('part', 'exercise') THEN c END IGNORE NULLS) OVER (PARTITION BY assignment_id "
+            "ORDER BY ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), last_value(c) OVER (PARTITION BY assignment_id ORDER BY ord "
+            "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) - c AS pointed_children FROM h9"),
     ("rubric", "SELECT assignment_id, ord, exercise, CASE WHEN level = 'exercise' THEN NULL ELSE part END AS part, "
                "CASE WHEN level = 'sub' THEN marker END AS sub, pts AS points FROM h10 "
                "WHERE pts IS NOT NULL AND (level <> 'part' OR pointed_children = 0)"),

@@ -99,3 +99,15 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     spark.sparkContext.addPyFile(out)
     _SHIPPED.add(key)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    return a DataFrame reading it back: the plan runs once, the lineage is
+    cut (a lost executor does not recompute upstream work), and later readers
+    get column pruning and filter pushdown on the stored table."""
+    import uuid
+
+    path = shared_dir(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -119,17 +119,48 @@ def _expand(it: Iterator[pd.DataFrame], max_depth: int, max_member_bytes: int |
         yield flush()
 
 
+# FIXED VALUES: leading bytes of the formats the Python reader opens
+ZIP_MAGIC = (b"PK\x03\x04", b"PK\x05\x06", b"PK\x07\x08")
+GZIP_MAGIC = b"\x1f\x8b"
+BZIP2_MAGIC = b"BZh"
+XZ_MAGIC = b"\xfd7zXZ\x00"
+TAR_MAGIC_OFFSET = 257
+TAR_MAGIC = b"ustar"
+
+
+def plausible_archive(content) -> F.Column:
+    """True when the leading bytes match a readable archive format (tar is
+    recognised at offset 257, or when compressed by its compressor's magic).
+    Decided natively, so rows that cannot open never reach Python."""
+    def starts(magic: bytes):
+        return F.substring(content, 1, len(magic)) == F.lit(bytearray(magic))
+    tar = F.substring(content, TAR_MAGIC_OFFSET + 1, len(TAR_MAGIC)) == F.lit(bytearray(TAR_MAGIC))
+    out = tar | starts(GZIP_MAGIC) | starts(BZIP2_MAGIC) | starts(XZ_MAGIC)
+    for m in ZIP_MAGIC:
+        out = out | starts(m)
+    return F.coalesce(out, F.lit(False))
+
+
 def expand_archives(archives: DataFrame, max_depth: int = 1, max_member_bytes: int | None = None) -> DataFrame:
     """Member rows of every archive row (submission, path, name, content).
 
     ``max_depth=1`` opens only the given archives: archives found inside are
     emitted as members but not opened (reference behaviour; raise it to go
     deeper, D6).  A corrupt, encrypted or unsupported archive yields one row
-    with ``error`` set and no members."""
+    with ``error`` set and no members; content without any archive signature
+    gets that row natively, without a trip through Python."""
+    from ..session import ship_package
+    ship_package(archives.sparkSession)
     content = F.col("content")
     if not isinstance(archives.schema["content"].dataType, T.BinaryType):
         content = F.encode(content, "UTF-8")
-    from ..session import ship_package
-    ship_package(archives.sparkSession)
-    src = archives.select("submission", "path", "name", content.alias("content"))
-    return src.mapInPandas(lambda it: _expand(it, max_depth, max_member_bytes), MEMBER_SCHEMA)
+    src = archives.select("submission", "path", "name", content.alias("content")) \
+        .withColumn("__ok", plausible_archive(F.col("content")))
+    opened = src.filter("__ok").drop("__ok").mapInPandas(
+        lambda it: _expand(it, max_depth, max_member_bytes), MEMBER_SCHEMA)
+    rejected = src.filter(~F.col("__ok")).select(
+        "submission", F.col("path").alias("archive_path"), F.lit(None).cast("string").alias("member_path"),
+        F.lit(None).cast("string").alias("name"), F.lit(None).cast("bigint").alias("size_bytes"),
+        F.lit(None).cast("binary").alias("content"), F.lit(1).alias("depth"),
+        F.concat(F.lit("Failed to extract "), F.col("name"), F.lit(": not a readable archive")).alias("error"))
+    return opened.unionByName(rejected)
