@@ -11,6 +11,7 @@ speculation off.  The number of partitions going in is the concurrency cap.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -73,32 +74,51 @@ class OfflineClient:
         return Reply(text, max(1, len(request) // 4), max(1, len(text) // 4))
 
 
+_ROMAN = re.compile(r"^x{0,3}(ix|iv|v?i{0,3})$")
+_PRED = {"i": "h", "v": "u", "x": "w"}
+
+
 def render_solution_markdown(request: str) -> str:
     """Markdown in the solution grammar for the hint embedded in ``request``
-    (what the offline client answers for the solution stage)."""
-    out, ex, total_lines = [], None, []
+    (what the offline client answers for the solution stage).  A part with
+    pointed sub-parts is rendered as a container."""
+    items = []          # (exercise, kind, marker, points)
+    ex, prev = None, None
     for line in request.split("\n"):
         m = re.match(r"^\s*Exercise\s+([^\s:]+)\s*:?(.*)$", line)
         if m:
-            ex = m.group(1)
-            out.append(f"## Exercise {ex} (Exercise {ex}). (Total: TOTAL_{ex} points)")
+            ex, prev = m.group(1), None
             p = re.search(r"(\d+(?:\.\d+)?)\s*points?", m.group(2))
             if p:
-                out += [f"(i) The question for Exercise {ex}. [{p.group(1)} points]", "**Solution.**", f"Answer {ex}."]
-                total_lines.append((ex, float(p.group(1))))
+                items.append((ex, "single", "i", p.group(1)))
             continue
         m = re.match(r"^\s*\(?([A-Za-z]+)\)\s*(.*)$", line)
+        b = re.match(r"^\s*\[?\s*(\d+(?:\.\d+)?)\s*points?\s*\]?\s*$", line)
         if m and ex:
+            mk = m.group(1).lower()
+            roman = bool(mk) and bool(_ROMAN.match(mk)) and prev != _PRED.get(mk)
             p = re.search(r"(\d+(?:\.\d+)?)\s*points?", m.group(2))
-            if p:
-                out += [f"({m.group(1)}) Question {m.group(1)} of {ex}. [{p.group(1)} points]", "**Solution.**",
-                        f"Answer {ex} {m.group(1)}."]
-                total_lines.append((ex, float(p.group(1))))
-            else:
-                out.append(f"({m.group(1)}) Part {m.group(1)}")
+            items.append((ex, "part" if roman else "sub", mk, p.group(1) if p else None))
+            prev = mk
+        elif b and ex:
+            items.append((ex, "single", "i", b.group(1)))
+    out, totals = [], {}
+    for idx, (e, kind, mk, pts) in enumerate(items):
+        if idx == 0 or items[idx - 1][0] != e:
+            out.append(f"## Exercise {e} (Exercise {e}). (Total: TOTAL_{e} points)")
+        has_children = kind == "part" and any(
+            it[1] == "sub" and it[3] is not None for it in
+            itertools.takewhile(lambda it: it[0] == e and it[1] == "sub", items[idx + 1:]))
+        if kind == "part" and (pts is None or has_children):
+            out.append(f"({mk}) Part {mk}")
+            continue
+        if pts is None:
+            continue
+        prompt = f"The question for Exercise {e}." if kind == "single" else f"Question {mk} of {e}."
+        out += [f"({mk}) {prompt} [{pts} points]", "**Solution.**", f"Answer {e} {mk}."]
+        totals[e] = totals.get(e, 0.0) + float(pts)
     text = "\n".join(out)
-    for e in {e for e, _ in total_lines}:
-        tot = sum(v for x, v in total_lines if x == e)
+    for e, tot in totals.items():
         text = text.replace(f"TOTAL_{e} ", f"{tot:g} ")
     return re.sub(r"TOTAL_\S+ ", "0 ", text)
 
