@@ -196,3 +196,38 @@ def q_attach_solution(spark, sf_dir):
         "submission", F.concat(F.lit("L"), F.col("submission").cast("string")).alias("assignment_id"))
     sol = _solutions(spark, sf_dir).select("assignment_id", F.concat("dir", F.lit("/solution.pdf")).alias("solution_pdf"), "n_pages")
     return L.attach_solution(subs, sol).select("submission", "assignment_id", "solution_pdf", "n_pages")
+
+
+# ---- S5: manifests with broken variants, checked against a file listing ------------
+def _manifests(spark, sf_dir):
+    s = _solutions(spark, sf_dir)
+    full = F.to_json(F.struct(F.col("assignment_id"), F.concat("dir", F.lit("/parsed_solution.md")).alias("parsed_solution_path"),
+                              F.concat("dir", F.lit("/structure_hint.txt")).alias("structure_hint_path")))
+    no_key = F.to_json(F.struct(F.col("assignment_id"), F.concat("dir", F.lit("/structure_hint.txt")).alias("structure_hint_path")))
+    text = (F.when(F.col("hint_len") % 11 == 0, F.substring(full, 1, 20))
+            .when(F.col("hint_len") % 4 == 0, no_key).otherwise(full))
+    listing = s.filter(F.col("hint_len") % 3 != 0).select(F.concat("dir", F.lit("/parsed_solution.md")).alias("path")) \
+        .unionByName(s.filter(F.col("hint_len") % 5 != 0).select(F.concat("dir", F.lit("/structure_hint.txt")).alias("path")))
+    return s.select("assignment_id", text.alias("manifest")), listing
+
+
+@query("solution_manifest_check", with_sql(("fx_hints",), _SOL_SQL + [
+    ("m", "SELECT assignment_id, dir, hint_len, CASE WHEN hint_len % 11 = 0 THEN substring(full_json, 1, 20) "
+          "WHEN hint_len % 4 = 0 THEN no_key ELSE full_json END AS manifest FROM (SELECT *, "
+          "CAST(to_json(struct_pack(assignment_id := assignment_id, parsed_solution_path := dir || '/parsed_solution.md', "
+          "structure_hint_path := dir || '/structure_hint.txt')) AS VARCHAR) AS full_json, "
+          "CAST(to_json(struct_pack(assignment_id := assignment_id, structure_hint_path := dir || '/structure_hint.txt')) AS VARCHAR) AS no_key FROM sol)"),
+    ("listing", "SELECT dir || '/parsed_solution.md' AS path FROM sol WHERE hint_len % 3 <> 0 "
+                "UNION ALL SELECT dir || '/structure_hint.txt' FROM sol WHERE hint_len % 5 <> 0"),
+    ("p", "SELECT assignment_id, NOT json_valid(manifest) AS bad_json, "
+          "TRY(json_extract_string(manifest, '$.parsed_solution_path')) AS solution_path, "
+          "TRY(json_extract_string(manifest, '$.structure_hint_path')) AS hint_path FROM m"),
+    ("r", "SELECT p.*, CASE WHEN bad_json THEN 'Invalid solution info file' "
+          "WHEN solution_path IS NULL OR hint_path IS NULL THEN 'Missing required keys in solution info file' "
+          "WHEN solution_path NOT IN (SELECT path FROM listing) THEN 'Parsed solution file not found: ' || solution_path "
+          "WHEN hint_path NOT IN (SELECT path FROM listing) THEN 'Structure hint file not found: ' || hint_path END AS invalid_reason FROM p")],
+    "SELECT assignment_id, invalid_reason IS NULL AS valid, invalid_reason, solution_path, hint_path FROM r"))
+def q_solution_manifest_check(spark, sf_dir):
+    from ..sources.files import check_solution_manifest
+    manifests, listing = _manifests(spark, sf_dir)
+    return check_solution_manifest(manifests, listing)

@@ -100,3 +100,28 @@ def read_usage_ledger(spark: SparkSession, path: str) -> DataFrame:
                               ("files_processed", "bigint"))]).filter(F.col("model_type").isNotNull())
         out = s if out is None else out.unionByName(s)
     return out
+
+
+MANIFEST_KEYS = ("parsed_solution_path", "structure_hint_path")
+
+
+def check_solution_manifest(manifests: DataFrame, existing: DataFrame, key: str = "assignment_id",
+                            text_col: str = "manifest") -> DataFrame:
+    """Manifest JSON text -> (key, valid, invalid_reason, solution_path,
+    hint_path).  Malformed JSON, a missing required key, or a target that is
+    not in ``existing`` (a listing with column ``path``) makes it invalid."""
+    v = F.try_parse_json(F.col(text_col))
+    m = manifests.select(key, v.alias("v"))
+    m = m.select(key, F.col("v").isNull().alias("bad_json"),
+                 F.try_variant_get("v", "$.parsed_solution_path", "string").alias("solution_path"),
+                 F.try_variant_get("v", "$.structure_hint_path", "string").alias("hint_path"))
+    paths = existing.select(F.col("path")).distinct()
+    sol_ok = paths.select(F.col("path").alias("solution_path"), F.lit(True).alias("sol_exists"))
+    hint_ok = paths.select(F.col("path").alias("hint_path"), F.lit(True).alias("hint_exists"))
+    j = m.join(sol_ok, "solution_path", "left").join(hint_ok, "hint_path", "left")
+    reason = (F.when(F.col("bad_json"), F.lit("Invalid solution info file"))
+              .when(F.col("solution_path").isNull() | F.col("hint_path").isNull(),
+                    F.lit("Missing required keys in solution info file"))
+              .when(F.col("sol_exists").isNull(), F.concat(F.lit("Parsed solution file not found: "), F.col("solution_path")))
+              .when(F.col("hint_exists").isNull(), F.concat(F.lit("Structure hint file not found: "), F.col("hint_path"))))
+    return j.select(key, reason.isNull().alias("valid"), reason.alias("invalid_reason"), "solution_path", "hint_path")
