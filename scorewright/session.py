@@ -54,8 +54,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     target = conf_dir or fallback or os.environ.get("SCOREWRIGHT_CHECKPOINT_DIR")
+    if not target and sc.master.startswith("local"):
+        # single-machine run (tests, smoke checks): any local folder is shared
+        import tempfile
+        target = tempfile.mkdtemp(prefix="scorewright-checkpoints-")
     if not target:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for the cluster")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir()
 
