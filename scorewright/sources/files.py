@@ -12,7 +12,7 @@ def list_submissions(dirs: DataFrame, dir_col: str = "dir") -> DataFrame:
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole-file UTF-8 reads (hints, markdown): (file_path, text)."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text")))
 
 
@@ -88,7 +88,7 @@ def read_preprocess_info(spark: SparkSession, path: str) -> DataFrame:
 
 def read_usage_ledger(spark: SparkSession, path: str) -> DataFrame:
     """grading_metadata.json files -> one row per (file, stage); bad JSON -> no rows."""
-    raw = (spark.read.option("wholetext", True).text(path)
+    raw = (spark.read.text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("file_path"), F.try_parse_json("value").alias("v")))
     stages = raw.filter(F.col("v").isNotNull()).selectExpr("file_path", "v")
     out = None
