@@ -109,13 +109,18 @@ def unique_names(files: DataFrame, hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) ->
                                       F.count_distinct("name").alias("__names"))
     conflict = fam.filter((F.col("__names") > 1) & (F.col("__rows") > F.col("__names"))) \
         .select(*fam_keys).withColumn("__fold", F.lit(True))
-    tagged = base.join(conflict, fam_keys, "left")
+    keep = [c for c in files.columns] + ["unique_name"]
 
-    plain = rank_within(tagged.filter(F.col("__fold").isNull()), ["submission", "name"], ["path"],
-                        "__k", hot_key_rows=hot_key_rows)
-    plain = plain.withColumn("unique_name", F.when(F.col("__k") == 1, F.col("name")).otherwise(
-        F.concat(F.col("__stem"), F.lit("_"), (F.col("__k") - 1).cast("string"), F.col("__suffix"))))
+    def number(df):
+        ranked = rank_within(df, ["submission", "name"], ["path"], "__k", hot_key_rows=hot_key_rows)
+        return ranked.withColumn("unique_name", F.when(F.col("__k") == 1, F.col("name")).otherwise(
+            F.concat(F.col("__stem"), F.lit("_"), (F.col("__k") - 1).cast("string"), F.col("__suffix"))))
 
+    if conflict.isEmpty():
+        # the usual case: duplicates only, numbered without any Python stage
+        return number(base).select(*keep)
+    tagged = base.join(conflict, fam_keys, "left")
+    plain = number(tagged.filter(F.col("__fold").isNull()))
     from ..session import ship_package
     ship_package(files.sparkSession)
     folded_names = (tagged.filter(F.col("__fold"))
@@ -123,7 +128,6 @@ def unique_names(files: DataFrame, hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) ->
                     .groupBy(*fam_keys)
                     .applyInPandas(_fold_names, "submission string, path string, unique_name string"))
     folded = tagged.filter(F.col("__fold")).join(folded_names, ["submission", "path"])
-    keep = [c for c in files.columns] + ["unique_name"]
     return plain.select(*keep).unionByName(folded.select(*keep))
 
 

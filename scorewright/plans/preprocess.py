@@ -72,7 +72,7 @@ def preprocess(files: DataFrame, failures: DataFrame | None = None, max_depth: i
 
     top = proc.filter(F.col("category") != "archive").withColumn("text", _as_text(proc)).drop("content")
     arch = proc.filter(F.col("category") == "archive")
-    members = (expand_archives(arch, max_depth=max_depth).filter(F.col("error").isNull())
+    members = (expand_archives(arch, max_depth=max_depth, store=checkpoint).filter(F.col("error").isNull())
                .select("submission", F.col("member_path").alias("path"), "name", "size_bytes", "content"))
     members = FO.classify_files(members).filter("should_process")
     members = members.withColumn("text", _as_text(members)).drop("content")

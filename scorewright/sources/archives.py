@@ -141,14 +141,17 @@ def plausible_archive(content) -> F.Column:
     return F.coalesce(out, F.lit(False))
 
 
-def expand_archives(archives: DataFrame, max_depth: int = 1, max_member_bytes: int | None = None) -> DataFrame:
+def expand_archives(archives: DataFrame, max_depth: int = 1, max_member_bytes: int | None = None,
+                    store: bool = False) -> DataFrame:
     """Member rows of every archive row (submission, path, name, content).
 
     ``max_depth=1`` opens only the given archives: archives found inside are
     emitted as members but not opened (reference behaviour; raise it to go
     deeper, D6).  A corrupt, encrypted or unsupported archive yields one row
     with ``error`` set and no members; content without any archive signature
-    gets that row natively, without a trip through Python."""
+    gets that row natively, without a trip through Python.  ``store=True``
+    writes the members to the shared folder when Python ran, so later
+    actions read them instead of opening the archives again."""
     from ..session import ship_package
     ship_package(archives.sparkSession)
     content = F.col("content")
@@ -156,11 +159,18 @@ def expand_archives(archives: DataFrame, max_depth: int = 1, max_member_bytes: i
         content = F.encode(content, "UTF-8")
     src = archives.select("submission", "path", "name", content.alias("content")) \
         .withColumn("__ok", plausible_archive(F.col("content")))
-    opened = src.filter("__ok").drop("__ok").mapInPandas(
-        lambda it: _expand(it, max_depth, max_member_bytes), MEMBER_SCHEMA)
+    candidates = src.filter("__ok").drop("__ok")
     rejected = src.filter(~F.col("__ok")).select(
         "submission", F.col("path").alias("archive_path"), F.lit(None).cast("string").alias("member_path"),
         F.lit(None).cast("string").alias("name"), F.lit(None).cast("bigint").alias("size_bytes"),
         F.lit(None).cast("binary").alias("content"), F.lit(1).alias("depth"),
         F.concat(F.lit("Failed to extract "), F.col("name"), F.lit(": not a readable archive")).alias("error"))
-    return opened.unionByName(rejected)
+    if candidates.isEmpty():
+        # nothing can open: no Python stage at all
+        return rejected
+    opened = candidates.mapInPandas(lambda it: _expand(it, max_depth, max_member_bytes), MEMBER_SCHEMA)
+    out = opened.unionByName(rejected)
+    if store:
+        from ..session import materialize
+        out = materialize(out, "archive_members")
+    return out
