@@ -175,8 +175,9 @@ def invoke_model(requests: DataFrame, client_factory: Callable, max_retries: int
 
 
 def persist_responses(responses: DataFrame) -> DataFrame:
-    """Write responses once (reliable checkpoint in the shared folder) so no
-    later action calls the model again."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(responses.sparkSession)
-    return responses.checkpoint(eager=True)
+    """Write responses once as a table in the shared checkpoint folder and
+    read them back, so no later action calls the model again.  (A
+    ``Dataset.checkpoint`` of an unpersisted plan would evaluate it twice:
+    once for the eager count, once for the checkpoint write.)"""
+    from ..session import materialize
+    return materialize(responses, "responses")

@@ -90,3 +90,23 @@ def test_rank_within_hot_keys_equal_window(spark):
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("id")))
     assert fast.exceptAll(ref.select(*fast.columns)).count() == 0
     assert fast.count() == 3000
+
+
+def test_model_called_once_per_row(spark):
+    import os
+    import tempfile
+    marker_dir = tempfile.mkdtemp(prefix="sw-calls-")
+
+    class Counting(E.OfflineClient):
+        def generate(self, stage, request):
+            open(os.path.join(marker_dir, f"{abs(hash(request))}-{os.getpid()}-{len(os.listdir(marker_dir))}"), "w").close()
+            return super().generate(stage, request)
+
+    def factory():
+        return Counting("offline-pro")
+
+    req = spark.createDataFrame([(i, "parsing", f"t{i}") for i in range(12)], "id long, stage string, request string")
+    out = E.persist_responses(E.invoke_model(req, factory))
+    out.count()
+    out.collect()
+    assert len(os.listdir(marker_dir)) == 12
