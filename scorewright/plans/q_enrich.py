@@ -20,7 +20,7 @@ from . import grading as GR
 from . import preprocess as PP
 from . import sqlgen as G
 from .fixtures import FX_FILES
-from .q_files import PRE_FX, PRE_STEPS
+from .q_files import CAT_SQL as _CAT, PRE_FX, PRE_STEPS, REASON_SQL as _REASON
 from .registry import fx, query, table, with_sql
 
 
@@ -105,7 +105,20 @@ def q_extract_document_text(spark, sf_dir):
     return extract_document_text(docs.select("path", "name", "content"))
 
 
-@query("expand_archives")
+_CLS = [("c", f"SELECT *, {_REASON} AS skip_reason, {_CAT} AS cat0 FROM fx_files")]
+_SIG = ("(starts_with(content, 'PK' || chr(3) || chr(4)) OR starts_with(content, 'PK' || chr(5) || chr(6)) "
+        "OR starts_with(content, 'PK' || chr(7) || chr(8)) OR starts_with(content, chr(31) || chr(139)) "
+        "OR starts_with(content, 'BZh') OR starts_with(content, chr(253) || '7zXZ' || chr(0)) "
+        "OR substring(content, 258, 5) = 'ustar')")
+
+
+# Fixture contents are prose, so no row carries an archive signature and every
+# archive takes the native rejection path; the oracle states exactly that (a
+# plausible archive would need Python and would not match it).
+@query("expand_archives", with_sql(("fx_files",), _CLS,
+       "SELECT submission, path AS archive_path, CAST(NULL AS VARCHAR) AS member_path, CAST(NULL AS VARCHAR) AS name, "
+       "CAST(NULL AS BIGINT) AS size_bytes, 1 AS depth, 'Failed to extract ' || name || ': not a readable archive' AS error "
+       f"FROM c WHERE skip_reason = '' AND cat0 = 'archive' AND NOT {_SIG}"))
 def q_expand_archives(spark, sf_dir):
     f = FO.classify_files(fx(spark, sf_dir, "fx_files"))
     return expand_archives(f.filter(F.col("category") == "archive")).drop("content")
@@ -165,7 +178,9 @@ def q_validate_solution(spark, sf_dir):
 
 
 # ---- X1 -------------------------------------------------------------------------------
-@query("stream_intake")
+@query("stream_intake", with_sql(("fx_files",), _CLS,
+       f"SELECT submission, path, name, size_bytes, doc_id, {G.ext('name')} AS ext, skip_reason, skip_reason = '' AS should_process, "
+       "CASE WHEN skip_reason = '' THEN cat0 ELSE '' END AS category FROM c"))
 def q_stream_intake(spark, sf_dir):
     from ..streaming.intake import stream_intake
     run = shared_dir(spark, f"stream_intake/{uuid.uuid4().hex}")
@@ -177,4 +192,5 @@ def q_stream_intake(spark, sf_dir):
     # a glob, so the file source treats the one table file as a listing
     q = stream_intake(spark, f"{sf_dir.rstrip('/')}/documents.parque[t]", f"{run}/ledger", f"{run}/checkpoint", to_files)
     q.awaitTermination()
-    return spark.read.parquet(f"{run}/ledger").drop("batch_id")
+    return spark.read.parquet(f"{run}/ledger").drop("batch_id").select(
+        "submission", "path", "name", "size_bytes", "doc_id", "ext", "skip_reason", "should_process", "category")
