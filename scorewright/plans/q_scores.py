@@ -127,6 +127,19 @@ def q_combine_results(spark, sf_dir):
                     F.when(F.col("json_status") == "parse_error", F.lit("Failed to parse grading results")).alias("error"))
 
 
-@query("nest_scores")
+def _kv(k, v):
+    return f"CAST(to_json({k}) AS VARCHAR) || ':' || {v}"
+
+
+@query("nest_scores", with_sql(("fx_responses",), PARSED + [
+    ("l3", f"SELECT submission, exercise, part, '{{' || string_agg({_kv('sub', 'CAST(points AS VARCHAR)')}, ',' ORDER BY "
+           f"{_kv('sub', 'CAST(points AS VARCHAR)')}) || '}}' AS node FROM scores WHERE sub IS NOT NULL GROUP BY 1, 2, 3"),
+    ("l2in", "SELECT submission, exercise, part, node FROM l3 UNION ALL "
+             "SELECT submission, exercise, part, CAST(points AS VARCHAR) FROM scores WHERE part IS NOT NULL AND sub IS NULL"),
+    ("l2", f"SELECT submission, exercise, '{{' || string_agg({_kv('part', 'node')}, ',' ORDER BY {_kv('part', 'node')}) || '}}' AS node "
+           "FROM l2in GROUP BY 1, 2"),
+    ("l1in", "SELECT submission, exercise, node FROM l2 UNION ALL SELECT submission, exercise, CAST(points AS VARCHAR) FROM scores WHERE part IS NULL")],
+    f"SELECT submission, '{{' || string_agg({_kv('exercise', 'node')}, ',' ORDER BY {_kv('exercise', 'node')}) || '}}' AS scores_json "
+    "FROM l1in GROUP BY submission"))
 def q_nest_scores(spark, sf_dir):
     return SC.nest_scores(_scores(spark, sf_dir))
