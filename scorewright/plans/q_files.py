@@ -181,13 +181,13 @@ def q_output_names(spark, sf_dir):
 
 
 @query("image_resize_plan", with_sql(("fx_page_images",), [],
-       "SELECT doc_id, page_no, greatest(width, height) > 2048 AS resize, "
+       "SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, greatest(width, height) > 2048 AS resize, "
        "CASE WHEN greatest(width, height) > 2048 THEN CAST(trunc(CAST(width AS DOUBLE) * (CAST(2048 AS DOUBLE) / CAST(greatest(width, height) AS DOUBLE))) AS INTEGER) ELSE width END AS new_width, "
        "CASE WHEN greatest(width, height) > 2048 THEN CAST(trunc(CAST(height AS DOUBLE) * (CAST(2048 AS DOUBLE) / CAST(greatest(width, height) AS DOUBLE))) AS INTEGER) ELSE height END AS new_height "
        "FROM fx_page_images"))
 def q_image_resize_plan(spark, sf_dir):
     return FO.image_resize_plan(fx(spark, sf_dir, "fx_page_images")).select(
-        "doc_id", "page_no", "resize", "new_width", "new_height")
+        "doc_id", F.col("page_no").cast("bigint").alias("page_no"), "resize", "new_width", "new_height")
 
 
 _ROUTE_SQL = (f"CASE WHEN {G.ext('name')} = '.ipynb' THEN 'notebook' WHEN {G.ext('name')} IN {G.in_list(P.OFFICE_EXTENSIONS)} THEN 'office' "
@@ -242,9 +242,10 @@ def q_route_channels(spark, sf_dir):
     return _pp(spark, sf_dir).routes.select("submission", PATH, "channel", "output_path")
 
 
-@query("cap_pages", with_sql(("fx_page_images",), [], "SELECT doc_id, page_no, width, height FROM fx_page_images WHERE page_no <= 30"))
+@query("cap_pages", with_sql(("fx_page_images",), [], "SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, width, height FROM fx_page_images WHERE page_no <= 30"))
 def q_cap_pages(spark, sf_dir):
-    return FO.cap_pages(fx(spark, sf_dir, "fx_page_images")).select("doc_id", "page_no", "width", "height")
+    return FO.cap_pages(fx(spark, sf_dir, "fx_page_images")).select(
+        "doc_id", F.col("page_no").cast("bigint").alias("page_no"), "width", "height")
 
 
 @query("truncated_docs", with_sql(("fx_page_images",), [], "SELECT doc_id, CAST(count(*) AS BIGINT) AS total_pages, "

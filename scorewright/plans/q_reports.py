@@ -177,9 +177,9 @@ def manifest_json(dir_col, aid_col, pages_col):
                               images.alias("solution_images")))
 
 
-_MANIFEST_SQL = ("to_json(struct_pack(assignment_id := assignment_id, solution_pdf := dir || '/solution.pdf', "
+_MANIFEST_SQL = ("CAST(to_json(struct_pack(assignment_id := assignment_id, solution_pdf := dir || '/solution.pdf', "
                  "solution_text_path := dir || '/solution_text.txt', structure_hint_path := dir || '/structure_hint.txt', "
-                 "solution_images := list_transform(range(1, n_pages + 1), lambda i: dir || '/pages/model_solution_page_' || CAST(i AS VARCHAR) || '.png')))")
+                 "solution_images := list_transform(range(1, n_pages + 1), lambda i: dir || '/pages/model_solution_page_' || CAST(i AS VARCHAR) || '.png'))) AS VARCHAR)")
 
 
 @query("solution_manifest", with_sql(("fx_hints",), _SOL_SQL, f"SELECT assignment_id, {_MANIFEST_SQL} AS manifest FROM sol"))
