@@ -299,3 +299,37 @@ def q_failed_submissions(spark, sf_dir):
 @query("preprocess_pipeline", with_sql(PRE_FX, PRE_STEPS, "SELECT * FROM outcome"))
 def q_preprocess_pipeline(spark, sf_dir):
     return PP.submission_outcome(_pp(spark, sf_dir))
+
+
+# ---- S6 and S2 over files derived from the tables -----------------------------------
+@query("read_preprocess_info", with_sql(PRE_FX, PRE_STEPS, "SELECT submission AS submission_name, total_original_files, "
+                                        "textual_outputs, visual_outputs, skipped_files, failed_files, scanned_pdfs FROM info"))
+def q_read_preprocess_info(spark, sf_dir):
+    """K1 -> S6 round trip: per-submission info written as JSON documents in
+    the shared folder, read back with the permissive reader."""
+    import uuid
+    from ..session import shared_dir
+    from ..sources.files import read_preprocess_info
+    info = PP.preprocess_info(_pp(spark, sf_dir))
+    counts = ["total_original_files", "textual_outputs", "visual_outputs", "skipped_files", "failed_files", "scanned_pdfs"]
+    doc = info.select(F.col("submission").alias("submission_name"),
+                      F.date_format(F.current_timestamp(), "EEE MMM d HH:mm:ss yyyy").alias("processing_timestamp"),
+                      F.struct(*[F.col(c).cast("bigint").alias(c) for c in counts]).alias("summary"))
+    path = shared_dir(spark, f"preprocess_info/{uuid.uuid4().hex}")
+    doc.write.mode("overwrite").json(path)
+    back = read_preprocess_info(spark, path, multi_line=False)
+    return back.select("submission_name", *[F.col(f"summary.{c}").alias(c) for c in counts])
+
+
+@query("scan_files")
+def q_scan_files(spark, sf_dir):
+    """S2 over a real folder tree: the fixture inventory is written below a
+    fresh root in the shared folder, then listed per submission folder."""
+    import uuid
+    from ..session import shared_dir
+    from ..sources.files import scan_files, write_file_tree
+    root = shared_dir(spark, f"file_tree/{uuid.uuid4().hex}")
+    root = root[5:] if root.startswith("file:") else root
+    files = fx(spark, sf_dir, "fx_files").withColumn("rel", F.regexp_replace("path", "^/in/", ""))
+    write_file_tree(files, root).count()
+    return scan_files(spark, root)

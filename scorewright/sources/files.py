@@ -58,6 +58,33 @@ def scan_files(spark: SparkSession, root: str, partitions: int | None = None) ->
     return dirs.repartition(n, "submission").mapInPandas(walk, SCAN_SCHEMA)
 
 
+def write_file_tree(files: DataFrame, root: str) -> DataFrame:
+    """Write each row's ``content`` as a real file ``<root>/<rel>`` from the
+    executors (``rel`` = path below the inventory root) and return
+    (path, bytes_written).  Needs ``root`` on a POSIX-mounted shared folder."""
+    if "://" in root and not root.startswith("file:"):
+        raise ValueError("write_file_tree needs a POSIX-mounted folder")
+    base = root[5:] if root.startswith("file:") else root
+    from ..session import ship_package
+    ship_package(files.sparkSession)
+
+    def write(it):
+        import os as _os
+        import pandas as pd
+        for pdf in it:
+            out = []
+            for rel, content in zip(pdf["rel"], pdf["content"]):
+                target = _os.path.join(base, rel.lstrip("/"))
+                _os.makedirs(_os.path.dirname(target), exist_ok=True)
+                data = content.encode("utf-8") if isinstance(content, str) else bytes(content or b"")
+                with open(target, "wb") as fh:
+                    fh.write(data)
+                out.append((target, len(data)))
+            yield pd.DataFrame(out, columns=["path", "bytes_written"])
+
+    return files.select("rel", "content").mapInPandas(write, "path string, bytes_written long")
+
+
 def read_file_contents(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
     """Attach ``content`` to listed files: a ``binaryFile`` scan of ``root``
     (Spark prunes to path/content) joined on ``path``.  Files that
@@ -78,10 +105,12 @@ PREPROCESS_INFO_SCHEMA = T.StructType([
 ])
 
 
-def read_preprocess_info(spark: SparkSession, path: str) -> DataFrame:
-    """preprocess_info.json files; missing or malformed -> nulls, not errors."""
-    return (spark.read.schema(PREPROCESS_INFO_SCHEMA.add("_corrupt_record", T.StringType()))
-            .option("multiLine", True).option("mode", "PERMISSIVE")
+def read_preprocess_info(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """preprocess_info.json files (one document per file, or JSON lines
+    with ``multi_line=False``); missing or malformed -> nulls, not errors."""
+    schema = T.StructType(PREPROCESS_INFO_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+    return (spark.read.schema(schema)
+            .option("multiLine", multi_line).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
             .withColumn("file_path", F.col("_metadata.file_path")))
 
