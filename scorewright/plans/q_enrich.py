@@ -28,6 +28,13 @@ def _offline():
     return E.OfflineClient("offline-pro")
 
 
+_CLS = [("c", f"SELECT *, {_REASON} AS skip_reason, {_CAT} AS cat0 FROM fx_files")]
+_SIG = ("(starts_with(content, 'PK' || chr(3) || chr(4)) OR starts_with(content, 'PK' || chr(5) || chr(6)) "
+        "OR starts_with(content, 'PK' || chr(7) || chr(8)) OR starts_with(content, chr(31) || chr(139)) "
+        "OR starts_with(content, 'BZh') OR starts_with(content, chr(253) || '7zXZ' || chr(0)) "
+        "OR substring(content, 258, 5) = 'ustar')")
+
+
 # ---- T11 ------------------------------------------------------------------------
 _CTX_SQL = (
     "SELECT o.submission, '\nSubmission Structure Information:\n- Submission Name: ' || o.submission || "
@@ -98,20 +105,17 @@ def q_extract_html_text(spark, sf_dir):
     return p.select("page_id", X.html_to_text(F.col("html")).alias("text"))
 
 
-@query("extract_document_text")
+@query("extract_document_text", with_sql(("fx_files",), _CLS + [
+    ("d", f"SELECT path, {G.ext('name')} AS ext, content FROM c WHERE skip_reason = '' AND cat0 = 'mixed' AND {G.ext('name')} <> '.pdf'")],
+    f"SELECT path, {_html_sql('content')} AS text, CAST(NULL AS VARCHAR) AS reason FROM d WHERE ext = '.html' "
+    "UNION ALL SELECT path, CAST(NULL AS VARCHAR), 'not a notebook (no JSON object)' FROM d WHERE ext = '.ipynb' AND NOT coalesce(json_valid(content) AND json_type(CASE WHEN json_valid(content) THEN content ELSE '{}' END) = 'OBJECT', false) "
+    "UNION ALL SELECT path, CAST(NULL AS VARCHAR), 'not an office container' FROM d WHERE ext IN ('.docx', '.pptx', '.odt') AND NOT starts_with(content, 'PK' || chr(3) || chr(4))"))
 def q_extract_document_text(spark, sf_dir):
     f = FO.classify_files(fx(spark, sf_dir, "fx_files"))
     docs = f.filter((F.col("category") == "mixed") & (F.col("ext") != ".pdf"))
     return extract_document_text(docs.select("path", "name", "content"))
 
 
-_CLS = [("c", f"SELECT *, {_REASON} AS skip_reason, {_CAT} AS cat0 FROM fx_files")]
-_SIG = ("(starts_with(content, 'PK' || chr(3) || chr(4)) OR starts_with(content, 'PK' || chr(5) || chr(6)) "
-        "OR starts_with(content, 'PK' || chr(7) || chr(8)) OR starts_with(content, chr(31) || chr(139)) "
-        "OR starts_with(content, 'BZh') OR starts_with(content, chr(253) || '7zXZ' || chr(0)) "
-        "OR substring(content, 258, 5) = 'ustar')")
-
-
 # Fixture contents are prose, so no row carries an archive signature and every
 # archive takes the native rejection path; the oracle states exactly that (a
 # plausible archive would need Python and would not match it).

@@ -78,16 +78,48 @@ def _extract(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["path", "text", "reason"])
 
 
+NOT_NOTEBOOK = "not a notebook (no JSON object)"
+NOT_CONTAINER = "not an office container"
+
+
+def notebook_text(content) -> F.Column:
+    """ipynb, natively: cell sources (string or list of strings) joined by a
+    blank line; null when the content is not a JSON object."""
+    v = F.try_parse_json(content)
+    cells = F.try_variant_get(v, "$.cells", "array<variant>")
+    def cell_source(c):
+        is_list = F.coalesce(F.schema_of_variant(F.try_variant_get(c, "$.source", "variant")).startswith("ARRAY"),
+                             F.lit(False))
+        return F.coalesce(F.when(is_list, F.array_join(F.try_variant_get(c, "$.source", "array<string>"), ""))
+                          .otherwise(F.try_variant_get(c, "$.source", "string")), F.lit(""))
+    src = F.transform(cells, cell_source)
+    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return F.when(is_obj, F.coalesce(F.array_join(src, "\n\n"), F.lit("")))
+
+
 def extract_document_text(files: DataFrame) -> DataFrame:
-    """(path, text, reason) for each file: HTML natively, notebooks and
-    office containers in Python, everything else a reason."""
-    from ..session import ship_package
-    ship_package(files.sparkSession)
+    """(path, text, reason) per file.  HTML and notebooks natively; office
+    containers whose bytes start like a zip go to Python (stdlib zipfile +
+    xml), others get a reason natively; other types get a reason."""
     content = F.col("content")
-    if not isinstance(files.schema["content"].dataType, T.BinaryType):
-        content = F.encode(content, "UTF-8")
+    as_bytes = content if isinstance(files.schema["content"].dataType, T.BinaryType) else F.encode(content, "UTF-8")
+    as_text = content.cast("string")
     f = files.withColumn("ext", P.file_ext(F.col("name")))
     html = f.filter(F.col("ext") == ".html").select(
-        "path", X.html_to_text(F.col("content").cast("string")).alias("text"), F.lit(None).cast("string").alias("reason"))
-    other = f.filter(F.col("ext") != ".html").select("path", "ext", content.alias("content")).mapInPandas(_extract, OUT_SCHEMA)
-    return html.unionByName(other)
+        "path", X.html_to_text(as_text).alias("text"), F.lit(None).cast("string").alias("reason"))
+    nb = f.filter(F.col("ext") == ".ipynb").withColumn("text", notebook_text(as_text)).select(
+        "path", "text", F.when(F.col("text").isNull(), F.lit(NOT_NOTEBOOK)).alias("reason"))
+    office = f.filter(F.col("ext").isin(*OOXML_PARTS)).withColumn("bytes", as_bytes) \
+        .withColumn("zip_like", F.coalesce(F.substring("bytes", 1, 4) == F.lit(bytearray(b"PK\x03\x04")), F.lit(False)))
+    rejected = office.filter(~F.col("zip_like")).select(
+        "path", F.lit(None).cast("string").alias("text"), F.lit(NOT_CONTAINER).alias("reason"))
+    other = f.filter(~F.col("ext").isin(".html", ".ipynb", *OOXML_PARTS)).select(
+        "path", F.lit(None).cast("string").alias("text"),
+        F.concat(F.lit("no text extractor for "), F.col("ext")).alias("reason"))
+    out = html.unionByName(nb).unionByName(rejected).unionByName(other)
+    candidates = office.filter("zip_like").select("path", "ext", F.col("bytes").alias("content"))
+    if candidates.isEmpty():
+        return out
+    from ..session import ship_package
+    ship_package(files.sparkSession)
+    return out.unionByName(candidates.mapInPandas(_extract, OUT_SCHEMA))

@@ -110,3 +110,22 @@ def test_model_called_once_per_row(spark):
     out.count()
     out.collect()
     assert len(os.listdir(marker_dir)) == 12
+
+
+def test_document_text(spark):
+    import json as _json
+    from scorewright.sources.documents import extract_document_text
+    docx = _zip([("word/document.xml", b'<w:document xmlns:w="x"><w:body><w:p><w:r><w:t>Hello</w:t></w:r>'
+                                        b'<w:r><w:t> world</w:t></w:r></w:p></w:body></w:document>')])
+    nb = _json.dumps({"cells": [{"source": ["a = 1\n", "b = 2"]}, {"source": "# Title"}]}).encode()
+    rows = [("/d/e.docx", "e.docx", docx), ("/d/n.ipynb", "n.ipynb", nb), ("/d/bad.ipynb", "bad.ipynb", b"prose"),
+            ("/d/p.html", "p.html", b"<html><script>x()</script><p>Hi &amp; bye</p></html>"),
+            ("/d/fake.docx", "fake.docx", b"prose"), ("/d/s.pdf", "s.pdf", b"%PDF")]
+    df = spark.createDataFrame(rows, "path string, name string, content binary")
+    got = {r.path: (r.text, r.reason) for r in extract_document_text(df).collect()}
+    assert got["/d/e.docx"][0].strip() == "Hello world"
+    assert got["/d/n.ipynb"] == ("a = 1\nb = 2\n\n# Title", None)
+    assert got["/d/bad.ipynb"][0] is None and got["/d/bad.ipynb"][1]
+    assert got["/d/p.html"] == ("Hi & bye", None)
+    assert got["/d/fake.docx"] == (None, "not an office container")
+    assert got["/d/s.pdf"][1] == "no text extractor for .pdf"
