@@ -110,11 +110,18 @@ def parse_solution_units(md: DataFrame, key: str = "assignment_id", text_col: st
                                            ignorenulls=True).over(w))
           .withColumn("unit_ord", F.last(F.when(F.col("unit_id").isNotNull() | F.col("cont_id").isNotNull()
                                                 | F.col("ex_id").isNotNull(), F.col("ord")), ignorenulls=True).over(w)))
-    we = Window.partitionBy(key, "exercise").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    roman_unit = F.col("unit_id").rlike(ROMAN_RE)
+    before = Window.partitionBy(key).orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    header = F.col("ex_id").isNotNull()
+    df = df.withColumn("prev_marker", F.last(F.when(header, F.lit("#")).otherwise(F.coalesce("unit_id", "cont_id")),
+                                             ignorenulls=True).over(before))
+    pred = (F.when(F.col("unit_id") == "i", "h").when(F.col("unit_id") == "v", "u").when(F.col("unit_id") == "x", "w"))
+    df = df.withColumn("roman_unit", F.col("unit_id").rlike(ROMAN_RE)
+                       & ~F.coalesce(F.col("prev_marker") == pred, F.lit(False)))
+    roman_unit = F.col("roman_unit")
+    # the open container: set by a container line, closed ('') by a header or a Roman unit
     df = df.withColumn("open_container", F.last(
-        F.when(F.col("cont_id").isNotNull(), F.col("cont_id")).when(F.col("unit_id").isNotNull() & roman_unit, F.lit("")),
-        ignorenulls=True).over(we))
+        F.when(header, F.lit("")).when(F.col("cont_id").isNotNull(), F.col("cont_id"))
+        .when(F.col("unit_id").isNotNull() & roman_unit, F.lit("")), ignorenulls=True).over(w))
     headers = df.filter(F.col("ex_id").isNotNull()).select(
         key, "exercise", F.regexp_extract("line", MD_EXERCISE_RE, 2).alias("title"),
         F.regexp_extract("line", MD_EXERCISE_RE, 3).cast("double").alias("header_total"))
