@@ -85,4 +85,4 @@ def solution_pipeline(solutions: DataFrame, client_factory: Callable, **call_opt
     return {"responses": responses, "units": units, "checks": checks, "usage": usage}
 
 
-__all__ = ["grade_pipeline", "solution_pipeline", "rules"]
+__all__ = ["grade_pipeline", "solution_pipeline"]

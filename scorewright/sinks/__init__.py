@@ -142,4 +142,4 @@ def write_invalid_report(invalid: DataFrame, path: str, key: str = "submission",
 
 
 __all__ = ["write_preprocess_info", "write_failure_report", "write_ledger", "write_processing_report",
-           "write_invalid_report", "report_lines", "rules"]
+           "write_invalid_report", "report_lines"]
