@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from .. import rules
 from ..functions import money as M
 from ..functions import prompts as PR
 from ..operators import enrich as E

@@ -12,7 +12,6 @@ from ..functions import prompts as PR
 from ..functions import text as X
 from ..operators import enrich as E
 from ..operators import files as FO
-from ..operators import rubric as RB
 from ..session import shared_dir
 from ..sources.archives import expand_archives
 from ..sources.documents import extract_document_text

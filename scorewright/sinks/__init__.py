@@ -12,7 +12,6 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from .. import rules
 from ..operators import reports as R
 from ..session import materialize
 

@@ -8,7 +8,6 @@ pandas batches so a large archive never becomes one huge batch.
 
 from __future__ import annotations
 
-import bz2
 import gzip
 import io
 import lzma
