@@ -27,3 +27,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_components
     out = simhash_components(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op8_decontaminate")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
