@@ -44,3 +44,10 @@ def vocabulary() -> str:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op10_html_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract_main_text
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
