@@ -51,3 +51,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_text import extract_main_text
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op2_exact_dedup", """
+WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h
+           FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
+FROM d""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exact_dedup import exact_dedup
+    return exact_dedup(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
+# The oracle spells the sentences of these tables itself: whole lines of the text, one licence per sentence.
+@query("op4_licenses", """
+WITH lines AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS k,
+                      unnest(string_split(text, chr(10))) AS line FROM documents),
+s AS (SELECT doc_id, k, CASE lower(trim(line))
+        WHEN 'licensed under the apache license, version 2.0.' THEN 'apache2-grant'
+        WHEN 'released under the mit license.' THEN 'mit-grant'
+        WHEN 'this work is licensed under the gnu general public license, version 3.' THEN 'gpl3-grant'
+        WHEN 'licensed under cc by-nc 4.0.' THEN 'cc-by-nc-grant'
+        WHEN 'all rights reserved.' THEN 'all-rights' END AS sid FROM lines),
+n AS (SELECT doc_id, string_agg(sid, ' ' ORDER BY k) AS sentences FROM s WHERE sid IS NOT NULL GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.sentences, '') AS sentences,
+       CASE WHEN n.sentences LIKE '%apache2-grant%' THEN 'Apache-2.0' WHEN n.sentences LIKE '%mit-grant%' THEN 'MIT'
+            WHEN n.sentences LIKE '%gpl3-grant%' THEN 'GPL-3.0' WHEN n.sentences LIKE '%cc-by-nc-grant%' THEN 'CC-BY-NC'
+            WHEN n.sentences LIKE '%all-rights%' THEN 'Proprietary' END AS license
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+    out = scan_licenses(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.array_join("sentences", " ").alias("sentences"), "license")
