@@ -84,3 +84,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licenses
     out = scan_licenses(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.array_join("sentences", " ").alias("sentences"), "license")
+
+
+def held_out():
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity, train_toxicity
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")), name="score")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
