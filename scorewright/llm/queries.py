@@ -104,3 +104,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")), name="score").drop("text")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
