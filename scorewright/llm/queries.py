@@ -110,3 +110,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_sharding", """
+WITH RECURSIVE h AS (SELECT doc_id, coalesce(strlen(text), 0) AS bytes, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 10) AS BIGINT) AS k
+            FROM documents),
+p AS (SELECT doc_id, bytes, k, 0 AS depth, sum(bytes) OVER () AS shard_bytes, count(*) OVER () AS documents FROM h
+      UNION ALL
+      SELECT doc_id, bytes, k, depth + 1, sum(bytes) OVER (PARTITION BY k >> (39 - depth)),
+             count(*) OVER (PARTITION BY k >> (39 - depth))
+      FROM p WHERE shard_bytes > 16777216 AND documents > 1 AND depth < 40)
+SELECT doc_id, bytes, CASE WHEN depth = 0 THEN '' ELSE right(bin((1::BIGINT << 40) | (k >> (40 - depth))), depth) END AS shard,
+       CAST(shard_bytes AS BIGINT) AS shard_bytes, documents
+FROM p WHERE shard_bytes <= 16777216 OR documents = 1""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import assign_shards
+    return assign_shards(table(spark, sf_dir, "documents"))
