@@ -52,22 +52,22 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: all its columns and ``n_words``, ``hits`` (numbers of the hit words, ascending),
-    ``items`` (ids of the items with a window in the text, ascending as strings).
+    ``items`` (ids of the items with a window in the text, ascending as strings); columns of these names are replaced.
 
     Null text has no words.  Items with null id are left out, items without words match nothing; an empty
-    benchmark gives no hits.  Repeated rows are judged each for itself; no other column is read, but the three new
-    names must be free."""
+    benchmark gives no hits.  Repeated rows are judged each for itself; an empty table gives an empty result."""
     spark = docs.sparkSession
     prepared(spark)
-    out = docs.withColumns({"n_words": F.lit(0).cast("long"), "hits": F.array().cast("array<int>"),
-                            "items": F.array().cast("array<string>")})
+    new = ("n_words", "hits", "items")
+    kept = [c for c in docs.columns if c not in new]
+    out = docs.select(F.struct(*kept).alias("row"), F.col(text_col).cast("string").alias("t"), F.lit(0).cast("long").alias("n_words"),
+                      F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
     for rows in _benchmark_blocks(benchmark, item_col, item_text_col, block_bytes):
-        out = _pass(out, text_col, spark.sparkContext.broadcast(_block(rows, window)))
-    return out
+        out = _pass(out, spark.sparkContext.broadcast(_block(rows, window)))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *new)
 
 
-def _pass(docs: DataFrame, text_col: str, strings) -> DataFrame:
-    at = docs.columns.index(text_col)
+def _pass(docs: DataFrame, strings) -> DataFrame:
     names = docs.columns
 
     def run(batches):
@@ -76,7 +76,7 @@ def _pass(docs: DataFrame, text_col: str, strings) -> DataFrame:
         machine = WuManber(patterns)
         lengths = np.array([p.count(b" ") - 1 for p in patterns], np.int64)
         for batch in in_slices(batches):
-            counts, hits, found_items = _search(machine, lengths, items, byte_list(batch.column(at)))
+            counts, hits, found_items = _search(machine, lengths, items, byte_list(batch.column(1)))
             before = [batch.column(names.index(c)).to_pylist() for c in ("hits", "items")]
             hits = [sorted({*a, *b}) if a else b for a, b in zip(before[0], hits)]
             found_items = [sorted({*a, *b}) for a, b in zip(before[1], found_items)]

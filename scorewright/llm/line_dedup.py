@@ -212,13 +212,15 @@ def dedup_lines(docs: DataFrame, most: int = MAX_EDITS, min_exact: int = MIN_EXA
     equal = firsts.filter("times > 1").join(joined, "node", "left_anti").select("hi", "lo", F.col("first").alias("winner"))
     gone = (seen.join(equal.unionByName(near), ["hi", "lo"])
             .filter((F.col("id") != F.col("winner.id")) | (F.col("line") != F.col("winner.line")) | (F.col("mark") != F.col("winner.mark")))
-            .groupBy(F.col("id").alias("__id"), F.col("mark").alias("__mark")).agg(F.collect_set("line").alias("__gone")))
+            .groupBy("id", "mark").agg(F.collect_set("line").alias("gone")))
+    old = [c for c in docs.columns if c not in ("lines_before", "lines_removed")]
     t = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = docs.withColumns({"__i": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__m": F.xxhash64(t)})
-    out = marked.join(gone, (F.col("__i") == F.col("__id")) & (F.col("__m") == F.col("__mark")), "left")
-    lines = F.split(F.col("text"), "\n", -1)
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return out.select(*[F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c)
-                        for c in docs.columns],
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("i"), F.xxhash64(t).alias("m"),
+                       F.col("text").cast("string").alias("t"), F.struct(*old).alias("row"))
+    out = rows.join(gone, (F.col("i") == F.col("id")) & (F.col("m") == F.col("mark")), "left")
+    lines = F.split(F.col("t"), "\n", -1)
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("t")).otherwise(left)
+    return out.select(*[text.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in old],
                       F.coalesce(F.size(lines), F.lit(0)).alias("lines_before"),
-                      F.coalesce(F.size("__gone"), F.lit(0)).alias("lines_removed"))
+                      F.coalesce(F.size("gone"), F.lit(0)).alias("lines_removed"))

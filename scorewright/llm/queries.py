@@ -126,3 +126,9 @@ FROM p WHERE shard_bytes <= 16777216 OR documents = 1""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import assign_shards
     return assign_shards(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

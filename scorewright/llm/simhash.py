@@ -137,9 +137,9 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BI
     ident = lambda c: F.coalesce(F.col(c), F.lit(NO_ID))
     winners = (groups.filter(ident("doc_id") == ident("component_id")).groupBy(ident("doc_id").alias("winner"))
                .agg(F.count(F.lit(1)).alias("times")))
-    here = docs.withColumn("__id", ident("doc_id")).join(winners, F.col("__id") == F.col("winner"))
-    once = here.filter("times = 1").drop("__id", "winner", "times")
-    several = here.filter("times > 1").drop("__id", "winner", "times").dropDuplicates()
-    order = F.struct(*(F.col(c) for c in ["text", *[c for c in several.columns if c != "text"]]))
-    one = several.groupBy("doc_id").agg(F.min(order).alias("r")).select(*(F.col(f"r.{c}").alias(c) for c in docs.columns))
-    return once.unionByName(one)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+                       F.struct("text", *[c for c in docs.columns if c != "text"]).alias("row"))
+    here = rows.join(winners, F.col("id") == F.col("winner"))
+    once = here.filter("times = 1").select("row")
+    one = here.filter("times > 1").groupBy("id").agg(F.min("row").alias("row")).select("row")
+    return once.unionByName(one).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

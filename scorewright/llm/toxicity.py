@@ -201,4 +201,6 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", name:
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs`` with a toxicity below ``threshold``, unchanged."""
     model = train_toxicity(docs, labels, **options)
-    return score_toxicity(docs, model, name="__toxicity").filter(F.col("__toxicity") < threshold).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    kept = score_toxicity(rows, model).filter(F.col("toxicity") < threshold)
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
