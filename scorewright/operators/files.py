@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import rules
 from ..functions import paths as P
 from ..functions import text as X
-from .ranking import DEFAULT_HOT_KEY_ROWS, rank_within
+from .ranking import rank_within
 
 
 def exclude_processed(files: DataFrame, path_col: str = "path", root_col: str | None = None) -> DataFrame:
@@ -22,11 +21,20 @@ def exclude_processed(files: DataFrame, path_col: str = "path", root_col: str |
 
 
 def _content_checks(files: DataFrame, content_col: str) -> tuple[Column, Column]:
+    """(leading text, whether the leading bytes decode).  Of binary content only the bytes that can hold the sniffed
+    characters are looked at; up to 3 bytes of a character cut at their end are left out."""
     dtype = files.schema[content_col].dataType
-    if isinstance(dtype, T.BinaryType):
-        as_text = F.col(content_col).cast("string")
-        return as_text, F.is_valid_utf8(as_text)
-    return F.col(content_col), F.lit(True)
+    if not isinstance(dtype, T.BinaryType):
+        return F.col(content_col), F.lit(True)
+    lead = F.substring(F.col(content_col), 1, 4 * rules.TEXT_SNIFF_CHARS)
+    text = lead.cast("string")
+    for cut in (1, 2, 3):
+        shorter = F.substring(F.col(content_col), 1, 4 * rules.TEXT_SNIFF_CHARS - cut).cast("string")
+        cuttable = F.octet_length(F.col(content_col)) > 4 * rules.TEXT_SNIFF_CHARS
+        text = F.when(F.is_valid_utf8(text) | ~cuttable, text).otherwise(shorter)
+    # the sniff reads characters, so bytes behind the last of them do not matter
+    whole = F.is_valid_utf8(text) | F.coalesce(F.is_valid_utf8(F.substring(text, 1, rules.TEXT_SNIFF_CHARS)), F.lit(False))
+    return text, whole
 
 
 def extension_table(spark):
@@ -75,59 +83,53 @@ def reportable_skips(classified: DataFrame) -> DataFrame:
 _FAMILY_RE = r"^(?s)(.*?)(_[0-9]+)*$"
 
 
-def _fold_names(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sequential unique naming inside one conflict family (natural 'a_1.txt'
-    next to duplicated 'a.txt'): each file takes its name, else the first free
-    '<stem>_<k><suffix>'."""
-    pdf = pdf.sort_values("path", kind="stable")
-    taken: set[str] = set()
-    out = []
-    for name, stem, suffix in zip(pdf["name"], pdf["__stem"], pdf["__suffix"]):
-        cand, k = name, 1
-        while cand in taken:
-            cand = f"{stem}_{k}{suffix}"
-            k += 1
-        taken.add(cand)
-        out.append(cand)
-    return pd.DataFrame({"submission": pdf["submission"].values, "path": pdf["path"].values,
-                         "unique_name": out})
-
-
-def unique_names(files: DataFrame, hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
-    """Flatten-time names: the k-th later file with an already used name
-    becomes '<stem>_<k><suffix>' (path order within the submission).
-
-    Duplicates of one name are numbered by ``rank_within`` (hot names spread
-    over tasks).  Only a family where a natural '<stem>_<k>' name meets
-    duplicates of '<stem>' needs the sequential fold; such families are
-    folded per family with ``applyInPandas``."""
-    stem, suffix = P.file_stem(F.col("name")), P.raw_suffix(F.col("name"))
-    base = files.withColumn("__stem", stem).withColumn("__suffix", suffix) \
-        .withColumn("__family", F.regexp_extract(F.col("__stem"), _FAMILY_RE, 1))
-    fam_keys = ["submission", "__family", "__suffix"]
-    fam = base.groupBy(*fam_keys).agg(F.count(F.lit(1)).alias("__rows"),
-                                      F.count_distinct("name").alias("__names"))
-    conflict = fam.filter((F.col("__names") > 1) & (F.col("__rows") > F.col("__names"))) \
-        .select(*fam_keys).withColumn("__fold", F.lit(True))
-    keep = [c for c in files.columns] + ["unique_name"]
-
-    def number(df):
-        ranked = rank_within(df, ["submission", "name"], ["path"], "__k", hot_key_rows=hot_key_rows)
-        return ranked.withColumn("unique_name", F.when(F.col("__k") == 1, F.col("name")).otherwise(
-            F.concat(F.col("__stem"), F.lit("_"), (F.col("__k") - 1).cast("string"), F.col("__suffix"))))
-
-    if conflict.isEmpty():
-        # the usual case: duplicates only, numbered without any Python stage
-        return number(base).select(*keep)
-    tagged = base.join(conflict, fam_keys, "left")
-    plain = number(tagged.filter(F.col("__fold").isNull()))
+def _fold_names(frames):
+    """Sequential unique naming inside conflict families (natural 'a_1.txt' next to duplicated 'a.txt'), over rows
+    sorted by family and path: each file takes its name, else the first free '<stem>_<k><suffix>'.  Only the names of
+    the family at hand are held, and a stem's search goes on where it last ended."""
+    family, taken, last = None, set(), {}
+    for pdf in frames:
+        out = []
+        for fam, name, stem, suffix in zip(zip(pdf["submission"], pdf["__family"], pdf["__suffix"]), pdf["name"],
+                                           pdf["__stem"], pdf["__suffix"]):
+            if fam != family:
+                family, taken, last = fam, set(), {}
+            cand, k = name, last.get(stem, 0)
+            while cand in taken:
+                k += 1
+                cand = f"{stem}_{k}{suffix}"
+            if cand != name:
+                last[stem] = k
+            taken.add(cand)
+            out.append(cand)
+        yield pdf.assign(unique_name=out)
+
+
+def unique_names(files: DataFrame) -> DataFrame:
+    """Flatten-time names: the k-th later file with an already used name becomes '<stem>_<k><suffix>' (path order
+    within the submission).  Every row stays, repeated paths too.
+
+    Duplicates of one name are numbered by ``rank_within``.  Only a family where a natural '<stem>_<k>' name meets
+    duplicates of '<stem>' needs the sequential rule; the rows of such families pass once through a sorted fold."""
     from ..session import ship_package
     ship_package(files.sparkSession)
-    folded_names = (tagged.filter(F.col("__fold"))
-                    .select("submission", "path", "name", "__stem", "__suffix", "__family")
-                    .groupBy(*fam_keys)
-                    .applyInPandas(_fold_names, "submission string, path string, unique_name string"))
-    folded = tagged.filter(F.col("__fold")).join(folded_names, ["submission", "path"])
+    keep = [*files.columns, "unique_name"]
+    base = (files.withColumn("__stem", P.file_stem(F.col("name"))).withColumn("__suffix", P.raw_suffix(F.col("name")))
+            .withColumn("__family", F.regexp_extract(F.col("__stem"), _FAMILY_RE, 1)))
+    ranked = rank_within(base, ["submission", "name"], ["path"], "__k")
+    fam_keys = ["submission", "__family", "__suffix"]
+    fam = ranked.groupBy(*fam_keys).agg(F.max("__k").alias("__most"), F.min("name").alias("__least"),
+                                        F.max("name").alias("__last"))
+    conflict = fam.filter((F.col("__least") != F.col("__last")) & (F.col("__most") > 1)).select(
+        *fam_keys, F.lit(True).alias("__fold"))
+    tagged = ranked.join(conflict, fam_keys, "left")
+    plain = tagged.filter(F.col("__fold").isNull()).withColumn("unique_name", F.when(F.col("__k") == 1, F.col("name")).otherwise(
+        F.concat(F.col("__stem"), F.lit("_"), (F.col("__k") - 1).cast("string"), F.col("__suffix"))))
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = tagged.filter(F.col("__fold")).drop("__fold")
+    schema = T.StructType([*rows.schema.fields, T.StructField("unique_name", T.StringType())])
+    folded = (rows.repartition(n, *fam_keys).sortWithinPartitions(*fam_keys, "path", "__k")
+              .mapInPandas(_fold_names, schema))
     return plain.select(*keep).unionByName(folded.select(*keep))
 
 
@@ -195,7 +197,7 @@ def truncated_docs(pages: DataFrame, n: int = rules.MAX_PDF_PAGES, key: str = "d
 
 
 def assign_batches(files: DataFrame, size: int = rules.UPLOAD_BATCH_SIZE, key: str = "submission",
-                   order: str = "path", hot_key_rows: int = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+                   order: str = "path") -> DataFrame:
     """Upload batches of ``size`` files per submission in path order."""
-    ranked = rank_within(files, [key], [order], "upload_ord", hot_key_rows=hot_key_rows)
+    ranked = rank_within(files, [key], [order], "upload_ord")
     return ranked.withColumn("batch", F.floor((F.col("upload_ord") - 1) / size).cast("bigint"))

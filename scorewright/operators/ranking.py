@@ -1,50 +1,36 @@
-"""Row numbering within a key that does not put a hot key in one task.
+"""Row numbering within a key that puts no key in one task.
 
-``row_number() OVER (PARTITION BY key ORDER BY o)`` sends every row of a key
-to one task.  When one key can hold a large share of the data, that task is
-the whole job.  ``rank_within`` counts rows per key first (partial
-aggregation, cheap), numbers ordinary keys with the window, and numbers hot
-keys by range-partitioning them on (key, order) so they spread over many
-tasks; each task's first position is then shifted by the counts of the tasks
-before it (a table of hot keys x tasks, small by construction).
+``row_number() OVER (PARTITION BY key ORDER BY o)`` sends every row of a key to one task; when one key can hold a large
+share of the data, that task is the whole job.  ``rank_within`` sorts by range of (key, order) instead, so a large key
+spreads over as many tasks as it needs.  Each row's place within its task is stored with the row, and shifted by what
+earlier tasks hold of the same key.  All keys are numbered alike, whatever their size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-DEFAULT_HOT_KEY_ROWS = 2_000_000
+from ..session import materialize
 
 
 def rank_within(df: DataFrame, keys: list[str], order: list[str], name: str = "rn",
-                hot_key_rows: int = DEFAULT_HOT_KEY_ROWS, partitions: int | None = None) -> DataFrame:
-    """Add a 1-based ``name`` numbering rows of each ``keys`` group by ``order``.
-
-    ``order`` must be unique within a key (ties are broken arbitrarily)."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    # Hot keys number at most rows / hot_key_rows: a bounded list, so it is
-    # fetched to decide the plan and broadcast back as a small side.
-    hot_rows = sizes.filter(F.col("__n") > hot_key_rows).select(*keys).collect()
-    w = Window.partitionBy(*keys).orderBy(*order)
-    if not hot_rows:
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    hot = df.sparkSession.createDataFrame(hot_rows, sizes.select(*keys).schema)
-    tagged = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
-    cold = tagged.filter(F.col("__hot").isNull()).drop("__hot")
-    warm = tagged.filter(F.col("__hot")).drop("__hot")
-
-    w = Window.partitionBy(*keys).orderBy(*order)
-    cold_ranked = cold.withColumn(name, F.row_number().over(w).cast("bigint"))
+                partitions: int | None = None) -> DataFrame:
+    """Add a 1-based ``name`` numbering rows of each ``keys`` group by ``order`` (ties in any order, each number once).
 
+    The sorted rows are written once to the shared folder: task and place are data from then on, so a lost executor
+    cannot change them."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [*keys, *order]
-    ranged = (warm.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__pos", F.monotonically_increasing_id()))
+    ranged = materialize(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                         .withColumn("__pid", F.spark_partition_id()).withColumn("__pos", F.monotonically_increasing_id()),
+                         "ranked")
     spans = ranged.groupBy(*keys, "__pid").agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.withColumn("__offset", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
-    warm_ranked = (ranged.join(spans.select(*keys, "__pid", "__first", "__offset"), [*keys, "__pid"])
-                   .withColumn(name, (F.col("__pos") - F.col("__first") + 1 + F.col("__offset")).cast("bigint"))
-                   .drop("__pid", "__pos", "__first", "__offset"))
-    return cold_ranked.unionByName(warm_ranked)
+    spans = spans.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__pid").alias("__p"), "__first",
+                         F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__offset"))
+    same = F.col("__pid") == F.col("__p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return (ranged.join(spans, same)
+            .withColumn(name, (F.col("__pos") - F.col("__first") + 1 + F.col("__offset")).cast("bigint"))
+            .drop("__pid", "__pos", "__first", "__offset", "__p", *[f"__k{i}" for i in range(len(keys))]))

@@ -8,6 +8,8 @@ needs an ordered string aggregate, which the two engines spell differently.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -183,24 +185,16 @@ def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None
         spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
 
 
+def tables_of(name: str) -> list[str]:
+    """Base tables that a fixture and the fixtures below it name."""
+    text = " ".join(FIXTURES[n][0] for n in (name, *FIXTURES[name][2]))
+    return [t for t in BASE_TABLES if re.search(rf"\b(?:FROM|JOIN)\s+{t}\b", text)]
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One fixture as a DataFrame (registers the base views it needs)."""
-    register_tables(spark, sf_dir)
+    """One fixture as a DataFrame; only the base views that it names are registered."""
+    register_tables(spark, sf_dir, tables_of(name))
     for dep in FIXTURES[name][2]:
         spark.sql(FIXTURES[dep][0]).createOrReplaceTempView(dep)
     return spark.sql(FIXTURES[name][0])
 
-
-def oracle_ctes(*names: str) -> str:
-    """'WITH fx_a AS (...), fx_b AS (...)' in dependency order, DuckDB dialect."""
-    ordered: list[str] = []
-
-    def add(n):
-        for d in FIXTURES[n][2]:
-            add(d)
-        if n not in ordered:
-            ordered.append(n)
-
-    for n in names:
-        add(n)
-    return "WITH " + ",\n".join(f"{n} AS ({FIXTURES[n][1]})" for n in ordered)

@@ -20,8 +20,7 @@ from ..functions import paths as P
 from ..functions import text as X
 from ..operators import files as FO
 from ..operators import reports as R
-from ..operators.ranking import DEFAULT_HOT_KEY_ROWS
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir
 from ..sources.archives import expand_archives
 
 
@@ -48,61 +47,62 @@ class Preprocessed:
     routes: DataFrame           # F11 outputs before failures
     failures: DataFrame         # failures that hit a produced output
     outputs: DataFrame          # routes minus failed conversions
+    archive_errors: DataFrame   # archives (or members) that could not be read: submission, path, name, error
 
 
-def preprocess(files: DataFrame, failures: DataFrame | None = None, max_depth: int = 1,
-               hot_key_rows: int = DEFAULT_HOT_KEY_ROWS, checkpoint: bool = True) -> Preprocessed:
-    """Build the preprocess plan.  ``files``: submission, path, name,
-    size_bytes, content[, doc_id]; ``failures``: submission, ord (= doc_id),
-    failure_reason, conversion_type."""
+FAILURE_COLUMNS = ("submission", "path", "failure_reason", "conversion_type", "order_key")
+
+
+def preprocess(files: DataFrame, failures: DataFrame | None = None, max_depth: int = 1) -> Preprocessed:
+    """Build the preprocess plan.
+
+    ``files``: submission, path, name, size_bytes, content; other columns are carried along for top-level files.
+    ``failures``: submission, path (of a file or an archive member), failure_reason, conversion_type ('PDF' or 'Image')
+    and, if present, order_key, by which a submission's reasons are told in turn (else by path).
+
+    The plan is lazy but for one write: the table of classified files and members, sorted for naming, from which all
+    roll-ups read.  An unreadable archive is listed in ``archive_errors``; the counts are those of files."""
     ensure_checkpoint_dir(files.sparkSession)
     f = files.filter(~F.col("submission").startswith("#")).withColumn("rel", relative_path())
     submissions = f.select("submission").distinct()
     done = f.filter(F.col("rel").startswith("processed/")).select("submission").distinct()
-    pending = f.join(done, "submission", "left_anti")
-    below = FO.exclude_processed(pending, "rel")
-    classified = FO.classify_files(below)
-    if checkpoint:
-        # The inventory feeds routes, counts, skips and outcomes: compute it
-        # once, cut the lineage into the shared checkpoint folder (survives
-        # executor loss), and keep content only where a later step reads it.
-        keep = (F.col("category") == "archive") | ((F.col("category") == "mixed") & (F.col("ext") == ".pdf"))
-        classified = materialize(classified.withColumn("content", F.when(keep, F.col("content"))), "classified")
-    proc = classified.filter("should_process")
-
-    top = proc.filter(F.col("category") != "archive").withColumn("text", _as_text(proc)).drop("content")
-    arch = proc.filter(F.col("category") == "archive")
-    members = (expand_archives(arch, max_depth=max_depth, store=checkpoint).filter(F.col("error").isNull())
-               .select("submission", F.col("member_path").alias("path"), "name", "size_bytes", "content"))
-    members = FO.classify_files(members).filter("should_process")
-    members = members.withColumn("text", _as_text(members)).drop("content")
-    flat = top.unionByName(members, allowMissingColumns=True)
-
-    named = FO.unique_names(flat, hot_key_rows=hot_key_rows)
-    is_pdf = (F.col("category") == "mixed") & (F.col("ext") == ".pdf")
-    named = (named.withColumn("__collapsed", F.when(is_pdf, X.collapse_ws(F.col("text"))))
-             .withColumn("has_text", F.when(is_pdf, X.has_extractable_text(F.col("__collapsed"), collapsed=True))
-                         .otherwise(F.lit(False)))
-             .drop("__collapsed", "text"))
-    if checkpoint:
-        # routes, failures, outputs and every count read this table
-        named = materialize(named, "named_files")
+    below = FO.exclude_processed(f.join(done, "submission", "left_anti"), "rel")
+
+    def texted(df):
+        is_pdf = (F.col("category") == "mixed") & (F.col("ext") == ".pdf")
+        return df.withColumn("has_text", F.when(is_pdf, X.has_extractable_text(_as_text(df))).otherwise(F.lit(False)))
+
+    top = texted(FO.classify_files(below))
+    opened = expand_archives(top.filter(F.col("category") == "archive"), max_depth=max_depth)
+    members = texted(FO.classify_files(opened.filter(F.col("error").isNull()).select(
+        "submission", F.col("member_path").alias("path"), "name", "size_bytes", "content")))
+    errors = opened.filter(F.col("error").isNotNull()).select(
+        "submission", F.coalesce("member_path", "archive_path").alias("path"), F.coalesce("name", F.lit("")).alias("name"), "error")
+    facts = (top.drop("content").withColumn("kind", F.lit("file"))
+             .unionByName(members.drop("content").withColumn("kind", F.lit("member")), allowMissingColumns=True)
+             .unionByName(errors.withColumn("kind", F.lit("archive_error")), allowMissingColumns=True))
+    # only files that are taken on compete for names: the others are numbered apart
+    taken = F.col("should_process") & ~((F.col("kind") == "file") & (F.col("category") == "archive"))
+    facts = FO.unique_names(facts.withColumn("taken", F.coalesce(taken, F.lit(False)))
+                            .withColumn("sub", F.col("submission"))
+                            .withColumn("submission", F.concat(F.when(F.col("taken"), "f").otherwise("-"), F.col("submission"))))
+    facts = facts.withColumn("submission", F.col("sub")).drop("sub")
+    classified = facts.filter(F.col("kind") == "file").drop("unique_name", "taken", "kind", "error")
+    named = facts.filter("taken").drop("taken", "error")
+    archive_errors = facts.filter(F.col("kind") == "archive_error").select("submission", "path", "name", "error")
     routes = FO.route_channels(named)
 
+    hit = routes.select("submission", "path", "channel", F.col("unique_name").alias("filename"))
     if failures is None:
-        eff = routes.limit(0).select("submission", "path", F.lit(None).cast("string").alias("filename"),
-                                     F.lit(None).cast("string").alias("failure_reason"),
-                                     F.lit(None).cast("string").alias("conversion_type"),
-                                     F.lit(None).cast("bigint").alias("order_key"), "channel")
-    else:
-        fl = failures.withColumn("channel", F.when(F.col("conversion_type") == "PDF", "textual").otherwise("visual"))
-        hit = routes.select("submission", "doc_id", "path", "channel", F.col("unique_name").alias("filename"))
-        eff = (fl.join(hit, (fl.submission == hit.submission) & (fl.ord == hit.doc_id) & (fl.channel == hit.channel))
-               .select(fl.submission, hit.path, hit.filename, fl.failure_reason, fl.conversion_type,
-                       (fl.ord * 2 + F.when(fl.conversion_type == "PDF", 0).otherwise(1)).alias("order_key"),
-                       fl.channel))
-    outputs = routes.join(eff.select("submission", "path", "channel"), ["submission", "path", "channel"], "left_anti")
-    return Preprocessed(submissions, done, classified, named, routes, eff, outputs)
+        failures = hit.limit(0).select("submission", "path", *[F.lit(None).cast("string").alias(c) for c in FAILURE_COLUMNS[2:]])
+    if "order_key" not in failures.columns:
+        failures = failures.withColumn("order_key", F.col("path"))
+    fl = failures.select(*FAILURE_COLUMNS).withColumn(
+        "channel", F.when(F.col("conversion_type") == "PDF", "textual").otherwise("visual"))
+    eff = fl.join(hit, ["submission", "path", "channel"]).select(
+        "submission", "path", "filename", "failure_reason", "conversion_type", "order_key", "channel")
+    outputs = routes.join(eff.select("submission", "path", "channel").distinct(), ["submission", "path", "channel"], "left_anti")
+    return Preprocessed(submissions, done, classified, named, routes, eff, outputs, archive_errors)
 
 
 COUNTS = ("total_original_files", "textual_outputs", "visual_outputs", "skipped_files", "failed_files", "scanned_pdfs")

@@ -19,7 +19,7 @@ from . import grading as GR
 from . import preprocess as PP
 from . import sqlgen as G
 from .fixtures import FX_FILES
-from .q_files import CAT_SQL as _CAT, PRE_FX, PRE_STEPS, REASON_SQL as _REASON
+from .q_files import CAT_SQL as _CAT, PRE_FX, PRE_STEPS, REASON_SQL as _REASON, failures_by_path
 from .registry import fx, query, table, with_sql
 
 
@@ -49,7 +49,7 @@ _CTX_SQL = (
 
 @query("build_context", with_sql(PRE_FX, PRE_STEPS, _CTX_SQL))
 def q_build_context(spark, sf_dir):
-    pp = PP.preprocess(fx(spark, sf_dir, "fx_files"), fx(spark, sf_dir, "fx_failures"))
+    pp = PP.preprocess(fx(spark, sf_dir, "fx_files"), failures_by_path(spark, sf_dir))
     info = PP.preprocess_info(pp)
     lists = pp.outputs.groupBy("submission").agg(
         F.array_sort(F.collect_list(F.when(F.col("channel") == "textual", F.col("output_path")))).alias("tf"),

@@ -77,8 +77,16 @@ PRE_STEPS = [
 PRE_FX = ("fx_files", "fx_failures")
 
 
+def failures_by_path(spark, sf_dir):
+    """fx_failures name a file by document; the operator wants its path."""
+    where = fx(spark, sf_dir, "fx_files").select("submission", F.col("doc_id").alias("ord"), "path")
+    fl = fx(spark, sf_dir, "fx_failures").join(where, ["submission", "ord"])
+    turn = F.col("ord") * 2 + F.when(F.col("conversion_type") == "PDF", 0).otherwise(1)
+    return fl.select("submission", "path", "failure_reason", "conversion_type", turn.alias("order_key"))
+
+
 def _pp(spark, sf_dir):
-    return PP.preprocess(fx(spark, sf_dir, "fx_files"), fx(spark, sf_dir, "fx_failures"))
+    return PP.preprocess(fx(spark, sf_dir, "fx_files"), failures_by_path(spark, sf_dir))
 
 
 # ---- S1, S3, F1, F2, F5, F6, F7, F8, F9 -------------------------------------

@@ -51,7 +51,8 @@ def archive_kind(name: str) -> str | None:
     return None
 
 
-def _members(name: str, data: bytes, max_member_bytes: int | None) -> Iterator[tuple[str, bytes]]:
+def _members(name: str, data: bytes, max_member_bytes: int | None) -> Iterator[tuple[str, bytes | None]]:
+    """(path, bytes) of each member; None for one above the limit."""
     kind = archive_kind(name)
     if kind == "zip":
         with zipfile.ZipFile(io.BytesIO(data)) as zf:
@@ -61,7 +62,8 @@ def _members(name: str, data: bytes, max_member_bytes: int | None) -> Iterator[t
                 if info.flag_bits & 0x1:
                     raise ValueError(f"encrypted member {info.filename}")
                 if max_member_bytes is not None and info.file_size > max_member_bytes:
-                    raise ValueError(f"member too large: {info.filename}")
+                    yield info.filename, None
+                    continue
                 yield info.filename, zf.read(info)
     elif kind == "tar":
         with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as tf:
@@ -69,7 +71,8 @@ def _members(name: str, data: bytes, max_member_bytes: int | None) -> Iterator[t
                 if not info.isfile():
                     continue
                 if max_member_bytes is not None and info.size > max_member_bytes:
-                    raise ValueError(f"member too large: {info.name}")
+                    yield info.name, None
+                    continue
                 fh = tf.extractfile(info)
                 yield info.name, fh.read() if fh else b""
     elif kind == "gz":
@@ -101,11 +104,16 @@ def _expand(it: Iterator[pd.DataFrame], max_depth: int, max_member_bytes: int |
                         lzma.LZMAError, zipfile.LargeZipFile) as exc:
                     rows.append({"submission": sub, "archive_path": path, "member_path": None, "name": None,
                                  "size_bytes": None, "content": None, "depth": depth,
-                                 "error": f"Failed to extract {name}: {exc}"[:300]})
+                                 "error": f"Failed to extract {name}: {exc}"})
                     continue
                 for mpath, mdata in found:
                     full = f"{path}!/{mpath}"
                     mname = posixpath.basename(mpath)
+                    if mdata is None:
+                        rows.append({"submission": sub, "archive_path": path, "member_path": full, "name": mname,
+                                     "size_bytes": None, "content": None, "depth": depth,
+                                     "error": f"member too large: {mpath}"})
+                        continue
                     rows.append({"submission": sub, "archive_path": path, "member_path": full, "name": mname,
                                  "size_bytes": len(mdata), "content": mdata, "depth": depth, "error": None})
                     if depth < max_depth and archive_kind(mname) in ("zip", "tar", "gz"):
@@ -140,17 +148,15 @@ def plausible_archive(content) -> F.Column:
     return F.coalesce(out, F.lit(False))
 
 
-def expand_archives(archives: DataFrame, max_depth: int = 1, max_member_bytes: int | None = None,
-                    store: bool = False) -> DataFrame:
+def expand_archives(archives: DataFrame, max_depth: int = 1, max_member_bytes: int | None = None) -> DataFrame:
     """Member rows of every archive row (submission, path, name, content).
 
     ``max_depth=1`` opens only the given archives: archives found inside are
     emitted as members but not opened (reference behaviour; raise it to go
     deeper, D6).  A corrupt, encrypted or unsupported archive yields one row
     with ``error`` set and no members; content without any archive signature
-    gets that row natively, without a trip through Python.  ``store=True``
-    writes the members to the shared folder when Python ran, so later
-    actions read them instead of opening the archives again."""
+    gets that row natively, without a trip through Python.  A member above
+    ``max_member_bytes`` gets a row with ``error``; the others come out."""
     from ..session import ship_package
     ship_package(archives.sparkSession)
     content = F.col("content")
@@ -164,12 +170,5 @@ def expand_archives(archives: DataFrame, max_depth: int = 1, max_member_bytes: i
         F.lit(None).cast("string").alias("name"), F.lit(None).cast("bigint").alias("size_bytes"),
         F.lit(None).cast("binary").alias("content"), F.lit(1).alias("depth"),
         F.concat(F.lit("Failed to extract "), F.col("name"), F.lit(": not a readable archive")).alias("error"))
-    if candidates.isEmpty():
-        # nothing can open: no Python stage at all
-        return rejected
     opened = candidates.mapInPandas(lambda it: _expand(it, max_depth, max_member_bytes), MEMBER_SCHEMA)
-    out = opened.unionByName(rejected)
-    if store:
-        from ..session import materialize
-        out = materialize(out, "archive_members")
-    return out
+    return opened.unionByName(rejected)

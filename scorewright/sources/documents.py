@@ -73,7 +73,7 @@ def _extract(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 else:
                     reason = f"no text extractor for {ext}"
             except Exception as exc:  # noqa: BLE001 - the reason is the row's result
-                text, reason = None, f"{type(exc).__name__}: {exc}"[:300]
+                text, reason = None, f"{type(exc).__name__}: {exc}"
             rows.append((path, text, reason))
         yield pd.DataFrame(rows, columns=["path", "text", "reason"])
 
@@ -118,8 +118,6 @@ def extract_document_text(files: DataFrame) -> DataFrame:
         F.concat(F.lit("no text extractor for "), F.col("ext")).alias("reason"))
     out = html.unionByName(nb).unionByName(rejected).unionByName(other)
     candidates = office.filter("zip_like").select("path", "ext", F.col("bytes").alias("content"))
-    if candidates.isEmpty():
-        return out
     from ..session import ship_package
     ship_package(files.sparkSession)
     return out.unionByName(candidates.mapInPandas(_extract, OUT_SCHEMA))

@@ -86,7 +86,7 @@ def test_unique_names_with_natural_conflict(spark):
 
 def test_rank_within_hot_keys_equal_window(spark):
     df = spark.range(3000).selectExpr("CASE WHEN id % 10 < 8 THEN 'hot' ELSE CAST(id % 7 AS STRING) END AS k", "id")
-    fast = rank_within(df, ["k"], ["id"], hot_key_rows=100)
+    fast = rank_within(df, ["k"], ["id"])
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("id")))
     assert fast.exceptAll(ref.select(*fast.columns)).count() == 0
     assert fast.count() == 3000
