@@ -20,18 +20,25 @@ from .common import ascii_lower
 BITMAPS, BITS = 4096, 32768
 LOG = "digest binary, id long, file string, row long"
 ENTRIES = "digest binary, keep struct<id: long, file: string, row: long>, seen long, batch long"
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # many small stores: files take the room they need, and a commit writes its changes, not the whole store
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 @contextmanager
 def _disk_backed(spark: SparkSession):
-    before = spark.conf.get(_STORE, None)
-    spark.conf.set(_STORE, _ROCKS)
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def normalised(text: Column) -> Column:
