@@ -21,8 +21,8 @@ from pyspark.sql.window import Window
 from .common import byte_list, in_slices, prepared, stored
 
 CAPACITY = 2048
-CACHE_WORDS = 600_000
-BUCKET_ROWS = 20_000
+CACHE_WORDS = 800_000
+BUCKET_ROWS = 2_000
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -54,6 +54,15 @@ class WordCache:
         return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
 
+_CACHES: dict[str, WordCache] = {}  # of this worker process, so that a later task starts with the words it knows
+
+
+def _cache(path: str) -> WordCache:
+    if path not in _CACHES:
+        _CACHES[path] = WordCache(path)
+    return _CACHES[path]
+
+
 def _words(text: bytes) -> list[bytes]:
     """The tokenizer lower-cases anyway; done before, more words are alike.  Not where that could make a special token."""
     return (text if b"<|" in text else text.lower()).split()
@@ -69,7 +78,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
     def run(batches):
         import pyarrow as pa
-        cache = WordCache(tokenizer_path)
+        cache = _cache(tokenizer_path)
         for batch in in_slices(batches, 500):
             texts = [_words(x) for x in byte_list(batch.column(1))]
             out = []
