@@ -162,11 +162,10 @@ def route_channels(files: DataFrame, name_col: str = "unique_name") -> DataFrame
     return files.select("*", F.inline(routes)).drop("__ustem")
 
 
-def scanned_pdfs(files: DataFrame, text_col: str = "content", name_col: str = "unique_name") -> DataFrame:
-    """Mixed PDFs without extractable text, with their text sample."""
+def scanned_pdfs(files: DataFrame, name_col: str = "unique_name") -> DataFrame:
+    """Mixed PDFs without extractable text, with their text sample (column ``text_sample``)."""
     return (files.filter((F.col("category") == "mixed") & (F.col("ext") == ".pdf") & ~F.col("has_text"))
-            .select("submission", "path", F.col(name_col).alias("filename"), "size_bytes",
-                    X.scanned_sample(X.text_sample(F.col(text_col))).alias("text_sample")))
+            .select("submission", "path", F.col(name_col).alias("filename"), "size_bytes", "text_sample"))
 
 
 # ---------------------------------------------------------------- images

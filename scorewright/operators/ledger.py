@@ -49,16 +49,35 @@ def stage_status(plan: DataFrame) -> DataFrame:
     ``parse_ok`` / ``grade_ok`` (null when the call was not made).
 
     parsing: skipped (output exists) / success / failed -> grading skipped
-    'Parsing failed'; grading: skipped (result exists) / success / failed."""
+    'Parsing failed'; grading: skipped (result exists) / success / failed.
+    Optional columns: ``parse_exception`` and ``grade_exception`` (text of an
+    error raised outside the call), ``run_exception`` (the whole submission's
+    worker failed) and ``parsed_present`` (false: no parsed text to grade)."""
+    def optional(name, kind):
+        return F.col(name) if name in plan.columns else F.lit(None).cast(kind)
+
     parse_ok, grade_ok = F.col("parse_ok"), F.col("grade_ok")
-    parsing = F.when(~F.col("do_parse"), "skipped").when(parse_ok, "success").otherwise("failed")
-    parsing_reason = (F.when(~F.col("do_parse"), rules.PARSED_EXISTS)
-                      .when(parse_ok, "").otherwise(rules.PARSE_FAILED))
+    run_x, parse_x, grade_x = (optional(c, "string") for c in ("run_exception", "parse_exception", "grade_exception"))
+    missing = ~F.coalesce(optional("parsed_present", "boolean"), F.lit(True))
     failed_parse = F.col("do_parse") & ~F.coalesce(parse_ok, F.lit(False))
-    grading = (F.when(failed_parse, "skipped").when(~F.col("do_grade"), "skipped")
-               .when(grade_ok, "success").otherwise("failed"))
-    grading_reason = (F.when(failed_parse, rules.PARSING_FAILED_FOR_GRADE)
-                      .when(~F.col("do_grade"), rules.GRADED_EXISTS)
-                      .when(grade_ok, "").otherwise(rules.GRADE_FAILED))
-    return plan.withColumn("parsing", parsing).withColumn("grading", grading) \
-        .withColumn("parsing_reason", parsing_reason).withColumn("grading_reason", grading_reason)
+    thread = F.concat(F.lit(rules.THREAD_EXCEPTION), run_x)
+    parse_error, grade_error = (F.concat(F.lit(rules.EXCEPTION), x) for x in (parse_x, grade_x))
+    cases = [  # (condition, parsing, grading, parsing reason, grading reason), first match wins
+        (run_x.isNotNull(), "failed", "failed", thread, thread),
+        (parse_x.isNotNull(), "failed", "failed", parse_error, parse_error),
+        (failed_parse, "failed", "skipped", F.lit(rules.PARSE_FAILED), F.lit(rules.PARSING_FAILED_FOR_GRADE)),
+        (missing, None, "failed", None, F.lit(rules.NO_PARSED_FILE)),
+        (grade_x.isNotNull(), None, "failed", None, grade_error),
+        (~F.col("do_grade"), None, "skipped", None, F.lit(rules.GRADED_EXISTS)),
+        (grade_ok, None, "success", None, F.lit("")),
+    ]
+    usual = (F.when(F.col("do_parse"), "success").otherwise("skipped"), F.lit("failed"),
+             F.when(F.col("do_parse"), "").otherwise(rules.PARSED_EXISTS), F.lit(rules.GRADE_FAILED))
+    out = {}
+    for i, name in enumerate(("parsing", "grading", "parsing_reason", "grading_reason")):
+        value = usual[i]
+        for case in reversed(cases):
+            then = usual[i] if case[i + 1] is None else F.lit(case[i + 1]) if isinstance(case[i + 1], str) else case[i + 1]
+            value = F.when(F.coalesce(case[0], F.lit(False)), then).otherwise(value)
+        out[name] = value
+    return plan.withColumns(out)

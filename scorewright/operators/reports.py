@@ -64,11 +64,11 @@ def _status3(col: str):
 def stage_rows(results: DataFrame, key: str = "submission") -> DataFrame:
     """Unpivot (parsing, grading) into (submission, stage, status, reason);
     status outside success/skipped counts as failed, reason defaults to 'Unknown'."""
-    parsing = results.select(key, F.lit("parsing").alias("stage"), _status3("parsing").alias("status"),
-                             F.coalesce(F.col("parsing_reason"), F.lit("Unknown")).alias("reason"))
-    grading = results.select(key, F.lit("grading").alias("stage"), _status3("grading").alias("status"),
-                             F.coalesce(F.col("grading_reason"), F.lit("Unknown")).alias("reason"))
-    return parsing.unionByName(grading)
+    def one(stage):
+        return F.struct(F.lit(stage).alias("stage"), _status3(stage).alias("status"),
+                        F.coalesce(F.col(f"{stage}_reason"), F.lit("Unknown")).alias("reason"))
+
+    return results.select(key, F.inline(F.array(one("parsing"), one("grading"))))
 
 
 def processing_report(results: DataFrame, key: str = "submission") -> DataFrame:

@@ -40,14 +40,14 @@ def token_sums() -> list:
 
 
 def priced(df: DataFrame) -> DataFrame:
-    """cost_usd from the per-class token sums, classes added in a fixed order."""
+    """cost_usd from the per-class token sums, classes added in a fixed order; null where a model has no price."""
     cost = None
     for cls, _model, _think, pin, pout in _price_classes():
         term = (F.col(f"__p_{cls}").cast("double") / F.lit(1000000.0)) * F.lit(pin) \
             + (F.col(f"__c_{cls}").cast("double") / F.lit(1000000.0)) * F.lit(pout)
         cost = term if cost is None else cost + term
     drop = [c for c in df.columns if c.startswith("__p_") or c.startswith("__c_")]
-    return df.withColumn("cost_usd", cost).drop(*drop)
+    return df.withColumn("cost_usd", F.when(F.col("unpriced_requests") == 0, cost)).drop(*drop)
 
 
 def _measures() -> list:
@@ -55,6 +55,7 @@ def _measures() -> list:
             F.sum("prompt_tokens").alias("prompt_tokens"),
             F.sum("completion_tokens").alias("completion_tokens"),
             F.sum(F.col("prompt_tokens") + F.col("completion_tokens")).alias("total_tokens"),
+            F.count_if(M.cost_error(F.col("model_type")).isNotNull()).alias("unpriced_requests"),
             *token_sums()]
 
 
@@ -70,18 +71,26 @@ def cost_by_submission(usage: DataFrame, key: str = "submission") -> DataFrame:
 
 
 def stage_timing(usage: DataFrame) -> DataFrame:
-    """Request time per stage and model."""
+    """Request time per stage and model.  Sums are taken in whole microseconds, so that they do not depend on the
+    order of the rows; ``p95_s`` is the least time that at least 95 % of the requests do not exceed."""
     return usage.groupBy("stage", "model_type").agg(
-        F.count(F.lit(1)).alias("requests"), F.avg("elapsed_s").alias("avg_s"),
+        F.count(F.lit(1)).alias("requests"),
+        (F.sum(F.round(F.col("elapsed_s") * 1_000_000).cast("bigint")) / F.lit(1_000_000.0)).alias("total_s"),
         F.max("elapsed_s").alias("max_s"), F.min("elapsed_s").alias("min_s"),
-        F.sum("elapsed_s").alias("total_s"))
+        F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY elapsed_s)").alias("p95_s")).withColumn(
+        "avg_s", F.col("total_s") / F.col("requests"))
 
 
-def merge_usage(existing: DataFrame, new: DataFrame, key: str = "submission") -> DataFrame:
-    """A new 'grading' row replaces the old grading row and keeps parsing;
-    a new 'parsing' row rewrites the submission's whole record (the old
-    grading row is dropped too), as the reference's metadata file does."""
-    reparsed = new.filter(F.col("stage") == "parsing").select(key).distinct()
-    kept = (existing.join(new.select(key, "stage"), [key, "stage"], "left_anti")
-            .join(reparsed, key, "left_anti").withColumn("source", F.lit("existing")))
+MERGE_MODES = ("keep", "rewrite")
+
+
+def merge_usage(existing: DataFrame, new: DataFrame, key: str = "submission", mode: str = "keep") -> DataFrame:
+    """A new row replaces the old row of its submission and stage.  ``keep`` (the default, D18) leaves the other
+    stages' rows; with ``rewrite`` a new 'parsing' row drops the old grading row too, as a rewritten file would."""
+    if mode not in MERGE_MODES:
+        raise ValueError(f"mode must be one of {MERGE_MODES}")
+    kept = existing.join(new.select(key, "stage").distinct(), [key, "stage"], "left_anti")
+    if mode == "rewrite":
+        kept = kept.join(new.filter(F.col("stage") == "parsing").select(key).distinct(), key, "left_anti")
+    kept = kept.withColumn("source", F.lit("existing"))
     return kept.unionByName(new.withColumn("source", F.lit("new")))

@@ -70,7 +70,9 @@ def preprocess(files: DataFrame, failures: DataFrame | None = None, max_depth: i
 
     def texted(df):
         is_pdf = (F.col("category") == "mixed") & (F.col("ext") == ".pdf")
-        return df.withColumn("has_text", F.when(is_pdf, X.has_extractable_text(_as_text(df))).otherwise(F.lit(False)))
+        text = _as_text(df)
+        return (df.withColumn("has_text", F.when(is_pdf, X.has_extractable_text(text)).otherwise(F.lit(False)))
+                .withColumn("text_sample", F.when(is_pdf, X.scanned_sample(X.text_sample(text)))))
 
     top = texted(FO.classify_files(below))
     opened = expand_archives(top.filter(F.col("category") == "archive"), max_depth=max_depth)
@@ -105,6 +107,25 @@ def preprocess(files: DataFrame, failures: DataFrame | None = None, max_depth: i
     return Preprocessed(submissions, done, classified, named, routes, eff, outputs, archive_errors)
 
 
+def file_lists(pp: Preprocessed) -> DataFrame:
+    """The lists of the preprocess result as rows (submission, kind, name, path, size_bytes, detail).
+
+    kind: original (detail: category), textual and visual (name: output path), skipped (detail: reason), scanned
+    (detail: text sample), failed (detail: reason), archive_error (detail: error)."""
+    def rows(df, kind, name="name", detail=None, size="size_bytes"):
+        return df.select("submission", F.lit(kind).alias("kind"), F.col(name).alias("name"), "path",
+                         (F.col(size) if size else F.lit(None)).cast("bigint").alias("size_bytes"),
+                         (F.col(detail) if detail else F.lit(None)).cast("string").alias("detail"))
+
+    return (rows(pp.files, "original", "unique_name", "category")
+            .unionByName(rows(pp.outputs.filter("channel = 'textual'"), "textual", "output_path"))
+            .unionByName(rows(pp.outputs.filter("channel = 'visual'"), "visual", "output_path"))
+            .unionByName(rows(FO.reportable_skips(pp.classified), "skipped", detail="skip_reason"))
+            .unionByName(rows(FO.scanned_pdfs(pp.files), "scanned", "filename", "text_sample"))
+            .unionByName(rows(pp.failures, "failed", "filename", "failure_reason", size=None))
+            .unionByName(rows(pp.archive_errors, "archive_error", detail="error", size=None)))
+
+
 COUNTS = ("total_original_files", "textual_outputs", "visual_outputs", "skipped_files", "failed_files", "scanned_pdfs")
 
 

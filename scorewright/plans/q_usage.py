@@ -31,12 +31,13 @@ def _priced_sql() -> tuple[str, str]:
                     f"(CAST(c_{cls} AS DOUBLE) / CAST(1000000 AS DOUBLE)) * CAST({pout!r} AS DOUBLE)")
     measures = ("CAST(count(*) AS BIGINT) AS requests, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, "
                 "CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens, "
-                "CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS total_tokens, " + ", ".join(aggs))
-    return measures, "(" + ") + (".join(cost) + ")"
+                "CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS total_tokens, "
+                "CAST(count_if(coalesce(model_type, '') NOT IN ('flash', 'pro')) AS BIGINT) AS unpriced_requests, " + ", ".join(aggs))
+    return measures, "CASE WHEN unpriced_requests = 0 THEN (" + ") + (".join(cost) + ") END"
 
 
 _MEASURES, _COST = _priced_sql()
-_OUT = "requests, prompt_tokens, completion_tokens, total_tokens"
+_OUT = "requests, prompt_tokens, completion_tokens, total_tokens, unpriced_requests"
 
 
 @query("request_cost", with_sql(("fx_usage",), [], "SELECT submission, req, stage, model_type, thinking, "
@@ -70,8 +71,26 @@ def q_cost_by_submission(spark, sf_dir):
     return U.cost_by_submission(fx(spark, sf_dir, "fx_usage"))
 
 
+# Every seventh order's requests went to a model without a price.
+_ODD = [("u", "SELECT * EXCLUDE (model_type), CASE WHEN submission % 7 = 3 THEN 'nano' WHEN submission % 7 = 5 THEN NULL "
+              "ELSE model_type END AS model_type FROM fx_usage")]
+
+
+def _odd_models(spark, sf_dir):
+    u, s = fx(spark, sf_dir, "fx_usage"), F.col("submission") % 7
+    return u.withColumn("model_type", F.when(s == 3, "nano").when(s == 5, F.lit(None)).otherwise(F.col("model_type")))
+
+
+@query("cost_unknown_models", with_sql(("fx_usage",), _ODD + [("g", f"SELECT submission, {_MEASURES} FROM u GROUP BY submission")],
+                                       f"SELECT submission, {_OUT}, {_COST} AS cost_usd FROM g"))
+def q_cost_unknown_models(spark, sf_dir):
+    return U.cost_by_submission(_odd_models(spark, sf_dir))
+
+
 @query("stage_timing", with_sql(("fx_usage",), [], "SELECT stage, model_type, CAST(count(*) AS BIGINT) AS requests, "
-                                "avg(elapsed_s) AS avg_s, max(elapsed_s) AS max_s, min(elapsed_s) AS min_s, sum(elapsed_s) AS total_s "
+                                "max(elapsed_s) AS max_s, min(elapsed_s) AS min_s, quantile_disc(elapsed_s, 0.95) AS p95_s, "
+                                "CAST(sum(CAST(round(elapsed_s * 1000000) AS BIGINT)) AS BIGINT) / CAST(1000000 AS DOUBLE) AS total_s, "
+                                "CAST(sum(CAST(round(elapsed_s * 1000000) AS BIGINT)) AS BIGINT) / CAST(1000000 AS DOUBLE) / count(*) AS avg_s "
                                 "FROM fx_usage GROUP BY stage, model_type"))
 def q_stage_timing(spark, sf_dir):
     return U.stage_timing(fx(spark, sf_dir, "fx_usage"))
@@ -92,13 +111,21 @@ _SPLIT = [("old", "SELECT submission, stage, CAST(sum(prompt_tokens) AS BIGINT)
                   "CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens FROM fx_usage WHERE req > 4 GROUP BY ALL")]
 
 
+@query("merge_usage_keep", with_sql(("fx_usage",), _SPLIT,
+                                    "SELECT o.*, 'existing' AS source FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.submission = o.submission AND n.stage = o.stage) "
+                                    "UNION ALL SELECT n.*, 'new' AS source FROM new n"))
+def q_merge_usage_keep(spark, sf_dir):
+    old, new = _split_usage(fx(spark, sf_dir, "fx_usage"))
+    return U.merge_usage(old, new)
+
+
 @query("merge_usage", with_sql(("fx_usage",), _SPLIT,
                                "SELECT o.*, 'existing' AS source FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.submission = o.submission AND n.stage = o.stage) "
                                "AND o.submission NOT IN (SELECT submission FROM new WHERE stage = 'parsing') "
                                "UNION ALL SELECT n.*, 'new' AS source FROM new n"))
 def q_merge_usage(spark, sf_dir):
     old, new = _split_usage(fx(spark, sf_dir, "fx_usage"))
-    return U.merge_usage(old, new)
+    return U.merge_usage(old, new, mode="rewrite")
 
 
 @query("model_type", with_sql(("fx_usage",), [], "SELECT submission, req, model_type || '-2.5-' || stage AS model_name, "

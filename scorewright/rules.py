@@ -1,7 +1,7 @@
 """Rule tables of the intake and pricing logic.
 
-FIXED VALUES: everything in this module must equal the behaviour being
-reproduced (extension sets, skip lists, size limits, prices, caps, retry
+FIXED VALUES: everything in this module but EMPTY_REPLY_MARKER must equal the
+behaviour being reproduced (extension sets, skip lists, size limits, prices, caps, retry
 defaults).  They are kept as plain data so every operator reads them from one
 place and a deployment can swap them without touching code.
 """
@@ -66,6 +66,10 @@ GRADED_EXISTS = "grading_result.json already exists"
 PARSE_FAILED = "Failed to parse submission"
 GRADE_FAILED = "Failed to grade submission"
 PARSING_FAILED_FOR_GRADE = "Parsing failed"
+NO_PARSED_FILE = "No parsed submission file"
+EXCEPTION = "Exception: "
+THREAD_EXCEPTION = "Thread exception: "
+# our own wording (a documented divergence): it names no vendor
 EMPTY_REPLY_MARKER = "Error: Empty response from the model. Please check the submission files."
 JSON_PARSE_ERROR = "Failed to parse grading results"
 

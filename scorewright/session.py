@@ -105,6 +105,22 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store it names; other errors rise."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+_TABLES: list[str] = []
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete every table that ``materialize`` has written; call it when their results have been read."""
+    while _TABLES:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df, name: str):
     """Write ``df`` as a parquet table under the shared checkpoint folder and
     return a DataFrame reading it back: the plan runs once, the lineage is
@@ -114,4 +130,5 @@ def materialize(df, name: str):
 
     path = shared_dir(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _TABLES.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

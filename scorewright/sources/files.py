@@ -115,14 +115,17 @@ def read_preprocess_info(spark: SparkSession, path: str, multi_line: bool = True
             .withColumn("file_path", F.col("_metadata.file_path")))
 
 
-def read_usage_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """grading_metadata.json files -> one row per (file, stage); bad JSON -> no rows."""
-    raw = (spark.read.text(path, wholetext=True)
+def read_usage_ledger(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """grading_metadata.json files -> one row per (file, stage); bad JSON -> no rows.  ``one_per_line``: files of one
+    document a line, whose ``submission`` is returned too."""
+    raw = (spark.read.text(path, wholetext=not one_per_line)
            .select(F.col("_metadata.file_path").alias("file_path"), F.try_parse_json("value").alias("v")))
     stages = raw.filter(F.col("v").isNotNull()).selectExpr("file_path", "v")
+    if one_per_line:
+        stages = stages.withColumn("submission", F.try_variant_get("v", "$.submission", "string"))
     out = None
     for stage in ("parsing", "grading"):
-        s = stages.select("file_path", F.lit(stage).alias("stage"),
+        s = stages.select("file_path", *(["submission"] if one_per_line else []), F.lit(stage).alias("stage"),
                           *[F.try_variant_get("v", f"$.{stage}.{k}", t).alias(k) for k, t in (
                               ("prompt_tokens", "bigint"), ("completion_tokens", "bigint"), ("total_tokens", "bigint"),
                               ("cost_usd", "double"), ("model_type", "string"), ("processing_time_seconds", "double"),

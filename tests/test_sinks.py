@@ -3,40 +3,83 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from scorewright import sinks
 from scorewright.sources.files import read_file_contents, scan_files
 
 
+def _path(name):
+    return os.path.join(tempfile.mkdtemp(prefix="sw-sink-"), name)
+
+
 def test_ledger_insert_if_absent_and_idempotent(spark):
-    root = tempfile.mkdtemp(prefix="sw-ledger-")
-    path = os.path.join(root, "ledger")
-    a = spark.createDataFrame([("s1", "parsing"), ("s2", "parsing")], "submission string, stage string")
+    path = _path("ledger")
+    a = spark.createDataFrame([("s1", "parsing"), ("s2", "parsing"), ("s2", "parsing")], "submission string, stage string")
     new1 = sinks.write_ledger(a, path, ["submission", "stage"], run_date="2026-01-01")
     assert new1.count() == 2
     b = spark.createDataFrame([("s2", "parsing"), ("s3", "parsing")], "submission string, stage string")
     sinks.write_ledger(b, path, ["submission", "stage"], run_date="2026-01-02")
-    sinks.write_ledger(b, path, ["submission", "stage"], run_date="2026-01-02")   # retried run
+    again = sinks.write_ledger(b, path, ["submission", "stage"], run_date="2026-01-02")   # retried run
+    assert [r.submission for r in again.collect()] == ["s3"]
     rows = sorted((r.submission, str(r.run_date)) for r in spark.read.parquet(path).collect())
     assert rows == [("s1", "2026-01-01"), ("s2", "2026-01-01"), ("s3", "2026-01-02")]
 
 
+def test_ledger_upsert_replaces_and_dedupes(spark):
+    path, cols = _path("ledger"), "submission string, seq int, value string"
+    sinks.write_ledger(spark.createDataFrame([("s1", 1, "old"), ("s1", 2, "newer"), ("s2", 1, "x")], cols), path, ["submission"],
+                       run_date="2026-01-01", run_id="a", mode="upsert", seq="seq")
+    sinks.write_ledger(spark.createDataFrame([("s1", 1, "regraded")], cols), path, ["submission"],
+                       run_date="2026-01-01", run_id="b", mode="upsert", seq="seq")
+    got = {r.submission: r.value for r in sinks.read_ledger(spark, path, cols, ["submission"]).collect()}
+    assert got == {"s1": "regraded", "s2": "x"}
+    assert sinks.read_ledger(spark, path + "-none", cols, ["submission"]).count() == 0
+
+
+def test_ledger_read_errors_rise(spark):
+    path = _path("ledger")
+    os.makedirs(f"{path}/run_date=2026-01-01/run_id=a")
+    with open(f"{path}/run_date=2026-01-01/run_id=a/part-0.parquet", "wb") as f:
+        f.write(b"not parquet")
+    df = spark.createDataFrame([("s1", "v")], "submission string, value string")
+    with pytest.raises(Exception):
+        sinks.write_ledger(df, path, ["submission"], run_date="2026-01-02")
+    assert os.path.exists(f"{path}/run_date=2026-01-01/run_id=a/part-0.parquet")
+
+
 def test_processing_report_is_ordered(spark):
-    root = tempfile.mkdtemp(prefix="sw-report-")
     results = spark.createDataFrame(
         [("b", "success", "skipped", None, "grading_result.json already exists"),
          ("a", "failed", "skipped", "Failed to parse submission", "Parsing failed"),
          ("c", "success", "success", None, None)],
         "submission string, parsing string, grading string, parsing_reason string, grading_reason string")
-    sinks.write_processing_report(results, f"{root}/report", generated="2026-01-01 00:00:00", partitions=3)
-    parts = sorted(f for f in os.listdir(f"{root}/report") if f.startswith("part-"))
-    text = "".join(open(f"{root}/report/{p}").read() for p in parts)
-    assert text.index("COMPREHENSIVE PROCESSING REPORT") < text.index("PARSING SUMMARY:") < text.index("GRADING SUMMARY:")
-    assert "✓ Successful: 2" in text and "✗ Failed: 1" in text
-    assert text.index("  • b") < text.index("  • c")
-    assert "  • a - Failed to parse submission" in text
-    assert text.rstrip().endswith("=" * 80)
+    path = _path("report")
+    sinks.write_processing_report(results, path, generated="2026-01-01 00:00:00", partitions=3)
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    text = "".join(open(f"{path}/{p}").read() for p in parts)
+    rule, sub, detail = "=" * 80, "-" * 40, "-" * 50
+    expected = [rule, "COMPREHENSIVE PROCESSING REPORT", rule, "Generated: 2026-01-01 00:00:00", "Total Submissions Processed: 3", "",
+                "PARSING SUMMARY:", sub, "✓ Successful: 2", "⏭ Skipped: 0", "✗ Failed: 1", "",
+                "GRADING SUMMARY:", sub, "✓ Successful: 1", "⏭ Skipped: 2", "✗ Failed: 0", "",
+                rule, "DETAILED RESULTS", rule, "", "PARSING RESULTS:", detail,
+                "✓ SUCCESSFUL PARSING:", "  • b", "  • c", "", "✗ FAILED PARSING:", "  • a - Failed to parse submission", "",
+                "GRADING RESULTS:", detail, "✓ SUCCESSFUL GRADING:", "  • c", "",
+                "⏭ SKIPPED GRADING:", "  • a - Parsing failed", "  • b - grading_result.json already exists", "",
+                rule, "END OF REPORT", rule]
+    assert text == "\n".join(expected) + "\n"
+    back = sinks.read_report(spark, path).orderBy("line_no").collect()
+    assert [r.line for r in back] == expected and [r.line_no for r in back] == list(range(1, len(expected) + 1))
+
+
+def test_invalid_report_counts_entries(spark):
+    path = _path("invalid")
+    rows = spark.createDataFrame([("b", "invalid"), ("a", "not_preprocessed"), ("a", "invalid")], "submission string, kind string")
+    sinks.write_invalid_report(rows, path, partitions=2)
+    lines = [r.line for r in sinks.read_report(spark, path).orderBy("line_no").collect()]
+    assert lines[:4] == ["=== INVALID SUBMISSIONS SUMMARY ===", "", "Total invalid submissions: 3", ""]
+    assert [x for x in lines if x.startswith("Report: ")] == ["Report: a_invalid.txt", "Report: a_not_preprocessed.txt", "Report: b_invalid.txt"]
 
 
 def test_scan_files_keeps_hidden_and_empty(spark):
