@@ -42,17 +42,19 @@ def fingerprint(text: bytes, words: int = SHINGLE_WORDS, seed: int = SEED) -> in
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) for every row; ``fp`` is the fingerprint as a signed long.  Null text counts as empty."""
+    """(doc_id, mark, fp) for every row: ``mark`` is a hash of the text, ``fp`` the fingerprint as a signed long.  Null
+    text counts as empty."""
     prepared(docs.sparkSession)
 
     def make(batches):
         import pyarrow as pa
         for batch in batches:
-            fps = np.array([fingerprint(t, words) for t in byte_list(batch.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t, words) for t in byte_list(batch.column(2))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fps, pa.int64())], ["doc_id", "mark", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")
-                       ).mapInArrow(make, "doc_id long, fp long")
+    t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(t).alias("mark"), t.alias("t")
+                       ).mapInArrow(make, "doc_id long, mark long, fp long")
 
 
 def block_keys(fp: Column, rows: int, most: int = MAX_BITS) -> Column:
@@ -119,27 +121,33 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null or wordless texts have fingerprint 0 and link like any other.  Repeated rows each stay.  A null doc_id
     counts as larger than any other; component_id is null if all ids of the component are.  Only the two named
     columns are read, so others may have any name.  An empty table gives an empty result."""
+    return _grouped(docs, id_col, text_col, words, max_bits).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int) -> DataFrame:
+    """(doc_id, mark, fp, component, component_id) of every row; ``component`` is the least fingerprint of it."""
     marked = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
     classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     joined = stored(connected_components(fingerprint_links(classes.select("fp"), max_bits)), "components")
     known = classes.join(joined, F.col("fp") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "fp"))
     least = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = known.join(least, "component").select("fp", "component_id")
-    return marked.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    by_print = stored(known.join(least, "component").select("fp", "component", "component_id"), "by-print")
+    return marked.join(by_print, "fp")
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents left when of each component only the row with the smallest doc_id stays.  Of several rows with
-    that very doc_id one stays (the least by text, then by the other columns); rows with a null doc_id go if
-    their component has any other row, else one of them stays."""
-    groups = stored(simhash_components(docs, words=words, max_bits=max_bits).select("doc_id", "component_id"), "groups")
-    ident = lambda c: F.coalesce(F.col(c), F.lit(NO_ID))
-    winners = (groups.filter(ident("doc_id") == ident("component_id")).groupBy(ident("doc_id").alias("winner"))
-               .agg(F.count(F.lit(1)).alias("times")))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+    """The documents left when of each component only the row with the smallest doc_id stays (null ids come last; of
+    rows with one id and different texts, the one whose text has the least hash; of rows alike in both, the least by
+    the other columns)."""
+    groups = stored(_grouped(docs, "doc_id", "text", words, max_bits).select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "mark", "component"), "groups")
+    winners = groups.groupBy("component").agg(F.min(F.struct("id", "mark")).alias("w")).select("w.id", "w.mark")
+    times = groups.join(winners, ["id", "mark"], "left_semi").groupBy("id", "mark").agg(F.count(F.lit(1)).alias("times"))
+    t = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(t).alias("mark"),
                        F.struct("text", *[c for c in docs.columns if c != "text"]).alias("row"))
-    here = rows.join(winners, F.col("id") == F.col("winner"))
+    here = rows.join(times, ["id", "mark"])
     once = here.filter("times = 1").select("row")
-    one = here.filter("times > 1").groupBy("id").agg(F.min("row").alias("row")).select("row")
+    one = here.filter("times > 1").groupBy("id", "mark").agg(F.min("row").alias("row")).select("row")
     return once.unionByName(one).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
