@@ -138,10 +138,10 @@ def pooled(text: str, slots: _Slots, vectors: np.ndarray) -> np.ndarray:
         step += d.sum(0)
         still += int((part[1:] == part[:-1]).sum())
         v = v[:STRIDE]
-        s += v.sum(0)
-        q += (v * v).sum(0)
+        s += v.sum(0, dtype=np.float64)
+        q += (v * v).sum(0, dtype=np.float64)
     out[:2 * DIM] = s / n
-    out[2 * DIM:4 * DIM] = np.sqrt(np.maximum(0, q / n - (s / n) ** 2))
+    out[2 * DIM:4 * DIM] = np.sqrt(np.maximum(0, q / n - (s / n) ** 2 - 1e-5))  # less than rounding is no spread
     out[4 * DIM:5 * DIM] = step / max(1, n - 1)
     out[5 * DIM:] = still / max(1, n - 1), np.log1p(n)
     return out
