@@ -123,34 +123,41 @@ def render_solution_markdown(request: str) -> str:
     return re.sub(r"TOTAL_\S+ ", "0 ", text)
 
 
+CALLS_PER_BATCH = 16
+
+
 def _call(it: Iterator[pd.DataFrame], factory: Callable, max_retries: int, retry_delay: float,
           sleep: Callable[[float], None], keep: list[str]) -> Iterator[pd.DataFrame]:
     client = factory()
     model_name = getattr(client, "model_name", "")
     model_type = "pro" if "pro" in model_name else "flash"
     for pdf in it:
-        rows = []
-        for rec in pdf.to_dict("records"):
-            start = time.time()
-            reply, error, attempts = None, None, 0
-            for attempt in range(max_retries + 1):
-                attempts = attempt + 1
-                try:
-                    reply = client.generate(rec["stage"], rec["request"])
-                    error = None
-                    break
-                except Exception as exc:  # noqa: BLE001 - the error is the row's result
-                    error = f"{type(exc).__name__}: {exc}"[:500]
-                    if attempt < max_retries:
-                        sleep(retry_delay * (2 ** attempt))
-            out = {k: rec[k] for k in keep}
-            out.update({"text": reply.text if reply else None,
-                        "prompt_tokens": reply.prompt_tokens if reply else None,
-                        "completion_tokens": reply.completion_tokens if reply else None,
-                        "elapsed_s": time.time() - start, "attempts": attempts, "error": error,
-                        "model_type": model_type})
-            rows.append(out)
-        yield pd.DataFrame(rows, columns=keep + [f.name for f in RESPONSE_FIELDS])
+        # answers leave in small groups: a lost task repeats few calls
+        for at in range(0, len(pdf), CALLS_PER_BATCH):
+            part = pdf.iloc[at:at + CALLS_PER_BATCH]
+            answers = [_answer(client, stage, request, model_type, max_retries, retry_delay, sleep)
+                       for stage, request in zip(part["stage"], part["request"])]
+            fields = pd.DataFrame(answers, columns=[f.name for f in RESPONSE_FIELDS], index=part.index)
+            yield pd.concat([part[keep], fields], axis=1)  # the key columns go through as they came
+
+
+def _answer(client, stage, request, model_type, max_retries, retry_delay, sleep) -> dict:
+    start = time.time()
+    reply, error, attempts = None, None, 0
+    for attempt in range(max_retries + 1):
+        attempts = attempt + 1
+        try:
+            reply = client.generate(stage, request)
+            error = None
+            break
+        except Exception as exc:  # noqa: BLE001 - the error is the row's result
+            error = f"{type(exc).__name__}: {exc}"
+            if attempt < max_retries:
+                sleep(retry_delay * (2 ** attempt))
+    return {"text": reply.text if reply else None,
+            "prompt_tokens": reply.prompt_tokens if reply else None,
+            "completion_tokens": reply.completion_tokens if reply else None,
+            "elapsed_s": time.time() - start, "attempts": attempts, "error": error, "model_type": model_type}
 
 
 def limit_concurrency(df: DataFrame, parallel: int = rules.DEFAULT_PARALLEL, key: str | None = None) -> DataFrame:

@@ -1,13 +1,12 @@
 """Structure hints -> rubric rows, totals, solution markdown.
 
-Lines come from one hint row, so every window below is partitioned by the
-hint (one assignment): a group is one hint's lines, and all windows share
-that one shuffle.
+A hint is one row and is folded in place.  The windows over solution markdown
+are partitioned by the assignment: a group is one solution's lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 EXERCISE_RE = r"^\s*Exercise\s+([^\s:]+)\s*:?(.*)$"
 MARKER_RE = r"^\s*\(?([A-Za-z]+)\)\s*(.*)$"
@@ -25,6 +24,28 @@ def _pts(text):
     return F.nullif(F.regexp_extract(text, POINTS_RE, 1), F.lit("")).cast("double")
 
 
+_UNIT = "struct<ord: int, exercise: string, part: string, sub: string, points: double>"
+
+
+def _hint_events(text: Column) -> Column:
+    """The lines of a hint that say something, as structs: ord, ex (exercise number), marker, roman (its shape), pts."""
+    lines = F.transform(F.split(text, "\n"), lambda raw, i: F.struct((i + 1).alias("ord"), F.regexp_replace(raw, "\r$", "").alias("line")))
+    marked = F.transform(lines, lambda x: F.struct(
+        x["ord"].alias("ord"), x["line"].alias("line"), F.nullif(F.regexp_extract(x["line"], EXERCISE_RE, 1), F.lit("")).alias("ex"),
+        F.nullif(F.lower(F.regexp_extract(x["line"], MARKER_RE, 1)), F.lit("")).alias("marker")))
+
+    def event(x):
+        header, marker = x["ex"].isNotNull(), x["marker"].isNotNull()
+        pts = (F.when(header, _pts(F.regexp_extract(x["line"], EXERCISE_RE, 2)))
+               .when(marker, _pts(F.regexp_extract(x["line"], MARKER_RE, 2)))
+               .otherwise(F.nullif(F.regexp_extract(x["line"], BARE_POINTS_RE, 1), F.lit("")).cast("double")))
+        own = F.when(~header, x["marker"])
+        return F.struct(x["ord"].alias("ord"), x["ex"].alias("ex"), own.alias("marker"),
+                        F.coalesce(own.rlike(ROMAN_RE), F.lit(False)).alias("roman"), pts.alias("pts"))
+
+    return F.filter(F.transform(marked, event), lambda x: x["ex"].isNotNull() | x["marker"].isNotNull() | x["pts"].isNotNull())
+
+
 def parse_structure_hint(hints: DataFrame, key: str = "assignment_id", text_col: str = "hint") -> DataFrame:
     """Rubric rows (key, ord, exercise, part, sub, points).
 
@@ -33,51 +54,38 @@ def parse_structure_hint(hints: DataFrame, key: str = "assignment_id", text_col:
     a part if it is a Roman numeral, unless the marker before it in the
     exercise is the preceding letter (h-i, u-v, w-x); letters are sub-parts
     under a part.  An unpointed part is a container; a pointed part with
-    pointed children counts its children only."""
-    lines = hint_lines(hints, key, text_col)
-    ex_id = F.regexp_extract("line", EXERCISE_RE, 1)
-    marker = F.lower(F.regexp_extract("line", MARKER_RE, 1))
-    df = (lines.withColumn("ex_id", F.nullif(ex_id, F.lit("")))
-          .withColumn("marker", F.when(F.col("ex_id").isNull(), F.nullif(marker, F.lit(""))))
-          .withColumn("bare", F.col("ex_id").isNull() & F.col("marker").isNull() & F.col("line").rlike(BARE_POINTS_RE))
-          .withColumn("pts", F.when(F.col("ex_id").isNotNull(), _pts(F.regexp_extract("line", EXERCISE_RE, 2)))
-                      .when(F.col("marker").isNotNull(), _pts(F.regexp_extract("line", MARKER_RE, 2)))
-                      .when(F.col("bare"), F.regexp_extract("line", BARE_POINTS_RE, 1).cast("double"))))
-    # Every window shares (hint, line order): one shuffle and one sort.
-    # Per-exercise state is carried by a '#' sentinel on header lines.
-    base = Window.partitionBy(key).orderBy("ord")
-    upto = base.rowsBetween(Window.unboundedPreceding, 0)
-    before = base.rowsBetween(Window.unboundedPreceding, -1)
-    after = base.rowsBetween(1, Window.unboundedFollowing)
-    rest = base.rowsBetween(0, Window.unboundedFollowing)
-    header = F.col("ex_id").isNotNull()
-    df = df.withColumn("exercise", F.last(F.when(header, F.concat(F.lit("Exercise "), F.col("ex_id"))),
-                                          ignorenulls=True).over(upto))
-    pred = (F.when(F.col("marker") == "i", "h").when(F.col("marker") == "v", "u").when(F.col("marker") == "x", "w"))
-    df = df.withColumn("prev_marker", F.last(F.when(header, F.lit("#")).otherwise(F.col("marker")),
-                                             ignorenulls=True).over(before))
-    roman = F.col("marker").rlike(ROMAN_RE) & ~F.coalesce(F.col("prev_marker") == pred, F.lit(False))
-    df = df.withColumn("is_roman", F.col("marker").isNotNull() & roman)
-    df = df.withColumn("cur_part", F.nullif(F.last(F.when(header, F.lit("#")).when(F.col("is_roman"), F.col("marker")),
-                                                   ignorenulls=True).over(upto), F.lit("#")))
-    df = df.withColumn("level", F.when(header | F.col("bare"), "exercise")
-                       .when(F.col("is_roman") | (F.col("marker").isNotNull() & F.col("cur_part").isNull()), "part")
-                       .when(F.col("marker").isNotNull(), "sub"))
-    df = df.withColumn("part", F.when(F.col("level") == "part", F.col("marker"))
-                       .when(F.col("level") == "sub", F.col("cur_part")))
-    # pointed sub-parts of a part = running count at the next part/exercise
-    # line (or the end) minus the running count at the part line
-    boundary = F.col("level").isin("part", "exercise")
-    df = df.withColumn("__c", F.sum(F.when((F.col("level") == "sub") & F.col("pts").isNotNull(), 1).otherwise(0)).over(upto))
-    df = df.withColumn("__c_next", F.coalesce(F.first(F.when(boundary, F.col("__c") - F.lit(0)), ignorenulls=True).over(after),
-                                              F.last("__c").over(rest)))
-    df = df.withColumn("pointed_children", F.col("__c_next") - F.col("__c"))
-    unit = F.col("pts").isNotNull() & ((F.col("level") != "part") | (F.col("pointed_children") == 0))
-    return df.filter(unit).select(
-        key, "ord", "exercise",
-        F.when(F.col("level") == "exercise", F.lit(None).cast("string")).otherwise(F.col("part")).alias("part"),
-        F.when(F.col("level") == "sub", F.col("marker")).alias("sub"),
-        F.col("pts").alias("points"))
+    pointed children counts its children only.
+
+    A hint is one row and is folded in place, line by line: no shuffle."""
+    text = F.lit(None).cast("string")
+    start = F.struct(text.alias("exercise"), text.alias("prev"), text.alias("part"), F.lit(None).cast(_UNIT).alias("open"),
+                     F.lit(False).alias("child"), F.array().cast(f"array<{_UNIT}>").alias("units"))
+
+    def step(s, x):
+        header, marker = x["ex"].isNotNull(), x["marker"].isNotNull()
+        before = F.when(x["marker"] == "i", "h").when(x["marker"] == "v", "u").when(x["marker"] == "x", "w")
+        roman = x["roman"] & ~F.coalesce(s["prev"] == before, F.lit(False))
+        is_part = marker & (roman | s["part"].isNull())
+        is_sub = marker & ~is_part
+        exercise = F.when(header, F.concat(F.lit("Exercise "), x["ex"])).otherwise(s["exercise"])
+        unit = F.when(x["pts"].isNotNull(), F.struct(
+            x["ord"].cast("int").alias("ord"), exercise.alias("exercise"), F.when(is_part, x["marker"]).when(is_sub, s["part"]).alias("part"),
+            F.when(is_sub, x["marker"]).alias("sub"), x["pts"].alias("points")))
+        # a part waits until the next part or exercise line shows whether it has pointed children
+        closed = F.when(~is_sub & s["open"].isNotNull() & ~s["child"], F.array(s["open"])).otherwise(F.array().cast(f"array<{_UNIT}>"))
+        now = F.when(~is_part & unit.isNotNull(), F.array(unit)).otherwise(F.array().cast(f"array<{_UNIT}>"))
+        return F.struct(
+            exercise.alias("exercise"), F.when(header, "#").when(marker, x["marker"]).otherwise(s["prev"]).alias("prev"),
+            F.when(~header, F.when(marker & roman, x["marker"]).otherwise(s["part"])).alias("part"),
+            F.when(is_part, unit).when(is_sub, s["open"]).alias("open"),
+            (is_sub & (s["child"] | x["pts"].isNotNull())).alias("child"),
+            F.concat(s["units"], closed, now).alias("units"))
+
+    def end(s):
+        return F.when(s["open"].isNotNull() & ~s["child"], F.array_append(s["units"], s["open"])).otherwise(s["units"])
+
+    events = hints.select(key, _hint_events(F.col(text_col)).alias("events"))
+    return events.select(key, F.inline(F.aggregate("events", start, step, end)))
 
 
 def rubric_totals(rubric: DataFrame, key: str = "assignment_id") -> DataFrame:
@@ -148,17 +156,22 @@ def parse_solution_units(md: DataFrame, key: str = "assignment_id", text_col: st
 
 
 def validate_solution(units: DataFrame, rubric: DataFrame, key: str = "assignment_id") -> DataFrame:
-    """Per exercise, header total = sum of unit points, and unit points
-    equal the rubric's (null-safe join on exercise, part, sub)."""
-    u = units.alias("u")
-    r = rubric.alias("r")
+    """Per exercise, header total = sum of unit points, and unit points equal the rubric's (null-safe full join on
+    exercise, part, sub, so that a unit the solution omits counts too).
+
+    ``total_ok`` also needs the rubric's total to be reached; an exercise that is only in the rubric has no header."""
+    u, r = units.alias("u"), rubric.alias("r")
     cond = ((F.col("u." + key) == F.col("r." + key)) & (F.col("u.exercise") == F.col("r.exercise"))
             & F.col("u.part").eqNullSafe(F.col("r.part")) & F.col("u.sub").eqNullSafe(F.col("r.sub")))
-    j = u.join(r, cond, "left").select(F.col("u." + key).alias(key), F.col("u.exercise").alias("exercise"),
-                                       F.col("u.points").alias("points"), F.col("u.header_total").alias("header_total"),
-                                       F.col("r.points").alias("rubric_points"))
+    here, there = F.col("u." + key).isNotNull(), F.col("r." + key).isNotNull()
+    j = u.join(r, cond, "full_outer").select(
+        F.coalesce("u." + key, "r." + key).alias(key), F.coalesce("u.exercise", "r.exercise").alias("exercise"),
+        F.col("u.points").alias("points"), F.col("u.header_total").alias("header_total"), F.col("r.points").alias("rubric_points"),
+        here.alias("here"), there.alias("there"))
     return j.groupBy(key, "exercise").agg(
-        F.first("header_total").alias("header_total"), F.sum("points").alias("unit_points"),
-        F.count_if(F.col("rubric_points").isNull()).alias("units_not_in_rubric"),
-        F.count_if(F.col("rubric_points").isNotNull() & (F.col("rubric_points") != F.col("points"))).alias("points_mismatch")) \
-        .withColumn("total_ok", F.abs(F.col("header_total") - F.col("unit_points")) < 1e-9)
+        F.max("header_total").alias("header_total"), F.coalesce(F.sum("points"), F.lit(0.0)).alias("unit_points"),
+        F.count_if(F.col("here") & ~F.col("there")).alias("units_not_in_rubric"),
+        F.count_if(~F.col("here")).alias("units_omitted"),
+        F.count_if(F.col("here") & F.col("there") & (F.col("rubric_points") != F.col("points"))).alias("points_mismatch")) \
+        .withColumn("total_ok", F.coalesce(F.abs(F.col("header_total") - F.col("unit_points")) < 1e-9, F.lit(False))
+                    & (F.col("units_omitted") == 0))

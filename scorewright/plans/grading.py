@@ -18,19 +18,30 @@ from ..operators import rubric as RB
 from ..operators import scores as SC
 
 
+def grade_inputs(plan: DataFrame, parsed: DataFrame, key: str = "submission") -> DataFrame:
+    """Rows to grade with their ``parsed_text``: this run's parse where one was made, else the stored one.
+
+    ``plan``: do_parse, do_grade, stored_text; ``parsed``: parse_ok, parsed_text.  A failed parse, or none stored, is
+    not graded."""
+    j = plan.join(parsed.select(key, "parse_ok", "parsed_text"), key, "left")
+    text = F.when(F.col("do_parse"), F.when(F.col("parse_ok"), F.col("parsed_text"))).otherwise(F.col("stored_text"))
+    return j.withColumn("parsed_text", text).filter(F.col("do_grade") & F.col("parsed_text").isNotNull())
+
+
 def grade_pipeline(submissions: DataFrame, solutions: DataFrame, client_factory: Callable,
                    parsed_ledger: DataFrame | None = None, graded_ledger: DataFrame | None = None,
                    mode: str = "incremental", parallel: int | None = None, **call_opts) -> dict[str, DataFrame]:
     """``submissions``: submission, assignment_id, text; ``solutions``:
-    assignment_id, solution, hint.  Ledgers: submissions already parsed /
-    graded (J1/J2).  Returns responses, scores, usage and status."""
+    assignment_id, solution, hint.  ``parsed_ledger``: submission, parsed_text
+    of work already parsed (J1), which grading then reads; ``graded_ledger``:
+    submissions already graded (J2).  Returns responses, scores, usage and status."""
     key = "submission"
     subs = submissions
     spark = subs.sparkSession
-    empty = spark.createDataFrame([], f"{key} string").select(F.col(key).cast(subs.schema[key].dataType))
+    empty = spark.createDataFrame([], f"{key} string, parsed_text string").withColumn(key, F.col(key).cast(subs.schema[key].dataType))
     parsed_ledger = parsed_ledger if parsed_ledger is not None else empty
     graded_ledger = graded_ledger if graded_ledger is not None else empty
-    flags = (subs.join(parsed_ledger.select(key).distinct().withColumn("parsed_exists", F.lit(True)), key, "left")
+    flags = (subs.join(parsed_ledger.groupBy(key).agg(F.max("parsed_text").alias("stored_text"), F.lit(True).alias("parsed_exists")), key, "left")
              .join(graded_ledger.select(key).distinct().withColumn("graded_exists", F.lit(True)), key, "left")
              .na.fill(False, ["parsed_exists", "graded_exists"]))
     plan = L.stage_plan(flags, mode)
@@ -42,9 +53,7 @@ def grade_pipeline(submissions: DataFrame, solutions: DataFrame, client_factory:
     parse_ok = parsed.select(key, (F.col("error").isNull() & ~PR.is_empty_reply(F.col("text"))).alias("parse_ok"),
                              PR.empty_reply(F.col("text")).alias("parsed_text"))
 
-    graded_in = (plan.join(parse_ok, key, "left")
-                 .withColumn("parsed_text", F.coalesce(F.col("parsed_text"), F.col("text")))
-                 .filter(F.col("do_grade") & (~F.col("do_parse") | F.coalesce(F.col("parse_ok"), F.lit(False))))
+    graded_in = (grade_inputs(plan, parse_ok, key)
                  .join(solutions, "assignment_id"))   # J4: AQE broadcasts the solutions side when small
     grade_req = graded_in.select(key, F.lit("grading").alias("stage"),
                                  PR.build_grade_request(F.col("hint"), F.col("solution"), F.col("parsed_text")).alias("request"))
@@ -53,11 +62,14 @@ def grade_pipeline(submissions: DataFrame, solutions: DataFrame, client_factory:
     replies = SC.parse_replies(graded.filter(F.col("error").isNull()).select(key, F.col("text").alias("report")))
     scores = SC.flatten_scores(replies)
     responses = parsed.unionByName(graded)
-    usage = responses.filter(F.col("error").isNull() & F.col("prompt_tokens").isNotNull()).withColumn(
+    blank_parse = (F.col("stage") == "parsing") & PR.is_empty_reply(F.col("text"))  # T14: such a call is not recorded
+    usage = responses.filter(F.col("error").isNull() & F.col("prompt_tokens").isNotNull() & ~blank_parse).withColumn(
         "total_tokens", M.total_tokens(F.col("prompt_tokens"), F.col("completion_tokens"))).withColumn(
         "cost_usd", M.request_cost(F.col("model_type"), F.col("prompt_tokens"), F.col("completion_tokens")))
-    grade_ok = graded.select(key, F.col("error").isNull().alias("grade_ok"))
-    status = L.stage_status(plan.join(parse_ok.select(key, "parse_ok"), key, "left").join(grade_ok, key, "left")) \
+    grade_ok = graded.select(key, (F.col("error").isNull() & ~PR.is_empty_reply(F.col("text"))).alias("grade_ok"))
+    present = ~(~F.col("do_parse") & F.col("stored_text").isNull())
+    status = L.stage_status(plan.join(parse_ok.select(key, "parse_ok"), key, "left").join(grade_ok, key, "left")
+                            .withColumn("parsed_present", present)) \
         .join(replies.select(key, "json_status"), key, "left")
     return {"responses": responses, "replies": replies, "scores": scores, "usage": usage, "status": status}
 
@@ -84,4 +96,4 @@ def solution_pipeline(solutions: DataFrame, client_factory: Callable, **call_opt
     return {"responses": responses, "units": units, "checks": checks, "usage": usage}
 
 
-__all__ = ["grade_pipeline", "solution_pipeline"]
+__all__ = ["grade_inputs", "grade_pipeline", "solution_pipeline"]

@@ -63,22 +63,22 @@ def q_build_context(spark, sf_dir):
 
 
 # ---- T12, T14 over conversations ---------------------------------------------------
-_HINT1 = "(SELECT hint FROM fx_hints WHERE assignment_id = '1')"
+# Every conversation belongs to one of the three documented assignments.
+_AID = "CAST(u.conv_id % 3 AS VARCHAR)"
 
 
 @query("build_grade_request", with_sql(("fx_hints",), [],
-       "SELECT u.conv_id, u.turn, replace(" + G.q(PR.GRADING_INSTRUCTION) + ", '{structural_hint}', " + _HINT1 + ") || "
+       "SELECT u.conv_id, u.turn, replace(" + G.q(PR.GRADING_INSTRUCTION) + ", '{structural_hint}', h.hint) || "
        + G.q(PR.MODEL_SOLUTION_HEADER) + " || a.text || " + G.q(PR.STUDENT_SUBMISSION_HEADER) + " || u.text AS request "
        "FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 "
+       f"JOIN fx_hints h ON h.assignment_id = {_AID} "
        "WHERE u.role = 'user' AND a.role = 'assistant'"))
 def q_build_grade_request(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("submission"))
     a = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("solution"))
-    hint = fx(spark, sf_dir, "fx_hints").filter(F.col("assignment_id") == "1").select("hint").limit(1)
-    # the one hint of the assignment: a single-row broadcast side
-    j = u.join(a, ["conv_id", "turn"]).withColumn("assignment_id", F.lit("1")).join(
-        F.broadcast(hint.withColumn("assignment_id", F.lit("1"))), "assignment_id").drop("assignment_id")
+    j = u.join(a, ["conv_id", "turn"]).withColumn("assignment_id", (F.col("conv_id") % 3).cast("string")).join(
+        fx(spark, sf_dir, "fx_hints"), "assignment_id")
     return j.select("conv_id", "turn", PR.build_grade_request(F.col("hint"), F.col("solution"), F.col("submission")).alias("request"))
 
 
@@ -105,13 +105,14 @@ def q_extract_html_text(spark, sf_dir):
 
 
 @query("extract_document_text", with_sql(("fx_files",), _CLS + [
-    ("d", f"SELECT path, {G.ext('name')} AS ext, content FROM c WHERE skip_reason = '' AND cat0 = 'mixed' AND {G.ext('name')} <> '.pdf'")],
+    ("d", f"SELECT path, {G.ext('name')} AS ext, content FROM c WHERE skip_reason = '' AND cat0 = 'mixed'")],
     f"SELECT path, {_html_sql('content')} AS text, CAST(NULL AS VARCHAR) AS reason FROM d WHERE ext = '.html' "
     "UNION ALL SELECT path, CAST(NULL AS VARCHAR), 'not a notebook (no JSON object)' FROM d WHERE ext = '.ipynb' AND NOT coalesce(json_valid(content) AND json_type(CASE WHEN json_valid(content) THEN content ELSE '{}' END) = 'OBJECT', false) "
+    "UNION ALL SELECT path, CAST(NULL AS VARCHAR), 'no text extractor for ' || ext FROM d WHERE ext NOT IN ('.html', '.ipynb', '.docx', '.pptx', '.odt') "
     "UNION ALL SELECT path, CAST(NULL AS VARCHAR), 'not an office container' FROM d WHERE ext IN ('.docx', '.pptx', '.odt') AND NOT starts_with(content, 'PK' || chr(3) || chr(4))"))
 def q_extract_document_text(spark, sf_dir):
     f = FO.classify_files(fx(spark, sf_dir, "fx_files"))
-    docs = f.filter((F.col("category") == "mixed") & (F.col("ext") != ".pdf"))
+    docs = f.filter(F.col("category") == "mixed")
     return extract_document_text(docs.select("path", "name", "content"))
 
 
@@ -141,7 +142,7 @@ def _conv_submissions(spark, sf_dir):
     # one conversation = one submission; its turns are few, so the collect is bounded
     return c.groupBy(F.col("conv_id").alias("submission")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n").alias("text")) \
-        .withColumn("assignment_id", F.lit("1"))
+        .withColumn("assignment_id", (F.col("submission") % 3).cast("string"))
 
 
 @query("grade_pipeline")

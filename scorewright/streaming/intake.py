@@ -1,11 +1,11 @@
 """Process each new file exactly once across restarts.
 
 File-source stream -> F7 classification (stateless) -> ``foreachBatch``:
-anti-join against the ledger of files already taken, then append the rest
-tagged with the batch id.  A replayed batch (restart after a failure between
-write and commit) finds its rows already in the ledger and writes nothing,
-so the sink is idempotent; the checkpoint records which source files were
-read.  ``trigger(availableNow=True)`` drains what exists and stops.
+anti-join against the keys that earlier batches took (one row per key within
+a batch), then write the batch's own folder of the ledger.  A replayed batch
+(restart after a failure between write and commit) overwrites that folder with
+the same rows, so the sink is idempotent; the checkpoint records which source
+files were read.  ``trigger(availableNow=True)`` drains what exists and stops.
 """
 
 from __future__ import annotations
@@ -15,13 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import files as FO
-
-
-def _ledger_or_empty(spark: SparkSession, ledger_path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(ledger_path)
-    except Exception:  # noqa: BLE001 - no ledger yet
-        return spark.createDataFrame([], schema)
+from ..session import path_exists
 
 
 def stream_intake(spark: SparkSession, source: str, ledger_path: str, checkpoint_path: str,
@@ -40,10 +34,13 @@ def stream_intake(spark: SparkSession, source: str, ledger_path: str, checkpoint
     classified = FO.classify_files(to_files(reader.load(source))).drop("content")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        schema = T.StructType(batch.schema.fields + [T.StructField("batch_id", T.LongType())])
-        seen = _ledger_or_empty(batch.sparkSession, ledger_path, schema)
-        fresh = batch.join(seen.select(key), key, "left_anti").withColumn("batch_id", F.lit(batch_id))
-        fresh.write.mode("append").parquet(ledger_path)
+        spark = batch.sparkSession
+        row = F.struct(*[F.col(c) for c in batch.columns])
+        fresh = batch.groupBy(key).agg(F.min_by(row, F.struct(*[F.col(c) for c in batch.columns if c != key])).alias("row")).select("row.*")
+        if path_exists(spark, ledger_path):
+            taken = spark.read.schema(T.StructType([batch.schema[key], T.StructField("batch_id", T.LongType())])).parquet(ledger_path)
+            fresh = fresh.join(taken.filter(F.col("batch_id") < batch_id).select(key), key, "left_anti")
+        fresh.select(*batch.columns).write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
 
     return (classified.writeStream.foreachBatch(sink)
             .option("checkpointLocation", checkpoint_path)
