@@ -130,11 +130,13 @@ def parse_solution_units(md: DataFrame, key: str = "assignment_id", text_col: st
     df = df.withColumn("open_container", F.last(
         F.when(header, F.lit("")).when(F.col("cont_id").isNotNull(), F.col("cont_id"))
         .when(F.col("unit_id").isNotNull() & roman_unit, F.lit("")), ignorenulls=True).over(w))
-    headers = df.filter(F.col("ex_id").isNotNull()).select(
-        key, "exercise", F.regexp_extract("line", MD_EXERCISE_RE, 2).alias("title"),
-        F.regexp_extract("line", MD_EXERCISE_RE, 3).cast("double").alias("header_total"))
+    # each unit belongs to the heading above it, also where a number comes twice
+    df = (df.withColumn("ex_ord", F.last(F.when(header, F.col("ord")), ignorenulls=True).over(w))
+          .withColumn("title", F.last(F.when(header, F.regexp_extract("line", MD_EXERCISE_RE, 2)), ignorenulls=True).over(w))
+          .withColumn("header_total", F.last(F.when(header, F.regexp_extract("line", MD_EXERCISE_RE, 3).cast("double")),
+                                             ignorenulls=True).over(w)))
     units = df.filter(F.col("unit_id").isNotNull()).select(
-        key, "exercise", "ord", "unit_id",
+        key, "exercise", "title", "header_total", "ex_ord", "ord", "unit_id",
         F.when(roman_unit | (F.coalesce(F.col("open_container"), F.lit("")) == ""), F.col("unit_id"))
         .otherwise(F.col("open_container")).alias("part"),
         F.when(~roman_unit & (F.coalesce(F.col("open_container"), F.lit("")) != ""), F.col("unit_id")).alias("sub"),
@@ -147,12 +149,9 @@ def parse_solution_units(md: DataFrame, key: str = "assignment_id", text_col: st
                               "\n").alias("solution_text")))
     units = units.join(body, (units[key] == body[key]) & (units["ord"] == body["unit_ord"]), "left") \
         .drop(body[key]).drop("unit_ord")
-    sole = units.groupBy(key, "exercise").agg(F.count(F.lit(1)).alias("n_units"),
-                                              F.count_if(F.col("sub").isNotNull()).alias("n_subs"))
-    units = units.join(sole, [key, "exercise"]).withColumn(
-        "part", F.when((F.col("n_units") == 1) & (F.col("n_subs") == 0) & (F.col("part") == "i"), F.lit(None))
-        .otherwise(F.col("part"))).drop("n_units", "n_subs", "unit_id")
-    return units.join(headers, [key, "exercise"], "left")
+    here = Window.partitionBy(key, "ex_ord")
+    sole = (F.count(F.lit(1)).over(here) == 1) & (F.count("sub").over(here) == 0) & (F.col("part") == "i")
+    return units.withColumn("part", F.when(~sole, F.col("part"))).drop("unit_id", "ex_ord")
 
 
 def validate_solution(units: DataFrame, rubric: DataFrame, key: str = "assignment_id") -> DataFrame:
