@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import ascii_lower
+from .common import ascii_lower, stored
 
 #: The filter in front of the byte check: this many bitmaps of 4 KB, 16 MB in all, whatever the number of hits.
 BITMAPS, BITS = 4096, 32768
@@ -101,8 +101,9 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     update_state(spark, at)
     log = spark.read.schema(LOG).parquet(f"{at}/log")
     entries = spark.read.schema(ENTRIES).parquet(f"{at}/entries")
-    hits = (entries.filter("seen > 1").groupBy("digest").agg(F.max(F.struct("batch", "keep", "seen")).alias("e"))
-            .select("digest", "e.keep", "e.seen"))
+    # stored, so that the join is dealt by itself and a digest that many rows share can be split
+    hits = stored(entries.filter("seen > 1").groupBy("digest").agg(F.max(F.struct("batch", "keep", "seen")).alias("e"))
+                  .select("digest", "e.keep", "e.seen"), "exact-hits")
     rows = log.join(hits, "digest", "left")
     members = _byte_groups(spark, path, rows.filter("seen is not null").select("digest", "file", "row"), id_col, text_col)
     variants = members.groupBy("digest", "t").agg(F.max(F.struct("id", "file", "row")).alias("own"),
