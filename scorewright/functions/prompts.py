@@ -59,6 +59,7 @@ def build_context(name, total, textual, visual, textual_files, visual_files) ->
     def cnt(c):
         return F.coalesce(_c(c).cast("string"), F.lit("Unknown"))
     has_info = _c(total).isNotNull()
+    # FIXED VALUES: the wording of the context
     head = F.concat(F.lit("\nSubmission Structure Information:\n- Submission Name: "), _c(name),
                     F.lit("\n- Total Original Files: "), cnt(total),
                     F.lit("\n- Textual Files: "), cnt(textual),

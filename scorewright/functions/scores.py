@@ -21,11 +21,6 @@ def extract_last_json(report) -> Column:
     return F.try_element_at(F.regexp_extract_all(_c(report), F.lit(FENCE_RE), F.lit(1)), F.lit(-1))
 
 
-def parse_json(json_str) -> Column:
-    """VARIANT of the block; null when it does not parse."""
-    return F.try_parse_json(_c(json_str))
-
-
 def json_status(json_str) -> Column:
     """T6: 'no_json' / 'parse_error' / 'ok'."""
     j = _c(json_str)

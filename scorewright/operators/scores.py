@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .. import rules
 from ..functions import scores as S
 
 NUMERIC_VARIANT = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$"
@@ -17,6 +18,16 @@ def parse_replies(replies: DataFrame, report_col: str = "report") -> DataFrame:
                           .when(F.col("v").isNull(), "parse_error").otherwise("ok"))
 
 
+def combine_results(parsed: DataFrame, students: DataFrame, key: str = "submission") -> DataFrame:
+    """Parsed replies with their submission's student details; ``grading_results`` holds the reply's object where it
+    parses, ``error`` says that it does not.  ``stored`` is the object as kept (T6), the fallback included."""
+    ok, bad = F.col("json_status") == "ok", F.col("json_status") == "parse_error"
+    details = [c for c in students.columns if c != key]
+    return parsed.join(students, key).select(
+        key, *details, "json_status", F.when(ok, F.col("json_str")).alias("grading_results"),
+        F.when(bad, F.lit(rules.JSON_PARSE_ERROR)).alias("error"), S.grading_results_json(F.col("json_str")).alias("stored"))
+
+
 def flatten_scores(parsed: DataFrame, key: str = "submission", variant_col: str = "v") -> DataFrame:
     """(key, exercise, part, sub, points) for every numeric leaf at depth
     1-3 of an object tree; top-level 'total' and non-numeric leaves dropped.

@@ -9,6 +9,7 @@ from ..functions import paths as P
 from ..functions import text as X
 from ..operators import ledger as L
 from ..operators import reports as R
+from ..operators.solutions import add_parsed_path, manifest_json
 from . import sqlgen as G
 from .registry import fx, query, table, with_sql
 
@@ -165,18 +166,6 @@ _SOL_SQL = [("sol", "SELECT assignment_id, '/solutions/Assignment_' || assignmen
                     "CAST(length(hint) % 9 + 1 AS INTEGER) AS n_pages, length(hint) AS hint_len FROM fx_hints")]
 
 
-def manifest_json(dir_col, aid_col, pages_col):
-    """K4: the solution manifest as JSON text."""
-    d = F.col(dir_col)
-    images = F.transform(F.sequence(F.lit(1), F.col(pages_col)),
-                         lambda i: F.concat(d, F.lit("/pages/model_solution_page_"), i.cast("string"), F.lit(".png")))
-    return F.to_json(F.struct(F.col(aid_col).alias("assignment_id"),
-                              F.concat(d, F.lit("/solution.pdf")).alias("solution_pdf"),
-                              F.concat(d, F.lit("/solution_text.txt")).alias("solution_text_path"),
-                              F.concat(d, F.lit("/structure_hint.txt")).alias("structure_hint_path"),
-                              images.alias("solution_images")))
-
-
 _MANIFEST_SQL = ("CAST(to_json(struct_pack(assignment_id := assignment_id, solution_pdf := dir || '/solution.pdf', "
                  "solution_text_path := dir || '/solution_text.txt', structure_hint_path := dir || '/structure_hint.txt', "
                  "solution_images := list_transform(range(1, n_pages + 1), lambda i: dir || '/pages/model_solution_page_' || CAST(i AS VARCHAR) || '.png'))) AS VARCHAR)")
@@ -185,7 +174,26 @@ _MANIFEST_SQL = ("CAST(to_json(struct_pack(assignment_id := assignment_id, solut
 @query("solution_manifest", with_sql(("fx_hints",), _SOL_SQL, f"SELECT assignment_id, {_MANIFEST_SQL} AS manifest FROM sol"))
 def q_solution_manifest(spark, sf_dir):
     s = _solutions(spark, sf_dir)
-    return s.select("assignment_id", manifest_json("dir", "assignment_id", "n_pages").alias("manifest"))
+    return s.select("assignment_id", manifest_json(F.col("dir"), F.col("assignment_id"), F.col("n_pages")).alias("manifest"))
+
+
+@query("solution_manifest_parsed", with_sql(("fx_hints",), _SOL_SQL, "SELECT assignment_id, dir_ok AS valid, CASE WHEN NOT dir_ok THEN "
+       "'Structure hint file not found: ' || hint_path END AS invalid_reason, dir || '/parsed_solution.md' AS solution_path, hint_path FROM "
+       "(SELECT *, hint_len % 5 <> 0 AS dir_ok, dir || '/structure_hint.txt' AS hint_path FROM sol)"))
+def q_solution_manifest_parsed(spark, sf_dir):
+    """K4 written, read back, given its parsed solution, and checked by S5."""
+    import uuid
+    from .. import sinks
+    from ..session import shared_dir
+    from ..sources.files import check_solution_manifest
+    s, path = _solutions(spark, sf_dir), shared_dir(spark, f"manifests/{uuid.uuid4().hex}")
+    sinks.write_manifests(s.select("assignment_id", "dir", manifest_json(F.col("dir"), F.col("assignment_id"), F.col("n_pages")).alias("manifest")),
+                          path, "2026-01-05")
+    back = sinks.read_runs(spark, path, "assignment_id string, dir string, manifest string")
+    done = add_parsed_path(back, F.concat("dir", F.lit("/parsed_solution.md")))
+    listing = s.select(F.concat("dir", F.lit("/parsed_solution.md")).alias("path")).unionByName(
+        s.filter(F.col("hint_len") % 5 != 0).select(F.concat("dir", F.lit("/structure_hint.txt")).alias("path")))
+    return check_solution_manifest(done.select("assignment_id", "manifest"), listing)
 
 
 @query("attach_solution", with_sql(("fx_responses", "fx_hints"), _SOL_SQL,

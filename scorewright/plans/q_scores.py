@@ -120,11 +120,16 @@ def q_combine_results(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("submission"), "o_custkey")
     st = fx(spark, sf_dir, "fx_submissions").select(
         F.col("submission_id").alias("o_custkey"), "dir_name", P.student_details(F.col("dir_name")).alias("d"))
-    j = parsed.join(orders, "submission").join(st, "o_custkey")
-    return j.select("submission", "dir_name", "d.last_name", "d.first_name", "d.student_id", "d.matriculation_number",
-                    "json_status",
-                    F.when(F.col("json_status") == "ok", F.col("json_str")).alias("grading_results"),
-                    F.when(F.col("json_status") == "parse_error", F.lit("Failed to parse grading results")).alias("error"))
+    students = orders.join(st, "o_custkey").select("submission", "dir_name", "d.last_name", "d.first_name", "d.student_id", "d.matriculation_number")
+    return SC.combine_results(parsed, students).drop("stored")
+
+
+@query("stored_results", with_sql(("fx_responses",), PARSED, "SELECT submission, json_status, CASE WHEN json_status = 'parse_error' THEN "
+       "CAST(to_json(struct_pack(error := 'Failed to parse grading results', raw_json_str := json_str)) AS VARCHAR) END AS fallback FROM parsed"))
+def q_stored_results(spark, sf_dir):
+    """The fallback object of replies that do not parse; the others' objects are compared by flatten_scores."""
+    stored = S.grading_results_json(F.col("json_str"))
+    return _parsed(spark, sf_dir).select("submission", "json_status", F.when(F.col("json_status") == "parse_error", stored).alias("fallback"))
 
 
 def _kv(k, v):

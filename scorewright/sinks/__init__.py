@@ -86,6 +86,11 @@ def read_ledger(spark: SparkSession, path: str, columns: str, keys: list[str]) -
     return rows.groupBy(*keys).agg(latest.alias("row")).select("row.*")
 
 
+def write_manifests(manifests: DataFrame, path: str, run_date: str | None = None, run_id: str = "0") -> None:
+    """K4: solution manifests as rows, read back with ``read_runs``."""
+    _write(_stamp(manifests, run_date, run_id), path)
+
+
 # FIXED VALUES: layout of the processing report and of the list of invalid submissions
 RULE = "=" * 80
 SUB_RULE = "-" * 40
@@ -181,5 +186,5 @@ def write_invalid_report(invalid: DataFrame, path: str, key: str = "submission",
     _write_lines(head.unionByName(total).unionByName(entries), path, partitions)
 
 
-__all__ = ["write_preprocess_info", "write_failure_report", "write_ledger", "read_ledger", "read_runs", "write_processing_report",
+__all__ = ["write_preprocess_info", "write_failure_report", "write_ledger", "read_ledger", "read_runs", "write_processing_report", "write_manifests",
            "write_invalid_report", "report_lines", "read_report"]

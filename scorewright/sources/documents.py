@@ -9,7 +9,6 @@ extractor and come back with a reason instead of text.
 from __future__ import annotations
 
 import io
-import json
 import re
 import zipfile
 from collections.abc import Iterator
@@ -46,16 +45,6 @@ def _xml_text(blob: bytes) -> str:
     return "".join(parts)
 
 
-def _notebook_text(blob: bytes) -> str:
-    nb = json.loads(blob.decode("utf-8"))
-    cells = nb.get("cells", []) if isinstance(nb, dict) else []
-    out = []
-    for c in cells:
-        src = c.get("source", "")
-        out.append("".join(src) if isinstance(src, list) else str(src))
-    return "\n\n".join(out)
-
-
 def _extract(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in it:
         rows = []
@@ -63,9 +52,7 @@ def _extract(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             text, reason = None, None
             try:
                 blob = bytes(data) if data is not None else b""
-                if ext == ".ipynb":
-                    text = _notebook_text(blob)
-                elif ext in OOXML_PARTS:
+                if ext in OOXML_PARTS:
                     pats = [re.compile(p) for p in OOXML_PARTS[ext]]
                     with zipfile.ZipFile(io.BytesIO(blob)) as zf:
                         names = sorted(n for n in zf.namelist() if any(p.match(n) for p in pats))
