@@ -37,9 +37,17 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Texts travel to Python in batches of at most so many rows and bytes.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
 def prepared(spark: SparkSession) -> None:
-    """Python workers must be able to import this package."""
+    """Python workers must be able to import this package, and get texts in small batches."""
     ship_package(spark)
+    for key, most in ARROW.items():
+        now = spark.conf.get(key).removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def partitions_for(spark: SparkSession) -> int:
@@ -59,10 +67,14 @@ def byte_list(column) -> list[bytes]:
 
 
 def in_slices(batches, rows: int = 2000):
-    """Arrow batches cut so that at most ``rows`` texts are held as Python objects at once."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+    """Arrow batches cut so that at most ``rows`` texts are held as Python objects at once.  In the end what Arrow has
+    kept for further batches goes back to the system, since the worker process lives on."""
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
 
 
 def popcount(x: np.ndarray) -> np.ndarray:

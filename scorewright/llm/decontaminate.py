@@ -59,16 +59,15 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     prepared(spark)
     new = ("n_words", "hits", "items")
-    kept = [c for c in docs.columns if c not in new]
-    out = docs.select(F.struct(*kept).alias("row"), F.col(text_col).cast("string").alias("t"), F.lit(0).cast("long").alias("n_words"),
-                      F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
+    out = docs.drop(*new).withColumn(text_col, F.col(text_col).cast("string")).withColumns({
+        "n_words": F.lit(0).cast("long"), "hits": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
     for rows in _benchmark_blocks(benchmark, item_col, item_text_col, block_bytes):
-        out = _pass(out, spark.sparkContext.broadcast(_block(rows, window)))
-    return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *new)
+        out = _pass(out, text_col, spark.sparkContext.broadcast(_block(rows, window)))
+    return out
 
 
-def _pass(docs: DataFrame, strings) -> DataFrame:
-    names = docs.columns
+def _pass(docs: DataFrame, text_col: str, strings) -> DataFrame:
+    names, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches):
         import pyarrow as pa
@@ -76,13 +75,13 @@ def _pass(docs: DataFrame, strings) -> DataFrame:
         machine = WuManber(patterns)
         lengths = np.array([p.count(b" ") - 1 for p in patterns], np.int64)
         for batch in in_slices(batches):
-            counts, hits, found_items = _search(machine, lengths, items, byte_list(batch.column(1)))
+            counts, hits, found_items = _search(machine, lengths, items, byte_list(batch.column(at)))
             before = [batch.column(names.index(c)).to_pylist() for c in ("hits", "items")]
             hits = [sorted({*a, *b}) if a else b for a, b in zip(before[0], hits)]
             found_items = [sorted({*a, *b}) for a, b in zip(before[1], found_items)]
-            new = {"n_words": pa.array(counts, pa.int64()), "hits": pa.array(hits, pa.list_(pa.int32())),
-                   "items": pa.array(found_items, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(i)) for i, n in enumerate(names)], names)
+            made = {"n_words": pa.array(counts, pa.int64()), "hits": pa.array(hits, pa.list_(pa.int32())),
+                    "items": pa.array(found_items, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([made.get(n, batch.column(i)) for i, n in enumerate(names)], names)
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -125,5 +124,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark window, unchanged."""
-    names = docs.columns
-    return find_windows(docs, benchmark, **options).filter(F.size("hits") == 0).select(*names)
+    rows = docs.select("text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
+    clean = find_windows(rows, benchmark, **options).filter(F.size("hits") == 0)
+    return clean.select(*[F.col(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -216,7 +216,7 @@ def dedup_lines(docs: DataFrame, most: int = MAX_EDITS, min_exact: int = MIN_EXA
     old = [c for c in docs.columns if c not in ("lines_before", "lines_removed")]
     t = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("i"), F.xxhash64(t).alias("m"),
-                       F.col("text").cast("string").alias("t"), F.struct(*old).alias("row"))
+                       F.col("text").cast("string").alias("t"), F.struct(*[c for c in old if c != "text"]).alias("row"))
     out = rows.join(gone, (F.col("i") == F.col("id")) & (F.col("m") == F.col("mark")), "left")
     lines = F.split(F.col("t"), "\n", -1)
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")

@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from .common import byte_list, in_slices, prepared, stored
 
 CAPACITY = 2048
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 BUCKET_ROWS = 2_000
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

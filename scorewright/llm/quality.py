@@ -15,13 +15,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import in_slices, prepared, stored
 from .toxicity import labelled_sample
 
 WORDS, SHAPES, DIM, ONES, WINDOW = 8192, 512, 32, 4, 2
 SLOTS = WORDS + SHAPES
-CACHE_WORDS, BLOCKS, FAN_IN, MAX_TRAIN = 400_000, 16, 256, 24_000
+CACHE_WORDS, BLOCKS, FAN_IN, MAX_TRAIN = 200_000, 16, 256, 24_000
 STRIDE = 1 << 18  # tokens worked on at once
 _EDGE = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
 
@@ -234,14 +235,13 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
 
 
 def score_quality(docs: DataFrame, model: Classifier, text_col: str = "text", name: str = "quality") -> DataFrame:
-    """``docs`` with the probability of good quality in the new column ``name``, rows otherwise as they are.  Null and
-    empty texts are scored as a text without words."""
+    """``docs`` with the probability of good quality in the new column ``name`` (an old one of that name goes), rows
+    otherwise as they are.  Null and empty texts are scored as a text without words."""
     spark = docs.sparkSession
     prepared(spark)
     shared = spark.sparkContext.broadcast(model)
-    slim = docs.select(*[F.col(c) for c in docs.columns if c != name], F.col(text_col).cast("string").alias("__text"))
-    names = [*slim.columns[:-1], name]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1]) + f", `{name}` double"
+    plain = docs.drop(name).withColumn(text_col, F.col(text_col).cast("string"))
+    names, at = [*plain.columns, name], plain.columns.index(text_col)
 
     def run(batches):
         import pyarrow as pa
@@ -250,7 +250,7 @@ def score_quality(docs: DataFrame, model: Classifier, text_col: str = "text", na
             if m.network is None:
                 p = np.full(batch.num_rows, m.usual)
             else:
-                p = m.network.probability(np.array([pooled(t or "", slots, m.vectors) for t in batch.column(len(names) - 1).to_pylist()]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p, pa.float64())], names)
+                p = m.network.probability(np.array([pooled(t or "", slots, m.vectors) for t in batch.column(at).to_pylist()]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names)
 
-    return slim.mapInArrow(run, schema)
+    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField(name, T.DoubleType())]))
