@@ -12,12 +12,16 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import in_slices, prepared, stored
 from .levenshtein import FuzzyLexicon
 
-MAX_TRAIN, MAX_TERMS, MIN_DOCS, MIN_ODDS = 24_000, 4000, 3, 2.0
-CONTEXT, CACHE_WORDS = 8, 400_000
+MAX_TRAIN, MAX_TERMS = 24_000, 400
+#: A term stands between at least so many different pairs of neighbours in toxic texts, in number and by their share of the
+#: toxic texts (copies of one text are one context), and has at least these log odds.
+MIN_CONTEXTS, MIN_SHARE, MIN_ODDS = 3, 0.005, 2.5
+CONTEXT, CACHE_WORDS = 8, 200_000
 QUOTES = re.compile("[\"«»“”„‘’]")
 # Words that report or name another's words.
 REPORTING = frozenset("said says saying called calls wrote writes quote quoted quoting quotes word words term insult insults "
@@ -50,10 +54,14 @@ def learn_terms(train: DataFrame, max_terms: int = MAX_TERMS) -> list[str]:
     toxic, clean = both[0] or 0, both[1] - (both[0] or 0)
     if not toxic or not clean:
         return []
-    words = train.select("y", F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}\p{N}]+"))).alias("w")).filter("w <> ''")
-    counts = words.groupBy("w").agg(F.sum("y").alias("p"), F.count(F.lit(1)).alias("n"))
+    words = train.select("y", F.filter(F.split(F.lower("t"), r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("ws"))
+    docs = words.select("y", F.explode(F.array_distinct("ws")).alias("w")).groupBy("w").agg(
+        F.sum("y").alias("p"), F.count(F.lit(1)).alias("n"))
+    between = F.transform("ws", lambda w, i: F.struct(w.alias("w"), F.xxhash64(F.get("ws", i - 1), F.get("ws", i + 1)).alias("c")))
+    contexts = words.filter("y = 1").select(F.inline(between)).groupBy("w").agg(F.count_distinct("c").alias("contexts"))
     odds = F.log((F.col("p") + 0.5) / toxic) - F.log((F.col("n") - F.col("p") + 2.0) / clean)
-    found = counts.filter(F.col("p") >= MIN_DOCS).withColumn("o", odds).filter(F.col("o") >= MIN_ODDS)
+    found = (contexts.filter(F.col("contexts") >= max(MIN_CONTEXTS, MIN_SHARE * toxic)).join(docs, "w")
+             .withColumn("o", odds).filter(F.col("o") >= MIN_ODDS))
     return [r.w for r in found.orderBy(F.desc("o"), "w").limit(max_terms).collect()]
 
 
@@ -138,19 +146,19 @@ def fit(terms: list[str], hits: list[list[tuple[int, int, bool]]], y: np.ndarray
     return Model(terms, weights, b)
 
 
-def _scan(df: DataFrame, make, schema: str) -> DataFrame:
-    """``df`` with its last column (text) mapped by ``make() -> (texts -> Arrow arrays)``."""
-    from pyspark.sql.types import StructType
-    names = [f.name for f in StructType.fromDDL(schema)]
+def _scan(df: DataFrame, text_col: str, make, new: T.StructField) -> DataFrame:
+    """``df`` with the column ``new``, made of the text column by ``make() -> (texts -> Arrow array)``; texts travel once."""
+    at = df.columns.index(text_col)
+    names = [*df.columns, new.name]
 
     def run(batches):
         import pyarrow as pa
         work = make()
-        for batch in in_slices(batches):
-            new = work([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names)
+        for batch in in_slices(batches, 500):
+            made = work([t or "" for t in batch.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, new]))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
@@ -165,16 +173,18 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAI
     def make():
         import pyarrow as pa
         known = _Words(FuzzyLexicon(words.value))
-        return lambda texts: [pa.array([sorted(e * 2_000_000 + t * 2 + q for e, t, q in set(hits_of(x, known))) for x in texts],
-                                       pa.list_(pa.int64()))]
+        return lambda texts: pa.array([sorted(e * 2_000_000 + t * 2 + q for e, t, q in set(hits_of(x, known))) for x in texts],
+                                      pa.list_(pa.int64()))
 
-    rows = _scan(train.select("y", "t"), make, "y int, hits array<bigint>").collect()  # bounded by max_train
+    hits = T.StructField("hits", T.ArrayType(T.LongType()))
+    rows = _scan(train.select("y", "t"), "t", make, hits).select("y", "hits").collect()  # bounded by max_train
     hits = [[(h // 2_000_000, h % 2_000_000 // 2, bool(h % 2)) for h in r.hits] for r in rows]
     return fit(terms, hits, np.array([r.y for r in rows]))
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", name: str = "toxicity") -> DataFrame:
-    """``docs`` with the model's probability in the new column ``name``, rows otherwise as they are.
+    """``docs`` with the model's probability in the new column ``name`` (an old one of that name goes), rows otherwise as
+    they are.
 
     Null and empty texts have no hit and so the score of a text without one."""
     spark = docs.sparkSession
@@ -188,19 +198,17 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", name:
 
         def work(texts):
             x = np.array([(1.0, *features(hits_of(t, known), m.weights)) for t in texts])
-            return [pa.array(1 / (1 + np.exp(-np.clip(x @ m.coef, -30, 30))), pa.float64())]
+            return pa.array(1 / (1 + np.exp(-np.clip(x @ m.coef, -30, 30))), pa.float64())
 
         return work
 
-    others = [F.col(c) for c in docs.columns if c != name]
-    slim = docs.select(*others, F.col(text_col).cast("string").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1]) + f", `{name}` double"
-    return _scan(slim, make, schema)
+    plain = docs.drop(name).withColumn(text_col, F.col(text_col).cast("string"))
+    return _scan(plain, text_col, make, T.StructField(name, T.DoubleType()))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs`` with a toxicity below ``threshold``, unchanged."""
     model = train_toxicity(docs, labels, **options)
-    rows = docs.select(F.struct("*").alias("row"), "text")
+    rows = docs.select("text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
     kept = score_toxicity(rows, model).filter(F.col("toxicity") < threshold)
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return kept.select(*[F.col(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
