@@ -19,14 +19,14 @@ def _md5_bits(value: Column, bits: int) -> Column:
     return F.conv(F.substring(F.md5(value.cast("string")), 1, bits // 4), 16, 10).cast("long")
 
 
-def hashed(docs: DataFrame, key_col: str, text_col: str) -> DataFrame:
-    """(doc_id, h, bytes): ``h`` has ``KEY_BITS`` bits of the key's MD5, then ``ROW_BITS`` of the row's, so that rows with
+def hashed(docs: DataFrame, key_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(doc_id, h, bytes) and ``more``: ``h`` has ``KEY_BITS`` bits of the key's MD5, then ``ROW_BITS`` of the row's, so that rows with
     one key can be split too.  Row numbers hold once the result is stored."""
     key = F.coalesce(F.col(key_col).cast("string"), F.lit(""))
     row = F.concat(F.monotonically_increasing_id().cast("string"), F.lit("/"), key)
     h = F.shiftleft(_md5_bits(key, KEY_BITS), ROW_BITS).bitwiseOR(_md5_bits(row, ROW_BITS))
     return docs.select(F.col(key_col).alias("doc_id"), h.alias("h"),
-                       F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("bytes"))
+                       F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("bytes"), *more)
 
 
 def directory(rows: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
@@ -61,14 +61,9 @@ def directory(rows: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     return out
 
 
-def assign_shards(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> DataFrame:
-    """One row per row of ``docs``: doc_id (the key), bytes, shard (the bits of its prefix, "" for the only shard),
-    shard_bytes, documents.
-
-    Bytes are those of the text in UTF-8, null as none.  A shard above the limit is one document (or, past all bits,
-    rows of one key whose row hashes agree).  Null keys count as one key.  Repeated rows stay, and may part only where
-    their shard is too large.  Other columns are not read; an empty table gives an empty result."""
-    rows = stored(hashed(docs, key_col, text_col), "shard-rows")
+def _placed(docs: DataFrame, key_col: str, text_col: str, limit: int, *more: Column) -> DataFrame:
+    """(doc_id, bytes, shard, shard_bytes, documents) and ``more`` of each row, placed by its own stored hash."""
+    rows = stored(hashed(docs, key_col, text_col, *more), "shard-rows")
     shards = stored(directory(rows, limit), "shard-directory")
     depths = sorted(r.depth for r in shards.select("depth").distinct().collect())  # at most BITS + 1 numbers
     # each row offers its prefix at every depth in use; exactly one of them is a shard
@@ -76,11 +71,22 @@ def assign_shards(docs: DataFrame, key_col: str = "doc_id", text_col: str = "tex
     placed = (rows.withColumn("depth", F.explode(offers)).withColumn("prefix", F.expr(f"shiftrightunsigned(h, {BITS} - depth)"))
               .join(shards, ["depth", "prefix"]))
     name = F.when(F.col("depth") == 0, "").otherwise(F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")))
-    return placed.select("doc_id", "bytes", name.alias("shard"), "shard_bytes", "documents")
+    return placed.select("doc_id", "bytes", name.alias("shard"), "shard_bytes", "documents", *rows.columns[3:])
+
+
+def assign_shards(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> DataFrame:
+    """One row per row of ``docs``: doc_id (the key), bytes, shard (the bits of its prefix, "" for the only shard),
+    shard_bytes, documents.
+
+    Bytes are those of the text in UTF-8, null as none.  A shard above the limit is one document (or, past all bits,
+    rows of one key whose row hashes agree).  Null keys count as one key.  Repeated rows stay, and may part only where
+    their shard is too large.  Other columns are not read; an empty table gives an empty result."""
+    return _placed(docs, key_col, text_col, limit)
 
 
 def write_shards(docs: DataFrame, path: str, key_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> None:
-    """Write ``docs`` (ids not null and not repeated) as one folder of Parquet files per shard under ``path``."""
-    where = assign_shards(docs, key_col, text_col, limit).select(F.col("doc_id").alias("__key"), "shard")
-    tagged = docs.join(where, F.col(key_col) == F.col("__key")).drop("__key").withColumn("shard", F.concat(F.lit("s"), "shard"))
+    """Write every row of ``docs`` once, as one folder of Parquet files per shard under ``path``; null and repeated keys
+    are placed as by ``assign_shards``.  The folders give the column ``shard``, instead of one of that name."""
+    row = F.struct(*[c for c in docs.columns if c != "shard"]).alias("row")
+    tagged = _placed(docs, key_col, text_col, limit, row).select("row.*", F.concat(F.lit("s"), "shard").alias("shard"))
     tagged.repartition("shard").write.partitionBy("shard").parquet(path)
