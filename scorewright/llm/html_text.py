@@ -1,7 +1,7 @@
 """Operator 10: main text of web pages by composite text density.
 
 One pass over the markup builds the tree of block elements (formatting elements only add to their block's tags); elements
-that are never article text by tag or by class are left out.  Every node gets its characters per tag, adjusted for links;
+that are never article text by tag, role or class are left out.  Every node gets its characters per tag, adjusted for links;
 the sum over a node's children says how much dense text hangs directly below it.  The subtree with the greatest sum is
 the article; the least density on its path to the body is the threshold that other subtrees must reach to count too."""
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import in_slices, prepared
 
-# Element names of HTML, and name parts that mark what is not the article.
+# Element names of HTML, and names that mark what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s "
                    "samp small span strike strong sub sup time tt u var wbr".split())
@@ -27,6 +27,15 @@ HINTS = frozenset("ad ads adsense advert advertisement advertising banner breadc
                   "consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter "
                   "notice notices pager pagination popup promo promoted related reply replies respond share sharing sidebar "
                   "signup skyscraper social sponsor sponsored subscribe toolbar widget".split())
+#: Names of several words that do the same: where it stands and what it is, or what it is and how it is built.
+COMPOUND = re.compile(
+    "(?:site|global|top|bottom|main|primary|secondary|left|right|mobile|sticky|post|entry|article|blog|page)-(?:ads?|banner|breadcrumbs?"
+    "|comments|footer|menu|nav|navbar|navigation|pagination|share|sharing|sidebar|toolbar)|(?:site|global|top)-header"
+    "|(?:ads?|advert|advertisement|sponsor|sponsored|promo|cookies?|consent|gdpr|newsletter|signup|subscribe|share|sharing|social"
+    "|related|comments?|reply|respond|nav|navbar|menu|breadcrumbs?|pagination|popup|modal|banner|sidebar|widget|footer)"
+    "-(?:notice|banner|bar|box|popup|modal|slot|unit|container|wrapper|list|form|area|links|buttons?|icons|menu|nav|posts|articles"
+    "|stories|widgets?|signup|overlay|dialog|consent|message|block|thread)")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("banner complementary contentinfo navigation search alert dialog menu menubar form".split())
 #: What an opening tag closes implicitly when it is the innermost open element.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -37,32 +46,44 @@ TOKEN = re.compile(
     rf"<!--.*?(?:--!?>|\Z)|<(?P<raw>{RAW})\b[^>]*+(?:/>|>.*?(?:</(?P=raw)\s*+>|\Z))"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[a-zA-Z/!?][^>]*+(?:>|\Z)", re.S | re.I)
-ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "begin", "end", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "begin", "end", "chars", "tags", "link_chars", "link_tags", "density", "sum", "named", "text")
 
-    def __init__(self, tag, parent, begin):
-        self.tag, self.parent, self.begin, self.end = tag, parent, begin, None
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+    def __init__(self, tag, parent, begin, named=False):
+        self.tag, self.parent, self.begin, self.end, self.named = tag, parent, begin, None, named
+        self.chars = self.tags = self.link_chars = self.link_tags = self.text = 0
         self.density = self.sum = 0.0
 
 
-def is_boilerplate(tag: str, attrs: str, inside: bool) -> bool:
-    """``inside``: within an article or main element, where a header belongs to the text."""
+def attributes(attrs: str) -> dict[str, str]:
+    """Attribute values in lower case by name, the first of a name."""
+    out: dict[str, str] = {}
+    for name, a, b, c in ATTR.findall(attrs):
+        out.setdefault(name.lower(), (a or b or c).lower())
+    return out
+
+
+def is_boilerplate(tag: str, attrs: dict[str, str], inside: bool) -> bool:
+    """By tag, role or not being shown.  ``inside``: within an article or main element, where a header belongs to the
+    text."""
     if tag in DROPPED or tag == "header" and not inside:
         return True
     if not attrs or tag in ("html", "body", "article", "main"):
         return False
-    for kind, a, b, c in ATTR.findall(attrs):
-        value = (a or b or c).lower()
-        if kind.lower() == "role":
-            if value in ROLES:
-                return True
-        elif not HINTS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return bool(re.search(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", attrs, re.I))
+    return (attrs.get("role") in ROLES or attrs.get("hidden", "until-found") != "until-found" or attrs.get("aria-hidden") == "true"
+            or bool(NOT_SHOWN.search(attrs.get("style", ""))))
+
+
+def is_named(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether a class or the id of a block says that it is not the article."""
+    if not attrs or tag in INLINE or tag in HEADINGS or tag in ("html", "body", "article", "main"):
+        return False
+    names = [*attrs.get("class", "").split(), *attrs.get("id", "").split()]
+    return any(n in HINTS or COMPOUND.fullmatch(n.replace("_", "-")) for n in names)
 
 
 def parse(page: str) -> tuple[list[Node], list[str]]:
@@ -122,7 +143,8 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
             continue
         if tag in ("html", "body"):
             continue
-        if is_boilerplate(tag, attrs, any(n.tag in WHOLE for n in stack)):
+        known = attributes(attrs) if attrs and not attrs.isspace() else {}
+        if is_boilerplate(tag, known, any(n.tag in WHOLE for n in stack)):
             if tag not in VOID and not attrs.rstrip().endswith("/"):
                 skip, inner = tag, {tag: 1}
             if tag not in INLINE:
@@ -141,7 +163,7 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
         while len(stack) > 1 and stack[-1].tag in CLOSED_BY.get(tag, ()):
             close(len(stack) - 1)
         parts.append(" ")
-        node = Node(tag, stack[-1], len(parts))
+        node = Node(tag, stack[-1], len(parts), is_named(tag, known))
         nodes.append(node)
         stack.append(node)
         links = 0
@@ -152,6 +174,29 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
     return nodes, parts
 
 
+def without_named(nodes: list[Node], parts: list[str]) -> list[Node]:
+    """The nodes outside named blocks, whose text parts are emptied.  A named block that holds most of the page's text
+    stays, unless an article or main element beside it has text."""
+    if not any(n.named for n in nodes):
+        return nodes
+    for n in reversed(nodes):
+        n.text += n.chars
+        if n.parent:
+            n.parent.text += n.text
+    whole = [n for n in nodes if n.tag in WHOLE and n.text]
+    out, until = [], -1
+    for n in nodes:
+        if n.begin < until:
+            continue
+        if n.named and (2 * n.text <= nodes[0].text or any(w.end <= n.begin or w.begin >= n.end for w in whole)):
+            n.parent.tags -= 1
+            parts[n.begin:n.end] = [""] * (n.end - n.begin)
+            until = n.end
+            continue
+        out.append(n)
+    return out
+
+
 def weigh(nodes: list[Node]) -> None:
     """Composite text density of every node, and the sum over its children.  The logarithm's base is kept from 1 upwards,
     so that pages without links have finite densities."""
@@ -176,6 +221,7 @@ def weigh(nodes: list[Node]) -> None:
 def main_text(page: str) -> str:
     """The article of a page: white space collapsed, blocks joined by one space; "" if there is none."""
     nodes, parts = parse(page)
+    nodes = without_named(nodes, parts)
     weigh(nodes)
     best = max(nodes, key=lambda n: n.sum)  # the first of equals: the outermost
     threshold, n = best.density, best
