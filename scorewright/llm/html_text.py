@@ -3,7 +3,7 @@
 One pass over the markup builds the tree of block elements (formatting elements only add to their block's tags); elements
 that are never article text by tag, role or class are left out.  Every node gets its characters per tag, adjusted for links;
 the sum over a node's children says how much dense text hangs directly below it.  The subtree with the greatest sum is
-the article; the least density on its path to the body is the threshold that other subtrees must reach to count too."""
+the article; the least density on its path to the body is the threshold that lists of links must reach to count too."""
 
 from __future__ import annotations
 
@@ -224,23 +224,31 @@ def main_text(page: str) -> str:
     nodes = without_named(nodes, parts)
     weigh(nodes)
     best = max(nodes, key=lambda n: n.sum)  # the first of equals: the outermost
-    threshold, n = best.density, best
-    while n:
-        threshold = min(threshold, n.density)
-        n = n.parent
-    chosen: list[Node] = []
+    path = {best, *_above(best)}
+    threshold = min(n.density for n in path)
+
+    def dense(n: Node) -> bool:  # short blocks never reach the threshold, so only lists of links are left out by it
+        return n.density >= threshold or 2 * n.link_chars <= n.chars
+
     whole = [n for n in nodes if n.tag in WHOLE and n.chars and not any(w.tag in WHOLE for w in _above(n))]
-    holder = next((n for n in whole if n is best or any(a is n for a in _above(best))), None)
-    if holder:
-        chosen = [holder]
-    elif best.sum:
-        # further subtrees as dense as the path are article text too, the children of the best one all are
-        around = best.parent
-        peers = [n for n in nodes if n.parent is around and n.sum >= threshold and n.density >= threshold] if around else []
-        chosen = sorted({id(n): n for n in [best, *peers]}.values(), key=lambda n: n.begin)
-    else:
-        chosen = [nodes[0]]
-    return " ".join(" ".join(" ".join("".join(parts[n.begin:n.end]).split()) for n in chosen).split())
+    if any(n in whole for n in path) or 2 * sum(n.chars for n in whole) > nodes[0].chars:
+        chosen = [n for n in whole if n in path or dense(n)]
+        return _joined(parts, [(n.begin, n.end) for n in chosen])
+    ranges, at = [], 0
+    for n in nodes:
+        if n.begin < at or n in path and n is not best:
+            continue
+        if n is best or n.chars and n.density >= threshold:
+            ranges.append((at, n.end))
+            at = n.end
+        elif not dense(n):
+            ranges.append((at, n.begin))
+            at = n.end
+    return _joined(parts, [*ranges, (at, len(parts))])
+
+
+def _joined(parts: list[str], ranges: list[tuple[int, int]]) -> str:
+    return " ".join(" ".join(" ".join("".join(parts[a:b]).split()) for a, b in ranges).split())
 
 
 def _above(n: Node):
