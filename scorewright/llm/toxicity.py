@@ -7,6 +7,7 @@ all texts without a shuffle; what goes to the tasks is the lexicon and its weigh
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,12 +22,15 @@ MAX_TRAIN, MAX_TERMS = 24_000, 400
 #: A term stands between at least so many different pairs of neighbours in toxic texts, in number and by their share of the
 #: toxic texts (copies of one text are one context), and has at least these log odds.
 MIN_CONTEXTS, MIN_SHARE, MIN_ODDS = 3, 0.005, 2.5
-CONTEXT, CACHE_WORDS = 8, 200_000
-QUOTES = re.compile("[\"«»“”„‘’]")
+CACHE_WORDS = 200_000
+#: Quotation marks by what closes them; those that also close another's are told by what is open.
+CLOSED_BY = {'"': '"', "«": "»", "»": "«", "“": "”", "”": "”", "„": "“”", "‘": "’", "‚": "‘’"}
+MARKS = re.compile("[\"«»“”„‘’‚]|\\n\\s*\\n")
 # Words that report or name another's words.
 REPORTING = frozenset("said says saying called calls wrote writes quote quoted quoting quotes word words term insult insults "
                       "slur slurs reported allegedly named sagte nannte zitat wort dit disait citation mot dijo cita palabra".split())
 _CORE = re.compile(r"^[\W_]+|[\W_]+$")
+CORE_AT, WORD = re.compile(r"[\W_]*"), re.compile(r"\S+")
 
 
 @dataclass
@@ -79,17 +83,46 @@ class _Words(dict):
         return hit
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """(begin, end) of what stands between an opening mark and the mark that closes it, within a paragraph, in order and
+    without what lies in another.  A mark between letters is an apostrophe."""
+    found, opened = [], []
+    for m in MARKS.finditer(text):
+        c, at = m[0], m.start()
+        before, after = text[at - 1:at], text[at + 1:at + 2]
+        if c[0] == "\n":
+            opened = []
+        elif c in "‘’" and before.isalnum() and after.isalnum():
+            continue
+        else:
+            k = next((k for k in range(len(opened) - 1, -1, -1) if c in CLOSED_BY[opened[k][0]]), -1)
+            starts = c == '"' and (not before or before.isspace()) and after and not after.isspace()
+            if k >= 0 and not starts:
+                while found and found[-1][0] > opened[k][1]:
+                    found.pop()
+                found.append((opened[k][1], at))
+                del opened[k:]
+            elif c in CLOSED_BY and after and (c in "«“„‘‚" or not before.isalnum() and not after.isspace()):
+                opened = [*(opened[:k] if k >= 0 else opened), (c, at)]
+    return found
+
+
 def hits_of(text: str, known: _Words) -> list[tuple[int, int, bool]]:
-    """(edits, term, quoted) of each hit.  Quoted: quotation marks on either side within the context window, or a
-    reporting word before it."""
-    words = text.lower().split()
-    found = []
-    for i in [i for i, w in enumerate(words) if known[w]]:
-        edits, term = known[words[i]]
-        before, after = words[max(0, i - CONTEXT):i], words[i + 1:i + 1 + CONTEXT]
-        left, right = " ".join(before) + " " + words[i][:1], words[i][-1:] + " " + " ".join(after)
-        quoted = bool(QUOTES.search(left) and QUOTES.search(right)) or not REPORTING.isdisjoint(before[-3:])
-        found.append((edits, term, quoted))
+    """(edits, term, quoted) of each hit.  Quoted: between an opening quotation mark and its closing one, or a reporting
+    word before it."""
+    text = text.lower()
+    words = text.split()
+    if not any(known[w] for w in words):
+        return []
+    found, spans = [], quotations(text)
+    for i, m in enumerate(WORD.finditer(text)):
+        hit = known[m[0]]
+        if hit:
+            edits, term = hit
+            at = m.start() + CORE_AT.match(m[0]).end()
+            k = bisect(spans, (at,)) - 1
+            quoted = k >= 0 and at < spans[k][1] or not REPORTING.isdisjoint(words[max(0, i - 3):i])
+            found.append((edits, term, quoted))
     return found
 
 
