@@ -2,7 +2,7 @@
 
 From a bounded sample of labelled rows the words that mark toxic texts are learned, then how much a hit says: by term,
 by whether it is spelled exactly, and by its context window, which tells quotation from abuse.  Scoring is one pass over
-all texts without a shuffle; what goes to the tasks is the lexicon and its weights, bounded by ``max_terms``."""
+all texts without a shuffle; what goes to the tasks is the lexicon and its weights, all terms of the bounded sample."""
 
 from __future__ import annotations
 
@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 from .common import in_slices, prepared, stored
 from .levenshtein import FuzzyLexicon
 
-MAX_TRAIN, MAX_TERMS = 24_000, 400
-#: A term stands between at least so many different pairs of neighbours in toxic texts, in number and by their share of the
-#: toxic texts (copies of one text are one context), and has at least these log odds.
-MIN_CONTEXTS, MIN_SHARE, MIN_ODDS = 3, 0.005, 2.5
+MAX_TRAIN = 24_000
+#: A term stands between at least so many different pairs of neighbours in toxic texts (copies of one text are one context),
+#: has at least these log odds, and is so uneven (twice the log likelihood ratio) as a word is once in a million by chance.
+MIN_CONTEXTS, MIN_ODDS, MIN_UNEVEN = 3, 2.5, 24.0
 CACHE_WORDS = 200_000
 #: Quotation marks by what closes them; those that also close another's are told by what is open.
 CLOSED_BY = {'"': '"', "«": "»", "»": "«", "“": "”", "”": "”", "„": "“”", "‘": "’", "‚": "‘’"}
@@ -29,8 +29,7 @@ MARKS = re.compile("[\"«»“”„‘’‚]|\\n\\s*\\n")
 # Words that report or name another's words.
 REPORTING = frozenset("said says saying called calls wrote writes quote quoted quoting quotes word words term insult insults "
                       "slur slurs reported allegedly named sagte nannte zitat wort dit disait citation mot dijo cita palabra".split())
-_CORE = re.compile(r"^[\W_]+|[\W_]+$")
-CORE_AT, WORD = re.compile(r"[\W_]*"), re.compile(r"\S+")
+WORD, PART = re.compile(r"\S+"), re.compile(r"[^\W_]+")
 
 
 @dataclass
@@ -52,7 +51,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int)
     return texts.join(F.broadcast(part), "doc_id").select("t", "y")
 
 
-def learn_terms(train: DataFrame, max_terms: int = MAX_TERMS) -> list[str]:
+def learn_terms(train: DataFrame) -> list[str]:
     """Words far more frequent in toxic than in clean training texts, strongest first."""
     both = train.agg(F.sum("y"), F.count(F.lit(1))).first()
     toxic, clean = both[0] or 0, both[1] - (both[0] or 0)
@@ -64,13 +63,18 @@ def learn_terms(train: DataFrame, max_terms: int = MAX_TERMS) -> list[str]:
     between = F.transform("ws", lambda w, i: F.struct(w.alias("w"), F.xxhash64(F.get("ws", i - 1), F.get("ws", i + 1)).alias("c")))
     contexts = words.filter("y = 1").select(F.inline(between)).groupBy("w").agg(F.count_distinct("c").alias("contexts"))
     odds = F.log((F.col("p") + 0.5) / toxic) - F.log((F.col("n") - F.col("p") + 2.0) / clean)
-    found = (contexts.filter(F.col("contexts") >= max(MIN_CONTEXTS, MIN_SHARE * toxic)).join(docs, "w")
-             .withColumn("o", odds).filter(F.col("o") >= MIN_ODDS))
-    return [r.w for r in found.orderBy(F.desc("o"), "w").limit(max_terms).collect()]
+    # toxic texts with the word, copies aside, and clean ones, against what their numbers lead to expect
+    p, c = F.least("p", "contexts"), F.col("n") - F.col("p")
+    share = toxic / (toxic + clean)
+    uneven = 2 * (p * F.log(p / ((p + c) * F.lit(share))) + F.when(c > 0, c * F.log(c / ((p + c) * F.lit(1 - share)))).otherwise(0.0))
+    found = (contexts.filter(F.col("contexts") >= MIN_CONTEXTS).join(docs, "w")
+             .withColumn("o", odds).filter((F.col("o") >= MIN_ODDS) & (uneven >= MIN_UNEVEN)))
+    return [r.w for r in found.select("w", "o").orderBy(F.desc("o"), "w").collect()]
 
 
 class _Words(dict):
-    """Word (with its punctuation) -> hit or None; forgets all when full."""
+    """What stands between white space -> its hits (edits, term, place in it); forgets all when full.  Cut like the words that
+    terms are learned from; if no part is a hit, the parts joined may be one."""
 
     def __init__(self, lexicon: FuzzyLexicon):
         super().__init__()
@@ -79,8 +83,12 @@ class _Words(dict):
     def __missing__(self, word: str):
         if len(self) >= CACHE_WORDS:
             self.clear()
-        hit = self[word] = self.lexicon.match(_CORE.sub("", word))
-        return hit
+        parts = list(PART.finditer(word))
+        hits = [(*hit, m.start()) for m in parts if (hit := self.lexicon.match(m[0]))]
+        if not hits and len(parts) > 1 and (hit := self.lexicon.match("".join(m[0] for m in parts))):
+            hits = [(*hit, parts[0].start())]
+        hits = self[word] = tuple(hits)
+        return hits
 
 
 def quotations(text: str) -> list[tuple[int, int]]:
@@ -116,10 +124,8 @@ def hits_of(text: str, known: _Words) -> list[tuple[int, int, bool]]:
         return []
     found, spans = [], quotations(text)
     for i, m in enumerate(WORD.finditer(text)):
-        hit = known[m[0]]
-        if hit:
-            edits, term = hit
-            at = m.start() + CORE_AT.match(m[0]).end()
+        for edits, term, place in known[m[0]]:
+            at = m.start() + place
             k = bisect(spans, (at,)) - 1
             quoted = k >= 0 and at < spans[k][1] or not REPORTING.isdisjoint(words[max(0, i - 3):i])
             found.append((edits, term, quoted))
@@ -194,11 +200,11 @@ def _scan(df: DataFrame, text_col: str, make, new: T.StructField) -> DataFrame:
     return df.mapInArrow(run, T.StructType([*df.schema.fields, new]))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
+def train_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     """A model from at most about ``max_train`` labelled rows.  Without both classes every score is low."""
     prepared(docs.sparkSession)
     train = stored(labelled_sample(docs, labels, "toxic", max_train), "toxic-train")
-    terms = learn_terms(train, max_terms)
+    terms = learn_terms(train)
     if not terms:
         return Model([], np.zeros((0, 2)), np.array([-5.0, 0.8, 0.2, 0.3]))
     words = docs.sparkSession.sparkContext.broadcast(terms)
