@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that stand in an earlier one or further up; ``n_chars`` is counted anew."""
-    out = dedup_lines(docs.select(*DOC_COLUMNS))
+    out = dedup_lines(docs.select(*DOC_COLUMNS), min_exact=1)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*DOC_COLUMNS)
 
 

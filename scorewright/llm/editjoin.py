@@ -5,6 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+#: Word shingles: words in one, words of a line that has them, and the share that like lines have in common.
+RUN, MIN_WORDS, ALIKE = 5, 20, (4, 5)
+
 
 def cuts(length: int, parts: int) -> list[int]:
     return [length * i // parts for i in range(parts + 1)]
@@ -75,6 +78,44 @@ def letter_counts(lines: list[str], width: int = 32) -> np.ndarray:
                      for x in lines], np.int32).reshape(-1, width)
 
 
+def shingles(line: str) -> set[int]:
+    """63-bit hashes, times two, of the runs of ``RUN`` words of a line of ``MIN_WORDS`` words or more."""
+    words, key = line.split(), xxhash.xxh3_64_intdigest
+    if len(words) < MIN_WORDS:
+        return set()
+    return {(key(" ".join(words[i:i + RUN]).encode("utf-8", "surrogatepass")) & ~1) - (1 << 63) for i in range(len(words) - RUN + 1)}
+
+
+def prefix(runs: set[int]) -> list[int]:
+    """The least shingles of a line; lines that share ``ALIKE`` of theirs have one of these in common."""
+    n = len(runs)
+    return sorted(runs)[:n - -(-n * ALIKE[0] // ALIKE[1]) + 1] if n else []
+
+
+def alike(lines: list[str], query: np.ndarray, index: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect query lines with index lines whose shingles have a Jaccard similarity of ``ALIKE`` at least; pairs
+    already connected are not compared."""
+    root, sets, out = list(range(len(lines))), [shingles(x) for x in lines], []
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    rows = np.flatnonzero(index).tolist()
+    for q in np.flatnonzero(query).tolist():
+        for r in rows:
+            if (r < q or not query[r] or not index[q]) and r != q:
+                a, b = find(q), find(r)
+                if a != b:
+                    both = len(sets[q] & sets[r])
+                    if both * ALIKE[1] >= ALIKE[0] * (len(sets[q]) + len(sets[r]) - both):
+                        root[a] = b
+                        out.append((q, r))
+    return out
+
+
 def linked(lines: list[str], query: np.ndarray, index: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Links that connect query lines with index lines within ``most`` edits; pairs already connected are not compared."""
     root = list(range(len(lines)))

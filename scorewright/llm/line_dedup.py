@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import NO_ID, in_slices, partitions_for, prepared, stored
 from .components import connected_components
-from .editjoin import linked, probes, segment_keys
+from .editjoin import alike, linked, prefix, probes, segment_keys, shingles
 
 MAX_EDITS, MIN_EXACT, MIN_SIMILAR, CHUNK = 2, 10, 20, 512
 #: Bits of the filter in front of the text fetch (16 MB).
@@ -61,12 +61,13 @@ def occurrences(texts: DataFrame, min_chars: int) -> DataFrame:
 
 
 def _keys(texts: DataFrame, min_chars: int, most: int) -> DataFrame:
-    """(key, line) of every segment and probe; the lowest bit of ``line`` says that the key is a segment of the line."""
+    """(key, line) of every segment and probe; the lowest bit of ``line`` says that the key is a segment of the line.  A key
+    with its lowest bit set is a word shingle: long lines alike share one of their least."""
     def run(batches):
         import pyarrow as pa
         plan = lru_cache(maxsize=4096)(lambda n: (probes(n, most), np.array([p[4] for p in probes(n, most)], np.int64)))
         for batch in in_slices(batches):
-            keys, lines, seen = [], [], set()
+            keys, lines, seen, runs = [], [], set(), []
             for t in batch.column(2).to_pylist():
                 for s in t.split("\n"):
                     s = s.strip()
@@ -77,8 +78,10 @@ def _keys(texts: DataFrame, min_chars: int, most: int) -> DataFrame:
                             p, own = plan(len(s))
                             keys += segment_keys(s, p)
                             lines.append((hi & ~1) | own)
+                            runs += [(h | 1, hi | 1) for h in prefix(shingles(s))]
+            both = np.array(runs, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.concatenate(lines) if lines else np.empty(0, np.int64))],
+                [pa.array(np.r_[np.array(keys, np.uint64).view(np.int64) & ~1, both[:, 0]]), pa.array(np.concatenate([*lines, both[:, 1]]))],
                 ["key", "line"])
 
     return texts.mapInArrow(run, "key long, line long")
@@ -147,7 +150,7 @@ def _fetched(texts: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
 
 def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_SIMILAR, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) of line ids (``hi`` without its lowest bit) whose components are those of all lines within ``most``
-    edits.  A key that many lines meet in is cut into chunks, each pair of chunks verified by itself."""
+    edits or alike in their word shingles.  A key that many lines meet in is cut into chunks, each pair of chunks verified by itself."""
     meet = stored(_meetings(_keys(texts, min_chars, most)), "meetings")
     slim = meet.select("key", F.col("line").bitwiseAND(F.lit(~1)).alias("line"), (F.col("line").bitwiseAND(F.lit(1)) == 1).alias("own"))
     once = slim.groupBy("key", "line").agg(F.max("own").alias("own"))
@@ -179,7 +182,7 @@ def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_
             cross = g["lo"].iloc[0] != g["hi"].iloc[0]
             # a probe meets a segment; two probes that meet only each other need no look
             for query, index in ((side, ~side & own), (~side, side & own)) if cross else ((np.ones(len(g), bool), own),):
-                for x, y in linked(text, query, index, most):
+                for x, y in alike(text, query, index) if g["key"].iloc[0] & 1 else linked(text, query, index, most):
                     a.append(line[x])
                     b.append(line[y])
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
@@ -194,7 +197,8 @@ def dedup_lines(docs: DataFrame, most: int = MAX_EDITS, min_exact: int = MIN_EXA
     ``lines_before`` and ``lines_removed``.
 
     A line goes if an equal one, or one within ``most`` edits (directly or over others), stands earlier: in a document with
-    a smaller doc_id or further up in the same.  White space at a line's ends is ignored; lines below ``min_exact``
+    a smaller doc_id or further up in the same.  Lines of 20 words or more also count as similar if they share four fifths
+    of their 5-word shingles, so that the edits allowed grow with the line.  White space at a line's ends is ignored; lines below ``min_exact``
     characters always stay, and below ``min_similar`` only equal lines count.  No row is dropped: a text of which
     nothing is new becomes empty.  Null text stays null and has no lines; null ids come after all others; rows alike
     in id and text are one document and keep the same lines.  An empty table gives an empty result."""

@@ -109,7 +109,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_line_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_exact=1)
 
 
 @query("op7_sharding", """
