@@ -4,10 +4,9 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+from sw_paths import ROOT
 
-SF_SMALL = "/root/testdata/sf0.001"
+sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")

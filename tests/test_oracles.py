@@ -5,7 +5,7 @@ import pytest
 
 from scorewright.plans.registry import ORACLES, QUERIES, load_all
 
-from conftest import ROOT, SF_SMALL
+from sw_paths import ROOT, SF_SMALL
 
 load_all()
 

@@ -2,7 +2,7 @@
 
 from scorewright.plans.registry import QUERIES, load_all
 
-from conftest import SF_SMALL
+from sw_paths import SF_SMALL
 
 load_all()
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from scorewright.operators import scores as SC
 from scorewright.plans.registry import fx
 
-from conftest import SF_SMALL
+from sw_paths import SF_SMALL
 
 
 def test_nest_then_flatten_round_trip(spark):
