@@ -128,6 +128,65 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+@query("op12_url_filter", """
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+fits AS (SELECT page_id, host, path,
+           CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+                WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+                WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+                WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM u),
+ruled AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS said FROM fits),
+h AS (SELECT host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] AS suffix,
+             count(rule) AS n, count(*) FILTER (WHERE said = 'block') AS x FROM ruled GROUP BY 1, 2, 3),
+s0 AS (SELECT suffix, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(x) AS DOUBLE) AS x FROM h GROUP BY 1),
+s1 AS (SELECT *, (SELECT CASE WHEN sum(n) > 0 THEN (sum(x) + 1) / (sum(n) + 2) ELSE 0.5 END FROM s0) AS m FROM s0),
+sr AS (SELECT sum(CAST((x - n * m) * (x - n * m) AS DECIMAL(38, 9))) AS seen, sum(CAST(n * (m * (1 - m)) AS DECIMAL(38, 9))) AS alone,
+              sum(CAST(n * (n - 1) * (m * (1 - m)) AS DECIMAL(38, 9))) AS pairs FROM s1),
+sk AS (SELECT CASE WHEN pairs > 0 AND seen > alone THEN least(greatest(CAST(pairs AS DOUBLE) / CAST(seen - alone AS DOUBLE) - 1, 1.0), 1000.0) ELSE 1000.0 END AS k FROM sr),
+s2 AS (SELECT suffix, (k * m + x) / (k + n) AS mean FROM s1, sk),
+d1 AS (SELECT domain, CAST(sum(h.n) AS DOUBLE) AS n, CAST(sum(h.x) AS DOUBLE) AS x, any_value(s2.mean) AS m FROM h JOIN s2 USING (suffix) GROUP BY 1),
+dr AS (SELECT sum(CAST((x - n * m) * (x - n * m) AS DECIMAL(38, 9))) AS seen, sum(CAST(n * (m * (1 - m)) AS DECIMAL(38, 9))) AS alone,
+              sum(CAST(n * (n - 1) * (m * (1 - m)) AS DECIMAL(38, 9))) AS pairs FROM d1),
+dk AS (SELECT CASE WHEN pairs > 0 AND seen > alone THEN least(greatest(CAST(pairs AS DOUBLE) / CAST(seen - alone AS DOUBLE) - 1, 1.0), 1000.0) ELSE 1000.0 END AS k FROM dr),
+d2 AS (SELECT domain, (k * m + x) / (k + n) AS mean FROM d1, dk),
+h1 AS (SELECT host, CAST(n AS DOUBLE) AS n, CAST(x AS DOUBLE) AS x, d2.mean AS m FROM h JOIN d2 USING (domain)),
+hr AS (SELECT sum(CAST((x - n * m) * (x - n * m) AS DECIMAL(38, 9))) AS seen, sum(CAST(n * (m * (1 - m)) AS DECIMAL(38, 9))) AS alone,
+              sum(CAST(n * (n - 1) * (m * (1 - m)) AS DECIMAL(38, 9))) AS pairs FROM h1),
+hk AS (SELECT CASE WHEN pairs > 0 AND seen > alone THEN least(greatest(CAST(pairs AS DOUBLE) / CAST(seen - alone AS DOUBLE) - 1, 1.0), 1000.0) ELSE 1000.0 END AS k FROM hr),
+h2 AS (SELECT host, k * m + x AS a, k * (1 - m) + (n - x) AS b FROM h1, hk)
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN a / (a + b) - 3 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5
+       THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled JOIN h2 USING (host)""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judge_urls
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+@query("op13_fill_middle", r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+d AS (SELECT doc_id, text, w, len(w) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+             CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(w[1:a], '') AS p, array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:], '') AS s FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fill_middle import fill_in_middle, restore
+    out = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+                      digest(restore(F.col("form"), F.col("output"))).alias("restored_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
