@@ -128,6 +128,35 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+@query("op11_collocations", r"""
+WITH p AS MATERIALIZED (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, piece, unnest(w) AS w, generate_subscripts(w, 1) AS i
+      FROM (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p)),
+v AS MATERIALIZED (SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4, lead(w, 4) OVER o AS w5
+      FROM w WINDOW o AS (PARTITION BY piece ORDER BY i)),
+g AS (SELECT lang, 1 AS m, w1 AS phrase FROM v UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM v
+      UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM v UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM v
+      UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM v),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS a FROM g WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 100 OR m = 1),
+t AS MATERIALIZED (SELECT lang, sum(a) AS n FROM f WHERE m = 1 GROUP BY 1),
+c AS MATERIALIZED (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 100),
+covered AS (SELECT lang, a, array_to_string(w[2:], ' ') AS phrase FROM c UNION ALL SELECT lang, a, array_to_string(w[:-2], ' ') FROM c),
+k AS MATERIALIZED (SELECT c.*, k FROM c, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE k < m),
+s AS MATERIALIZED (SELECT k.lang, k.phrase, k.a, k.k, l.a AS l, r.a AS r, t.n,
+             1000::HUGEINT * k.a * t.n // (l.a::HUGEINT * r.a) AS score
+      FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.w[:k.k], ' ')
+             JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.w[k.k + 1:], ' ') JOIN t ON t.lang = k.lang),
+b AS (SELECT * FROM s ANTI JOIN covered USING (lang, phrase, a)
+      QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM b QUALIFY rank <= 2000""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 @query("op12_url_filter", """
 WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
