@@ -38,6 +38,71 @@ def segment_keys(line: str, plan: list[tuple[int, int, int, int, bool]]) -> list
     return [key(wide[4 * a:4 * b], size * 16 + i) for size, i, a, b, _ in plan]
 
 
+_BASE, _ODD, _STEP = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: Code points at which ``str.split`` separates words.
+SPACE = np.zeros(0x3001, bool)
+SPACE[[c for c in range(0x3001) if chr(c).isspace()]] = True
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _ODD
+    x = (x ^ (x >> np.uint64(27))) * _STEP
+    return x ^ (x >> np.uint64(31))
+
+
+class LineKeys:
+    """Keys of many lines at once: any run of characters of a line is hashed from one running sum over the line."""
+
+    def __init__(self, lines: list[str]):
+        self.sizes = np.array([len(x) for x in lines], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+        longest = int(self.sizes.max(initial=0)) + 1
+        power = np.full(longest, _BASE, np.uint64)
+        back = np.full(longest, pow(_BASE, -1, 1 << 64), np.uint64)
+        power[0] = back[0] = 1
+        power, self.back = np.cumprod(power), np.cumprod(back)
+        self.place = np.arange(len(self.points)) - np.repeat(self.starts, self.sizes)
+        value = _mixed(self.points.astype(np.uint64) + np.uint64(1)) * power[self.place]
+        self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(value)]
+
+    def runs(self, start: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Hashes of the characters from ``a`` to ``b`` of the lines that begin at ``start``."""
+        return (self.sums[start + b] - self.sums[start + a]) * self.back[a]
+
+    def segments(self, plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(line number, key, own) of every segment and probe; ``plan`` gives the ``probes`` of a length as an array."""
+        plans = [plan(n) for n in self.sizes.tolist()]
+        which = np.repeat(np.arange(len(plans)), [len(p) for p in plans])
+        size, i, a, b, own = np.concatenate([*plans, np.zeros((0, 5), np.int64)]).T
+        return which, _mixed(self.runs(self.starts[which], a, b) + (size * 16 + i).astype(np.uint64) * _STEP), own == 1
+
+    def least_shingles(self) -> tuple[np.ndarray, np.ndarray]:
+        """(line number, key) of the least shingles of every line of ``MIN_WORDS`` words or more: of n different ones so many
+        that lines with ``ALIKE`` of theirs in common share one of these."""
+        blank = SPACE[np.minimum(self.points, 0x3000)] & (self.points <= 0x3000)
+        first, last = self.place == 0, np.r_[self.place[1:] == 0, True][:len(self.points)]
+        begin = np.flatnonzero(~blank & (first | np.r_[True, blank[:-1]][:len(blank)]))
+        end = np.flatnonzero(~blank & (last | np.r_[blank[1:], True][:len(blank)])) + 1
+        line = np.repeat(np.arange(len(self.sizes)), self.sizes)[begin]
+        words = self.runs(self.starts[line], self.place[begin], self.place[end - 1] + 1) if len(begin) else np.zeros(0, np.uint64)
+        many = np.bincount(line, minlength=len(self.sizes)) >= MIN_WORDS
+        at = np.arange(max(len(begin) - RUN + 1, 0))
+        at = at[many[line[at]] & (line[at] == line[at + RUN - 1])] if len(at) else at
+        key = np.zeros(len(at), np.uint64)
+        for k in range(RUN):
+            key = _mixed(key * _ODD + words[at + k])
+        owner = line[at]
+        order = np.lexsort((key, owner))
+        owner, key = owner[order], key[order]
+        new = np.r_[True, (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])][:len(key)]
+        owner, key = owner[new], key[new]
+        n = np.bincount(owner, minlength=len(self.sizes))
+        rank = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
+        few = rank < (n - -(-n * ALIKE[0] // ALIKE[1]) + 1)[owner]
+        return owner[few], key[few]
+
+
 def within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most ``most``: a band of 2 * ``most`` + 1 diagonals as one word, column by column."""
     d = len(a) - len(b)
@@ -86,12 +151,6 @@ def shingles(line: str) -> set[int]:
     return {(key(" ".join(words[i:i + RUN]).encode("utf-8", "surrogatepass")) & ~1) - (1 << 63) for i in range(len(words) - RUN + 1)}
 
 
-def prefix(runs: set[int]) -> list[int]:
-    """The least shingles of a line; lines that share ``ALIKE`` of theirs have one of these in common."""
-    n = len(runs)
-    return sorted(runs)[:n - -(-n * ALIKE[0] // ALIKE[1]) + 1] if n else []
-
-
 def alike(lines: list[str], query: np.ndarray, index: np.ndarray) -> list[tuple[int, int]]:
     """Links that connect query lines with index lines whose shingles have a Jaccard similarity of ``ALIKE`` at least; pairs
     already connected are not compared."""

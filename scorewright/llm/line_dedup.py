@@ -16,9 +16,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, in_slices, partitions_for, prepared, stored
+from .common import NO_ID, discard, in_slices, partitions_for, prepared, stored
 from .components import connected_components
-from .editjoin import alike, linked, prefix, probes, segment_keys, shingles
+from .editjoin import LineKeys, alike, linked, probes
 
 MAX_EDITS, MIN_EXACT, MIN_SIMILAR, CHUNK = 2, 10, 20, 512
 #: Bits of the filter in front of the text fetch (16 MB).
@@ -60,74 +60,76 @@ def occurrences(texts: DataFrame, min_chars: int) -> DataFrame:
     return texts.mapInArrow(run, "id long, mark long, line int, hi long, lo long")
 
 
-def _keys(texts: DataFrame, min_chars: int, most: int) -> DataFrame:
-    """(key, line) of every segment and probe; the lowest bit of ``line`` says that the key is a segment of the line.  A key
-    with its lowest bit set is a word shingle: long lines alike share one of their least."""
+def _keys(texts: DataFrame, min_chars: int, most: int, met: np.ndarray | None = None) -> DataFrame:
+    """(key, line, own) of every segment and probe; ``own`` if the key is a segment of the line.  A key with its lowest bit
+    set is a word shingle: long lines alike share one of their least.  With ``met`` only keys in this bitmap."""
+    shared = None if met is None else texts.sparkSession.sparkContext.broadcast(met)
+
     def run(batches):
         import pyarrow as pa
-        plan = lru_cache(maxsize=4096)(lambda n: (probes(n, most), np.array([p[4] for p in probes(n, most)], np.int64)))
+        plan = lru_cache(maxsize=4096)(lambda n: np.array(probes(n, most), np.int64).reshape(-1, 5))
         for batch in in_slices(batches):
-            keys, lines, seen, runs = [], [], set(), []
+            lines = {}
             for t in batch.column(2).to_pylist():
                 for s in t.split("\n"):
                     s = s.strip()
                     if len(s) >= min_chars:
-                        hi = _ids(s)[0]
-                        if hi not in seen:
-                            seen.add(hi)
-                            p, own = plan(len(s))
-                            keys += segment_keys(s, p)
-                            lines.append((hi & ~1) | own)
-                            runs += [(h | 1, hi | 1) for h in prefix(shingles(s))]
-            both = np.array(runs, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[np.array(keys, np.uint64).view(np.int64) & ~1, both[:, 0]]), pa.array(np.concatenate([*lines, both[:, 1]]))],
-                ["key", "line"])
+                        lines[_ids(s)[0] & ~1] = s
+            ids, every = np.array([*lines], np.int64), LineKeys([*lines.values()])
+            line, key, own = every.segments(plan)
+            long, run = every.least_shingles()
+            key = np.r_[key & ~np.uint64(1), run | np.uint64(1)].view(np.int64)
+            line, own = ids[np.r_[line, long]], np.r_[own, np.ones(len(long), bool)]
+            if shared is not None:
+                there = _marked(shared.value, key)
+                key, line, own = key[there], line[there], own[there]
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(own)], ["key", "line", "own"])
+
+    return texts.mapInArrow(run, "key long, line long, own boolean")
+
+
+def _bits(rows: DataFrame, name: str) -> np.ndarray:
+    """A bitmap of fixed size of the longs in column ``name``."""
+    spot = F.pmod(F.shiftright(name, 1), F.lit(FILTER_BITS))
+    maps = (rows.select(F.floor(spot / BITMAP).alias("slot"), (spot % BITMAP).alias("bit")).groupBy("slot")
+            .agg(F.bitmap_construct_agg("bit").alias("bits")).collect())  # at most FILTER_BITS bits
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in maps:
+        b = np.frombuffer(bytes(r.bits), np.uint8)
+        bits[r.slot * BITMAP // 8:][:len(b)] = b
+    return bits
 
-    return texts.mapInArrow(run, "key long, line long")
 
+def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    spot = (values >> 1) % FILTER_BITS
+    return (bits[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
 
-def _meetings(keys: DataFrame) -> DataFrame:
-    """The (key, line) rows of keys that are a segment of one line and looked up by another, each once."""
-    def run(frames):
-        held = None
-        for pdf in frames:
-            if held is not None:
-                pdf = pd.concat([held, pdf], ignore_index=True)
-            key, line = pdf["key"].values, pdf["line"].values
-            new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])]  # sorted: equal rows are neighbours
-            key, line = key[new], line[new]
-            last = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            held = pd.DataFrame({"key": key[last:], "line": line[last:]})
-            yield met(key[:last], line[:last])
-        if held is not None:
-            yield met(held["key"].values, held["line"].values)
-
-    def met(key, line):
-        if not len(key):
-            return pd.DataFrame({"key": key, "line": line})
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[first, len(key)])
-        base = line & ~1
-        differ = np.maximum.reduceat(base, first) != np.minimum.reduceat(base, first)
-        indexed = np.bitwise_or.reduceat(line & 1, first) == 1
-        keep = np.repeat(differ & indexed, size)
-        return pd.DataFrame({"key": key[keep], "line": line[keep]})
-
-    n = partitions_for(keys.sparkSession)
-    return keys.repartition(n, "key").sortWithinPartitions("key", "line").mapInPandas(run, "key long, line long")
+
+def _meetings(texts: DataFrame, min_chars: int, most: int) -> DataFrame:
+    """The (key, line, own) rows of keys that are a segment of one line and looked up by another, each once.
+
+    Which keys these are is an aggregation of a few numbers a key, combined before the shuffle, so that a key that many
+    lines have costs no more than others; their rows are then made again, past a bitmap of fixed size, and joined."""
+    keys = _keys(texts, min_chars, most)
+    met = (keys.groupBy("key").agg(F.min("line").alias("least"), F.max("line").alias("greatest"), F.max("own").alias("own"))
+           .filter((F.col("least") != F.col("greatest")) & F.col("own")).select("key"))
+    met = stored(met, "met-keys")
+    again = _keys(texts, min_chars, most, _bits(met, "key")).join(met, "key")
+    out = stored(again.groupBy("key", "line").agg(F.max("own").alias("own")), "meetings")
+    discard(met)
+    return out
+
+
+def _different(meet: DataFrame) -> DataFrame:
+    """(key, n) of one key for each set of lines: near copies meet in many keys, all with the same lines, told by two hashes."""
+    hashes = [F.bit_xor(F.xxhash64(F.lit(k), "line", "own")) for k in (1, 2)]
+    sets = meet.groupBy("key").agg(F.count(F.lit(1)).alias("n"), hashes[0].alias("h"), hashes[1].alias("g"))
+    return sets.groupBy("n", "h", "g", F.col("key").bitwiseAND(F.lit(1))).agg(F.min("key").alias("key")).select("key", "n")
 
 
 def _fetched(texts: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
     """(line, s): the text of the ``wanted`` lines.  A bitmap of fixed size keeps most other lines from being moved."""
-    spot = F.pmod(F.shiftright("line", 1), F.lit(FILTER_BITS))
-    maps = (wanted.select(F.floor(spot / BITMAP).alias("slot"), (spot % BITMAP).alias("bit")).groupBy("slot")
-            .agg(F.bitmap_construct_agg("bit").alias("bits")).collect())  # at most FILTER_BITS bits
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in maps:
-        b = np.frombuffer(bytes(r.bits), np.uint8)
-        bits[r.slot * BITMAP // 8:][:len(b)] = b
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
+    shared = texts.sparkSession.sparkContext.broadcast(_bits(wanted, "line"))
 
     def run(batches):
         import pyarrow as pa
@@ -151,15 +153,14 @@ def _fetched(texts: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
 def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_SIMILAR, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) of line ids (``hi`` without its lowest bit) whose components are those of all lines within ``most``
     edits or alike in their word shingles.  A key that many lines meet in is cut into chunks, each pair of chunks verified by itself."""
-    meet = stored(_meetings(_keys(texts, min_chars, most)), "meetings")
-    slim = meet.select("key", F.col("line").bitwiseAND(F.lit(~1)).alias("line"), (F.col("line").bitwiseAND(F.lit(1)) == 1).alias("own"))
-    once = slim.groupBy("key", "line").agg(F.max("own").alias("own"))
-    sizes = once.groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
-    tasks = (once.join(sizes, "key").withColumn("c", F.pmod(F.xxhash64("line"), F.col("chunks")).cast("int"))
+    meet = _meetings(texts, min_chars, most)
+    sizes = stored(_different(meet).withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int")), "line-sets")
+    once = stored(meet.join(sizes, "key"), "line-tasks")
+    discard(meet)
+    tasks = (once.withColumn("c", F.pmod(F.xxhash64("line"), F.col("chunks")).cast("int"))
              .withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
              .select("line", "own", "key", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "c"))
-    lines = stored(_fetched(texts, stored(meet.select(F.col("line").bitwiseAND(F.lit(~1)).alias("line")).distinct(), "wanted"),
-                            min_chars), "lines")
+    lines = stored(_fetched(texts, once.select("line").distinct(), min_chars), "lines")
 
     def verify(frames):
         held = None
@@ -188,8 +189,10 @@ def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     n = partitions_for(texts.sparkSession)
-    return (tasks.join(lines, "line").repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-            .mapInPandas(verify, "a long, b long").distinct())
+    links = stored(tasks.join(lines, "line").repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+                   .mapInPandas(verify, "a long, b long").distinct(), "line-links")
+    discard(once, sizes, lines)
+    return links
 
 
 def dedup_lines(docs: DataFrame, most: int = MAX_EDITS, min_exact: int = MIN_EXACT, min_similar: int = MIN_SIMILAR) -> DataFrame:
@@ -217,6 +220,8 @@ def dedup_lines(docs: DataFrame, most: int = MAX_EDITS, min_exact: int = MIN_EXA
     gone = (seen.join(equal.unionByName(near), ["hi", "lo"])
             .filter((F.col("id") != F.col("winner.id")) | (F.col("line") != F.col("winner.line")) | (F.col("mark") != F.col("winner.mark")))
             .groupBy("id", "mark").agg(F.collect_set("line").alias("gone")))
+    gone = stored(gone, "line-gone")
+    discard(seen, firsts, joined)
     old = [c for c in docs.columns if c not in ("lines_before", "lines_removed")]
     t = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("i"), F.xxhash64(t).alias("m"),

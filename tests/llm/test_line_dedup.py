@@ -3,7 +3,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from scorewright.llm.editjoin import linked, probes, segment_keys, within
+from scorewright.llm.editjoin import LineKeys, linked, probes, segment_keys, within
 from scorewright.llm.line_dedup import dedup_lines
 import numpy as np
 
@@ -47,6 +47,8 @@ def test_banded_distance_and_segments(pair, most):
         long, short = (a, b) if len(a) >= len(b) else (b, a)
         own = [p for p in probes(len(short), most) if p[4]]
         assert set(segment_keys(long, probes(len(long), most))) & set(segment_keys(short, own))
+        line, key, of = LineKeys(["some other line", long, short]).segments(lambda n: np.array(probes(n, most), np.int64))
+        assert set(key[line == 1].tolist()) & set(key[(line == 2) & of].tolist())
 
 
 def brute(docs, most=2, exact=10, similar=20):

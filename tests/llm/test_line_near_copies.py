@@ -1,6 +1,6 @@
 import random
 
-from scorewright.llm.editjoin import alike, prefix, shingles
+from scorewright.llm.editjoin import LineKeys, alike, shingles
 from scorewright.llm.queries import QUERIES
 import numpy as np
 
@@ -14,7 +14,9 @@ def test_like_lines_share_a_prefix_shingle():
             b[rng.randrange(len(b))] = "other"
         x, y = shingles(" ".join(a)), shingles(" ".join(b))
         near = len(x & y) >= 0.8 * len(x | y)
-        assert not near or set(prefix(x)) & set(prefix(y))
+        line, key = LineKeys([" ".join(a), "\u3000".join(b)]).least_shingles()
+        assert not near or set(key[line == 0].tolist()) & set(key[line == 1].tolist())
+        assert sorted(np.bincount(line).tolist()) == sorted(len(z) - -(-len(z) * 4 // 5) + 1 for z in (x, y))
         assert bool(alike([" ".join(a), " ".join(b)], np.ones(2, bool), np.ones(2, bool))) == near
 
 

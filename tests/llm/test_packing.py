@@ -33,7 +33,9 @@ def test_every_piece_has_its_place(histogram):
     plan = check_plan(histogram, 64)
     total = sum(k * v for k, v in histogram.items())
     assert plan.sequences >= -(-total // 64)
-    assert plan.sequences <= -(-total * 3 // (2 * 64)) + 1
+    halves = sum(v for k, v in histogram.items() if k > 32)
+    assert plan.sequences <= max(halves + sum(v for k, v in histogram.items() if k <= 32), 1)
+    assert plan.sequences <= max(2 * total // 64 + 1, halves)
 
 
 def test_two_replace_the_smallest():
