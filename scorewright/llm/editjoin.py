@@ -77,9 +77,8 @@ class LineKeys:
         size, i, a, b, own = np.concatenate([*plans, np.zeros((0, 5), np.int64)]).T
         return which, _mixed(self.runs(self.starts[which], a, b) + (size * 16 + i).astype(np.uint64) * _STEP), own == 1
 
-    def least_shingles(self) -> tuple[np.ndarray, np.ndarray]:
-        """(line number, key) of the least shingles of every line of ``MIN_WORDS`` words or more: of n different ones so many
-        that lines with ``ALIKE`` of theirs in common share one of these."""
+    def shingles(self) -> tuple[np.ndarray, np.ndarray]:
+        """(line number, key) of the different runs of ``RUN`` words of every line of ``MIN_WORDS`` words or more, in order."""
         blank = SPACE[np.minimum(self.points, 0x3000)] & (self.points <= 0x3000)
         first, last = self.place == 0, np.r_[self.place[1:] == 0, True][:len(self.points)]
         begin = np.flatnonzero(~blank & (first | np.r_[True, blank[:-1]][:len(blank)]))
@@ -96,7 +95,11 @@ class LineKeys:
         order = np.lexsort((key, owner))
         owner, key = owner[order], key[order]
         new = np.r_[True, (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])][:len(key)]
-        owner, key = owner[new], key[new]
+        return owner[new], key[new]
+
+    def least_shingles(self) -> tuple[np.ndarray, np.ndarray]:
+        """The least of each line's n shingles, so many that lines with ``ALIKE`` of theirs in common share one of these."""
+        owner, key = self.shingles()
         n = np.bincount(owner, minlength=len(self.sizes))
         rank = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
         few = rank < (n - -(-n * ALIKE[0] // ALIKE[1]) + 1)[owner]
@@ -143,35 +146,25 @@ def letter_counts(lines: list[str], width: int = 32) -> np.ndarray:
                      for x in lines], np.int32).reshape(-1, width)
 
 
-def shingles(line: str) -> set[int]:
-    """63-bit hashes, times two, of the runs of ``RUN`` words of a line of ``MIN_WORDS`` words or more."""
-    words, key = line.split(), xxhash.xxh3_64_intdigest
-    if len(words) < MIN_WORDS:
-        return set()
-    return {(key(" ".join(words[i:i + RUN]).encode("utf-8", "surrogatepass")) & ~1) - (1 << 63) for i in range(len(words) - RUN + 1)}
-
-
-def alike(lines: list[str], query: np.ndarray, index: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect query lines with index lines whose shingles have a Jaccard similarity of ``ALIKE`` at least; pairs
-    already connected are not compared."""
-    root, sets, out = list(range(len(lines))), [shingles(x) for x in lines], []
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    rows = np.flatnonzero(index).tolist()
+def alike(sets: list[np.ndarray], query: np.ndarray, index: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect query lines with index lines whose sets of shingles have a Jaccard similarity of ``ALIKE`` at
+    least; a line already connected to all others is not compared."""
+    root, out = np.arange(len(sets)), []
+    size = np.array([len(x) for x in sets])
+    names, code = np.unique(np.concatenate(sets), return_inverse=True)
+    begin = np.cumsum(size) - size
     for q in np.flatnonzero(query).tolist():
-        for r in rows:
-            if (r < q or not query[r] or not index[q]) and r != q:
-                a, b = find(q), find(r)
-                if a != b:
-                    both = len(sets[q] & sets[r])
-                    if both * ALIKE[1] >= ALIKE[0] * (len(sets[q]) + len(sets[r]) - both):
-                        root[a] = b
-                        out.append((q, r))
+        rows = index & (root != root[q])
+        if not rows.any():
+            continue
+        mark = np.zeros(len(names), np.int64)
+        mark[code[begin[q]:begin[q] + size[q]]] = 1
+        both = np.add.reduceat(mark[code], begin)
+        near = rows & (both * ALIKE[1] >= ALIKE[0] * (size[q] + size - both))
+        for r in np.flatnonzero(near).tolist():
+            if root[r] != root[q]:
+                root[root == root[r]] = root[q]
+                out.append((q, r))
     return out
 
 

@@ -128,7 +128,8 @@ def _different(meet: DataFrame) -> DataFrame:
 
 
 def _fetched(texts: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
-    """(line, s): the text of the ``wanted`` lines.  A bitmap of fixed size keeps most other lines from being moved."""
+    """(line, s, runs): text and shingles of the ``wanted`` lines.  A bitmap of fixed size keeps most other lines from being
+    moved."""
     shared = texts.sparkSession.sparkContext.broadcast(_bits(wanted, "line"))
 
     def run(batches):
@@ -144,9 +145,13 @@ def _fetched(texts: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
                         spot = (h >> 1) % FILTER_BITS
                         if there[spot >> 3] >> (spot & 7) & 1:
                             found[h] = s
-            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string())], ["line", "s"])
+            owner, runs = LineKeys([*found.values()]).shingles()
+            ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(found)))].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(runs.view(np.int64)))], ["line", "s", "runs"])
 
-    some = texts.select("t").mapInArrow(run, "line long, s string")
+    some = texts.select("t").mapInArrow(run, "line long, s string, runs array<long>")
     return some.join(wanted, "line", "left_semi").dropDuplicates(["line"])
 
 
@@ -178,18 +183,23 @@ def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_
     def found(pdf):
         a, b = [], []
         for _, g in pdf.groupby(["key", "lo", "hi"], sort=False):
-            line, text, own = g["line"].values, g["s"].tolist(), g["own"].values
+            line, own = g["line"].values, g["own"].values
+            runs = g["key"].iloc[0] & 1
+            what = g["runs" if runs else "s"].tolist()
             side = (g["c"] == g["lo"]).values
             cross = g["lo"].iloc[0] != g["hi"].iloc[0]
             # a probe meets a segment; two probes that meet only each other need no look
             for query, index in ((side, ~side & own), (~side, side & own)) if cross else ((np.ones(len(g), bool), own),):
-                for x, y in alike(text, query, index) if g["key"].iloc[0] & 1 else linked(text, query, index, most):
+                for x, y in alike(what, query, index) if runs else linked(what, query, index, most):
                     a.append(line[x])
                     b.append(line[y])
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     n = partitions_for(texts.sparkSession)
-    links = stored(tasks.join(lines, "line").repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    worded = F.col("key").bitwiseAND(F.lit(1)) == 1  # its lines are compared by their shingles, others by their text
+    given = tasks.join(lines, "line").select("line", "own", "key", "lo", "hi", "c", F.when(~worded, F.col("s")).alias("s"),
+                                             F.when(worded, F.col("runs")).alias("runs"))
+    links = stored(given.repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
                    .mapInPandas(verify, "a long, b long").distinct(), "line-links")
     discard(once, sizes, lines)
     return links
