@@ -60,6 +60,20 @@ def occurrences(texts: DataFrame, min_chars: int) -> DataFrame:
     return texts.mapInArrow(run, "id long, mark long, line int, hi long, lo long")
 
 
+def _chunks(lines: dict[int, str], chars: int = 1 << 19):
+    """(ids, texts) of ``lines``, so many at a time that their arrays stay small."""
+    ids, texts, size = [], [], 0
+    for i, s in lines.items():
+        ids.append(i)
+        texts.append(s)
+        size += len(s)
+        if size >= chars:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def _keys(texts: DataFrame, min_chars: int, most: int, met: np.ndarray | None = None) -> DataFrame:
     """(key, line, own) of every segment and probe; ``own`` if the key is a segment of the line.  A key with its lowest bit
     set is a word shingle: long lines alike share one of their least.  With ``met`` only keys in this bitmap."""
@@ -75,15 +89,16 @@ def _keys(texts: DataFrame, min_chars: int, most: int, met: np.ndarray | None =
                     s = s.strip()
                     if len(s) >= min_chars:
                         lines[_ids(s)[0] & ~1] = s
-            ids, every = np.array([*lines], np.int64), LineKeys([*lines.values()])
-            line, key, own = every.segments(plan)
-            long, run = every.least_shingles()
-            key = np.r_[key & ~np.uint64(1), run | np.uint64(1)].view(np.int64)
-            line, own = ids[np.r_[line, long]], np.r_[own, np.ones(len(long), bool)]
-            if shared is not None:
-                there = _marked(shared.value, key)
-                key, line, own = key[there], line[there], own[there]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(own)], ["key", "line", "own"])
+            for ids, some in _chunks(lines):
+                every = LineKeys(some)
+                line, key, own = every.segments(plan)
+                long, run = every.least_shingles()
+                key = np.r_[key & ~np.uint64(1), run | np.uint64(1)].view(np.int64)
+                line, own = np.array(ids, np.int64)[np.r_[line, long]], np.r_[own, np.ones(len(long), bool)]
+                if shared is not None:
+                    there = _marked(shared.value, key)
+                    key, line, own = key[there], line[there], own[there]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(own)], ["key", "line", "own"])
 
     return texts.mapInArrow(run, "key long, line long, own boolean")
 
@@ -145,11 +160,12 @@ def _fetched(texts: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
                         spot = (h >> 1) % FILTER_BITS
                         if there[spot >> 3] >> (spot & 7) & 1:
                             found[h] = s
-            owner, runs = LineKeys([*found.values()]).shingles()
-            ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(found)))].astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(runs.view(np.int64)))], ["line", "s", "runs"])
+            for ids, some in _chunks(found):
+                owner, runs = LineKeys(some).shingles()
+                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(some)))].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(some, pa.string()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(runs.view(np.int64)))], ["line", "s", "runs"])
 
     some = texts.select("t").mapInArrow(run, "line long, s string, runs array<long>")
     return some.join(wanted, "line", "left_semi").dropDuplicates(["line"])
