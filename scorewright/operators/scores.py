@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import rules
 from ..functions import scores as S
+from .sizes import small_side
 
 NUMERIC_VARIANT = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$"
 
@@ -72,25 +73,59 @@ def total_mismatch(parsed: DataFrame, scores: DataFrame, key: str = "submission"
                                                F.lit(True)))
 
 
-def rubric_check(scores: DataFrame, expected: DataFrame, key: str = "submission") -> DataFrame:
-    """Per submission, rubric units matched / missing / unexpected, and
-    whether awarded points exceed the unit's maximum.
-
-    ``expected``: (key, exercise, part, sub, max_points) = submissions joined
-    to their assignment's rubric.  Null-safe full outer join."""
-    s = scores.alias("s")
-    e = expected.alias("e")
-    cond = ((F.col("s." + key) == F.col("e." + key)) & F.col("s.exercise").eqNullSafe(F.col("e.exercise"))
-            & F.col("s.part").eqNullSafe(F.col("e.part")) & F.col("s.sub").eqNullSafe(F.col("e.sub")))
-    j = s.join(e, cond, "full_outer")
-    status = (F.when(F.col("s." + key).isNull(), "missing")
-              .when(F.col("e." + key).isNull(), "unexpected").otherwise("matched"))
-    return j.select(F.coalesce(F.col("s." + key), F.col("e." + key)).alias(key),
-                    F.coalesce(F.col("s.exercise"), F.col("e.exercise")).alias("exercise"),
-                    F.when(F.col("s." + key).isNull(), F.col("e.part")).otherwise(F.col("s.part")).alias("part"),
-                    F.when(F.col("s." + key).isNull(), F.col("e.sub")).otherwise(F.col("s.sub")).alias("sub"),
-                    status.alias("status"), F.col("s.points").alias("points"), F.col("e.max_points").alias("max_points"),
-                    F.coalesce(F.col("s.points") > F.col("e.max_points"), F.lit(False)).alias("over_max"))
+UNIT = "struct<exercise:string,part:string,sub:string>"
+
+
+def _members(v) -> F.Column:
+    """The members of an object as (key, VARIANT); null for anything else."""
+    return F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+
+
+def score_map(v) -> F.Column:
+    """T7 in the row: (exercise, part, sub) -> points of the numeric leaves at depth 1-3 of an object tree; empty for
+    anything else.  No row is exploded, so a reply stays one row."""
+    def unit(exercise, part, sub, value):
+        return F.struct(exercise.alias("exercise"), part.alias("part"), sub.alias("sub"), value.alias("v"))
+
+    none = F.lit(None).cast("string")
+
+    def parts(e):
+        def subs(p):
+            inner = _members(p["value"])
+            return F.when(inner.isNull(), F.array(unit(e["key"], p["key"], none, p["value"]))).otherwise(
+                F.transform(inner, lambda s: unit(e["key"], p["key"], s["key"], s["value"])))
+        inner = _members(e["value"])
+        return F.when(inner.isNull(), F.array(unit(e["key"], none, none, e["value"]))).otherwise(F.flatten(F.transform(inner, subs)))
+
+    leaves = F.flatten(F.transform(_members(v), parts))
+    scored = F.filter(leaves, lambda u: (u["exercise"] != "total") & F.schema_of_variant(u["v"]).rlike(NUMERIC_VARIANT))
+    entries = F.transform(scored, lambda u: F.struct(F.struct(u["exercise"], u["part"], u["sub"]).cast(UNIT).alias("key"),
+                                                     F.try_variant_get(u["v"], "$", "double").alias("value")))
+    return F.coalesce(F.map_from_entries(entries), F.create_map().cast(f"map<{UNIT},double>"))
+
+
+def rubric_maps(rubric: DataFrame, assignment: str = "assignment_id") -> DataFrame:
+    """(assignment, rubric): one map (exercise, part, sub) -> max_points per assignment, as large as that rubric."""
+    unit = F.struct("exercise", "part", "sub").cast(UNIT)
+    return rubric.groupBy(assignment).agg(F.map_from_entries(F.collect_list(F.struct(
+        unit.alias("key"), F.col("max_points").cast("double").alias("value")))).alias("rubric"))
+
+
+def rubric_check(parsed: DataFrame, rubric: DataFrame, key: str = "submission", assignment: str = "assignment_id") -> DataFrame:
+    """Per submission, rubric units matched / missing / unexpected, and whether awarded points exceed the unit's maximum.
+
+    ``parsed``: replies with ``json_status``, ``v`` and the assignment they answer; ``rubric``: (assignment, exercise, part,
+    sub, max_points).  Reply and rubric meet as two maps in one row, by ``map_zip_with``: replies are not multiplied by
+    rubric rows and not shuffled while the rubrics are few (their number is looked at; beyond it the join is by shuffle).
+    Only replies that parse are checked; of an assignment without rubric every unit is unexpected."""
+    maps = small_side(rubric_maps(rubric, assignment))
+    ok = parsed.filter(F.col("json_status") == "ok").select(key, assignment, score_map(F.col("v")).alias("given"))
+    both = ok.join(maps, assignment, "left").withColumn(
+        "rubric", F.coalesce("rubric", F.create_map().cast(f"map<{UNIT},double>")))
+    units = F.map_zip_with("given", "rubric", lambda k, points, most: F.struct(
+        F.when(points.isNull(), "missing").when(most.isNull(), "unexpected").otherwise("matched").alias("status"),
+        points.alias("points"), most.alias("max_points"), F.coalesce(points > most, F.lit(False)).alias("over_max")))
+    return both.select(key, F.explode(units).alias("unit", "found")).select(key, "unit.*", "found.*")
 
 
 def nest_scores(scores: DataFrame, key: str = "submission") -> DataFrame:

@@ -67,16 +67,6 @@ def q_total_mismatch(spark, sf_dir):
     return SC.total_mismatch(parsed, SC.flatten_scores(parsed))
 
 
-def _expected(spark, sf_dir, parsed):
-    """Submissions with a parsed tree joined to their assignment's rubric
-    (every reply here answers assignment 'R')."""
-    rubric = fx(spark, sf_dir, "fx_rubric").select("assignment_id", "exercise", "part", "sub",
-                                                   F.col("points").alias("max_points"))
-    subs = parsed.filter(F.col("json_status") == "ok").select("submission", F.lit("R").alias("assignment_id"))
-    # the rubric is the broadcast side: its size is that of one assignment's rubric
-    return subs.join(F.broadcast(rubric), "assignment_id").drop("assignment_id")
-
-
 @query("rubric_check", with_sql(("fx_responses", "fx_rubric"), PARSED + [
     ("expected", "SELECT p.submission, r.exercise, r.part, r.sub, r.points AS max_points FROM parsed p "
                  "JOIN fx_rubric r ON r.assignment_id = 'R' WHERE p.json_status = 'ok'")],
@@ -88,8 +78,9 @@ def _expected(spark, sf_dir, parsed):
     "FROM scores s FULL OUTER JOIN expected e ON s.submission = e.submission AND s.exercise IS NOT DISTINCT FROM e.exercise "
     "AND s.part IS NOT DISTINCT FROM e.part AND s.sub IS NOT DISTINCT FROM e.sub"))
 def q_rubric_check(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    return SC.rubric_check(SC.flatten_scores(parsed), _expected(spark, sf_dir, parsed))
+    """Every reply here answers assignment 'R'."""
+    rubric = fx(spark, sf_dir, "fx_rubric").select("assignment_id", "exercise", "part", "sub", F.col("points").alias("max_points"))
+    return SC.rubric_check(_parsed(spark, sf_dir).withColumn("assignment_id", F.lit("R")), rubric)
 
 
 _DIR_RE = G.q(P.DIR_RE)

@@ -88,7 +88,7 @@ def q_cost_unknown_models(spark, sf_dir):
 
 
 @query("stage_timing", with_sql(("fx_usage",), [], "SELECT stage, model_type, CAST(count(*) AS BIGINT) AS requests, "
-                                "max(elapsed_s) AS max_s, min(elapsed_s) AS min_s, quantile_disc(elapsed_s, 0.95) AS p95_s, "
+                                "max(elapsed_s) AS max_s, min(elapsed_s) AS min_s, quantile_disc(elapsed_s, 0.5) AS p50_s, quantile_disc(elapsed_s, 0.95) AS p95_s, quantile_disc(elapsed_s, 0.99) AS p99_s, "
                                 "CAST(sum(CAST(round(elapsed_s * 1000000) AS BIGINT)) AS BIGINT) / CAST(1000000 AS DOUBLE) AS total_s, "
                                 "CAST(sum(CAST(round(elapsed_s * 1000000) AS BIGINT)) AS BIGINT) / CAST(1000000 AS DOUBLE) / count(*) AS avg_s "
                                 "FROM fx_usage GROUP BY stage, model_type"))
