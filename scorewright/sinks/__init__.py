@@ -76,13 +76,20 @@ def write_ledger(df: DataFrame, path: str, keys: list[str], run_date: str | None
     return out.drop(*RUN)
 
 
+def run_order(run_date: str = "run_date", run_id: str = "run_id") -> F.Column:
+    """Runs in turn: by day, then by run id with its numbers taken as numbers (run 9 before run 10)."""
+    pieces = F.regexp_extract_all(F.col(run_id), F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
+    padded = F.transform(pieces, lambda x: F.when(x.rlike("^[0-9]"), F.lpad(F.ltrim(x, F.lit("0")), F.lit(40), F.lit("0"))).otherwise(x))
+    return F.struct(F.col(run_date), F.array_join(padded, ""), F.col(run_id))
+
+
 def read_ledger(spark: SparkSession, path: str, columns: str, keys: list[str]) -> DataFrame:
-    """The current row of each key: that of the latest (run_date, run_id).  No ledger yet: no rows."""
+    """The current row of each key: that of the latest run (``run_order``).  No ledger yet: no rows."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], T.StructType.fromDDL(columns))
     rows = read_runs(spark, path, columns)
     names = [f.name for f in T.StructType.fromDDL(columns)]
-    latest = F.max_by(F.struct(*names), F.struct(*RUN))
+    latest = F.max_by(F.struct(*names), run_order(*RUN))
     return rows.groupBy(*keys).agg(latest.alias("row")).select("row.*")
 
 

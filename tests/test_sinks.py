@@ -95,3 +95,16 @@ def test_scan_files_keeps_hidden_and_empty(spark):
     withc = read_file_contents(spark, root, listed.filter(F.col("submission") == "S1"))
     got_c = {r.name: (bytes(r.content) if r.content is not None else None) for r in withc.collect()}
     assert got_c["a.txt"] == b"x"
+
+
+def test_ledger_shows_the_latest_of_many_runs(spark):
+    path, cols = _path("ledger"), "submission string, value int"
+    for run in range(1, 13):
+        sinks.write_ledger(spark.createDataFrame([("s1", run), (f"only{run}", run)], cols), path, ["submission"],
+                           run_date="2026-01-01", run_id=str(run), mode="upsert")
+    got = {r.submission: r.value for r in sinks.read_ledger(spark, path, cols, ["submission"]).collect()}
+    assert got == {"s1": 12, **{f"only{k}": k for k in range(1, 13)}}
+    names = ["run-2", "run-10", "10", "9", "a", "", "v1.9", "v1.10", "007", "8"]
+    rows = spark.createDataFrame([("2026-01-01", n) for n in names] + [("2025-12-31", "99")], "run_date string, run_id string")
+    turn = [r.run_id for r in rows.orderBy(sinks.run_order()).collect()]
+    assert turn == ["99", "", "007", "8", "9", "10", "a", "run-2", "run-10", "v1.9", "v1.10"]
