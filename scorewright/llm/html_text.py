@@ -20,9 +20,11 @@ from .common import in_slices, prepared
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s "
                    "samp small span strike strong sub sup time tt u var wbr".split())
-DROPPED = frozenset("aside button canvas dialog fieldset footer form head input map menu nav noscript object select svg math "
-                    "audio video".split())
+DROPPED = frozenset("aside button canvas dialog footer head input map menu nav noscript object select svg math audio video".split())
+#: Elements that may hold a whole page (as some frameworks' forms do): judged as blocks with a telling name are.
+FORMS = frozenset(("form", "fieldset"))
 RAW = "script|style|template|textarea|title|iframe|noembed|noframes|xmp"
+UNCLOSED = DROPPED | {"header"}
 HINTS = frozenset("ad ads adsense advert advertisement advertising banner breadcrumb breadcrumbs byline-share comment comments "
                   "consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter "
                   "notice notices pager pagination popup promo promoted related reply replies respond share sharing sidebar "
@@ -80,19 +82,24 @@ def is_boilerplate(tag: str, attrs: dict[str, str], inside: bool) -> bool:
 
 def is_named(tag: str, attrs: dict[str, str]) -> bool:
     """Whether a class or the id of a block says that it is not the article."""
+    if tag in FORMS:
+        return True
     if not attrs or tag in INLINE or tag in HEADINGS or tag in ("html", "body", "article", "main"):
         return False
     names = [*attrs.get("class", "").split(), *attrs.get("id", "").split()]
     return any(n in HINTS or COMPOUND.fullmatch(n.replace("_", "-")) for n in names)
 
 
-def parse(page: str) -> tuple[list[Node], list[str]]:
-    """Block elements in page order (the first is the body) and the text parts that their begin and end count."""
+def parse(page: str, kept: frozenset[str] = frozenset()) -> tuple[list[Node], list[str]]:
+    """Block elements in page order (the first is the body) and the text parts that their begin and end count.
+
+    An element that is left out but never closed would take the rest of the page along: elements with its tag (``kept``)
+    are then read again as blocks that are judged by their share of the text."""
     root = Node("body", None, 0)
     nodes, stack, parts = [root], [root], []
     links = 0
     skip, inner = "", {}  # the element being left out, and what is open within it
-    at = 0
+    at = whole = 0  # how many article and main elements are open
 
     def add(raw: str) -> None:
         if raw and not skip:
@@ -104,8 +111,10 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
                 stack[-1].link_chars += n
 
     def close(k: int) -> None:
+        nonlocal whole
         for node in stack[k:]:
             node.end = len(parts)
+            whole -= node.tag in WHOLE
         del stack[k:]
         parts.append(" ")
 
@@ -125,6 +134,8 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
                     continue
                 if tag in INLINE or all(n.tag != tag for n in stack):
                     continue
+                if skip in UNCLOSED:
+                    return parse(page, kept | {skip})
                 skip = ""  # an element around it ends
             elif skip in CLOSED_BY.get(tag, ()) or skip == "p" and tag not in INLINE and tag not in VOID:
                 skip = ""
@@ -144,7 +155,7 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
         if tag in ("html", "body"):
             continue
         known = attributes(attrs) if attrs and not attrs.isspace() else {}
-        if is_boilerplate(tag, known, any(n.tag in WHOLE for n in stack)):
+        if tag not in kept and is_boilerplate(tag, known, whole > 0):
             if tag not in VOID and not attrs.rstrip().endswith("/"):
                 skip, inner = tag, {tag: 1}
             if tag not in INLINE:
@@ -163,10 +174,13 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
         while len(stack) > 1 and stack[-1].tag in CLOSED_BY.get(tag, ()):
             close(len(stack) - 1)
         parts.append(" ")
-        node = Node(tag, stack[-1], len(parts), is_named(tag, known))
+        node = Node(tag, stack[-1], len(parts), tag in kept or is_named(tag, known))
         nodes.append(node)
         stack.append(node)
+        whole += tag in WHOLE
         links = 0
+    if skip in UNCLOSED:
+        return parse(page, kept | {skip})
     if not page.startswith("<", at) or not re.match(r"<[a-zA-Z/!?]", page[at:at + 2]):
         add(page[at:])
     for node in stack:
