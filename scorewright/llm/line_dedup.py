@@ -143,8 +143,7 @@ def _different(meet: DataFrame) -> DataFrame:
 
 
 def _fetched(texts: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
-    """(line, s, runs): text and shingles of the ``wanted`` lines.  A bitmap of fixed size keeps most other lines from being
-    moved."""
+    """(line, s): the text of the ``wanted`` lines.  A bitmap of fixed size keeps most other lines from being moved."""
     shared = texts.sparkSession.sparkContext.broadcast(_bits(wanted, "line"))
 
     def run(batches):
@@ -160,17 +159,21 @@ def _fetched(texts: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
                         spot = (h >> 1) % FILTER_BITS
                         if there[spot >> 3] >> (spot & 7) & 1:
                             found[h] = s
-            for ids, some in _chunks(found):
-                owner, runs = LineKeys(some).shingles()
-                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(some)))].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(some, pa.string()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(runs.view(np.int64)))], ["line", "s", "runs"])
-
-    some = texts.select("t").mapInArrow(run, "line long, s string, runs array<long>")
+            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string())], ["line", "s"])
+
+    some = texts.select("t").mapInArrow(run, "line long, s string")
     return some.join(wanted, "line", "left_semi").dropDuplicates(["line"])
 
 
+def _sets(rows: pd.DataFrame) -> dict[int, np.ndarray]:
+    """The shingles of each line, made once for all keys of ``rows`` (line, s)."""
+    out = {}
+    for ids, some in _chunks(dict(zip(rows["line"].tolist(), rows["s"].tolist()))):
+        owner, runs = LineKeys(some).shingles()
+        out.update(zip(ids, np.split(runs, np.cumsum(np.bincount(owner, minlength=len(some)))[:-1])))
+    return out
+
+
 def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_SIMILAR, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) of line ids (``hi`` without its lowest bit) whose components are those of all lines within ``most``
     edits or alike in their word shingles.  A key that many lines meet in is cut into chunks, each pair of chunks verified by itself."""
@@ -197,11 +200,11 @@ def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_
             yield found(held)
 
     def found(pdf):
-        a, b = [], []
+        a, b, sets = [], [], _sets(pdf[(pdf["key"] & 1) == 1])
         for _, g in pdf.groupby(["key", "lo", "hi"], sort=False):
             line, own = g["line"].values, g["own"].values
             runs = g["key"].iloc[0] & 1
-            what = g["runs" if runs else "s"].tolist()
+            what = [sets[i] for i in line.tolist()] if runs else g["s"].tolist()
             side = (g["c"] == g["lo"]).values
             cross = g["lo"].iloc[0] != g["hi"].iloc[0]
             # a probe meets a segment; two probes that meet only each other need no look
@@ -212,10 +215,7 @@ def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     n = partitions_for(texts.sparkSession)
-    worded = F.col("key").bitwiseAND(F.lit(1)) == 1  # its lines are compared by their shingles, others by their text
-    given = tasks.join(lines, "line").select("line", "own", "key", "lo", "hi", "c", F.when(~worded, F.col("s")).alias("s"),
-                                             F.when(worded, F.col("runs")).alias("runs"))
-    links = stored(given.repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    links = stored(tasks.join(lines, "line").repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
                    .mapInPandas(verify, "a long, b long").distinct(), "line-links")
     discard(once, sizes, lines)
     return links
