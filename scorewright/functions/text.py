@@ -11,8 +11,8 @@ from .. import rules
 WS_CLASS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 # Characters that are neither printable nor whitespace for Python:
 # category C minus the whitespace controls.
-NON_PRINTABLE_KEEP = r"[^\p{C}]|[\t-\r\x{1c}-\x{1f}\x{85}]"
-ALNUM_OR_SPACE_DROP = r"[^\p{L}\p{N} ]"
+NON_PRINTABLE_KEEP = r"[\P{C}\t-\r\x{1c}-\x{1f}\x{85}]+"
+ALNUM_OR_SPACE_DROP = r"[^\p{L}\p{N} ]+"
 
 
 def _c(col) -> Column:
@@ -67,11 +67,11 @@ def cut(text, n: int) -> Column:
     return F.when(F.length(t) > n, F.concat(F.substring(t, 1, n), F.lit("..."))).otherwise(t)
 
 
-def text_sample(text) -> Column:
-    """L2: sample kept with the extractable-text verdict."""
-    t = collapse_ws(text)
-    return F.when(has_extractable_text(text), cut(t, rules.TEXT_SAMPLE_CHARS)) \
-        .otherwise(cut(t, rules.SCANNED_SAMPLE_CHARS))
+def text_sample(text, collapsed: bool = False, has_text: Column | None = None) -> Column:
+    """L2: sample kept with the extractable-text verdict (``has_text``, if it is known already)."""
+    t = _c(text) if collapsed else collapse_ws(text)
+    verdict = has_extractable_text(t, True) if has_text is None else has_text
+    return F.when(verdict, cut(t, rules.TEXT_SAMPLE_CHARS)).otherwise(cut(t, rules.SCANNED_SAMPLE_CHARS))
 
 
 def scanned_sample(sample) -> Column:

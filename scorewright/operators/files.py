@@ -107,30 +107,35 @@ def _fold_names(frames):
 
 def unique_names(files: DataFrame) -> DataFrame:
     """Flatten-time names: the k-th later file with an already used name becomes '<stem>_<k><suffix>' (path order
-    within the submission).  Every row stays, repeated paths too.
+    within the submission).  Every row stays, repeated paths too; null submissions and names count as values.
 
-    Duplicates of one name are numbered by ``rank_within``.  Only a family where a natural '<stem>_<k>' name meets
-    duplicates of '<stem>' needs the sequential rule; the rows of such families pass once through a sorted fold."""
-    from ..session import ship_package
+    The rows are written once; most names occur once and stay as they are, without any sort.  Repeated names are numbered
+    by ``rank_within``.  Only a family where a natural '<stem>_<k>' name meets duplicates of '<stem>' needs the sequential
+    rule; the rows of such families pass once through a sorted fold."""
+    from ..session import materialize, ship_package
     ship_package(files.sparkSession)
     keep = [*files.columns, "unique_name"]
-    base = (files.withColumn("__stem", P.file_stem(F.col("name"))).withColumn("__suffix", P.raw_suffix(F.col("name")))
-            .withColumn("__family", F.regexp_extract(F.col("__stem"), _FAMILY_RE, 1)))
-    ranked = rank_within(base, ["submission", "name"], ["path"], "__k")
+    base = materialize(files.withColumn("__stem", P.file_stem(F.col("name"))).withColumn("__suffix", P.raw_suffix(F.col("name")))
+                       .withColumn("__family", F.regexp_extract(F.col("__stem"), _FAMILY_RE, 1)), "names")
     fam_keys = ["submission", "__family", "__suffix"]
-    fam = ranked.groupBy(*fam_keys).agg(F.max("__k").alias("__most"), F.min("name").alias("__least"),
-                                        F.max("name").alias("__last"))
-    conflict = fam.filter((F.col("__least") != F.col("__last")) & (F.col("__most") > 1)).select(
-        *fam_keys, F.lit(True).alias("__fold"))
-    tagged = ranked.join(conflict, fam_keys, "left")
-    plain = tagged.filter(F.col("__fold").isNull()).withColumn("unique_name", F.when(F.col("__k") == 1, F.col("name")).otherwise(
-        F.concat(F.col("__stem"), F.lit("_"), (F.col("__k") - 1).cast("string"), F.col("__suffix"))))
+    names = base.groupBy(*fam_keys, "name").agg(F.count(F.lit(1)).alias("__n"))
+    # families with a repeated name: every name in them, and whether the sequential rule is needed
+    crowded = names.groupBy(*fam_keys).agg(F.max("__n").alias("__most"), (F.count(F.lit(1)) > 1).alias("__fold")).filter("__most > 1")
+    crowded = crowded.select(*[F.col(c).alias(f"{c}_f") for c in fam_keys], "__fold")
+    same = F.lit(True)
+    for c in fam_keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_f"))
+    tagged = base.join(crowded, same, "left").drop(*[f"{c}_f" for c in fam_keys])
+    single = tagged.filter(F.col("__fold").isNull()).withColumn("unique_name", F.col("name"))
+    ranked = rank_within(tagged.filter(~F.col("__fold")), ["submission", "name"], ["path"], "__k").withColumn(
+        "unique_name", F.when(F.col("__k") == 1, F.col("name")).otherwise(
+            F.concat(F.col("__stem"), F.lit("_"), (F.col("__k") - 1).cast("string"), F.col("__suffix"))))
     n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = tagged.filter(F.col("__fold")).drop("__fold")
     schema = T.StructType([*rows.schema.fields, T.StructField("unique_name", T.StringType())])
-    folded = (rows.repartition(n, *fam_keys).sortWithinPartitions(*fam_keys, "path", "__k")
+    folded = (rows.repartition(n, *fam_keys).sortWithinPartitions(*fam_keys, "path", "name")
               .mapInPandas(_fold_names, schema))
-    return plain.select(*keep).unionByName(folded.select(*keep))
+    return single.select(*keep).unionByName(ranked.select(*keep)).unionByName(folded.select(*keep))
 
 
 # ---------------------------------------------------------------- F11 routing

@@ -70,9 +70,11 @@ def preprocess(files: DataFrame, failures: DataFrame | None = None, max_depth: i
 
     def texted(df):
         is_pdf = (F.col("category") == "mixed") & (F.col("ext") == ".pdf")
-        text = _as_text(df)
-        return (df.withColumn("has_text", F.when(is_pdf, X.has_extractable_text(text)).otherwise(F.lit(False)))
-                .withColumn("text_sample", F.when(is_pdf, X.scanned_sample(X.text_sample(text)))))
+        # collapsed once; the verdict and the sample both read it
+        flat = df.withColumn("__flat", F.when(is_pdf, X.collapse_ws(_as_text(df))))
+        told = flat.withColumn("has_text", F.when(is_pdf, X.has_extractable_text("__flat", True)).otherwise(F.lit(False)))
+        sample = X.scanned_sample(X.text_sample("__flat", True, F.col("has_text")))
+        return told.withColumn("text_sample", F.when(is_pdf, sample)).drop("__flat")
 
     top = texted(FO.classify_files(below))
     opened = expand_archives(top.filter(F.col("category") == "archive"), max_depth=max_depth)

@@ -232,8 +232,9 @@ def _manifests(spark, sf_dir):
           "TRY(json_extract_string(manifest, '$.structure_hint_path')) AS hint_path FROM m"),
     ("r", "SELECT p.*, CASE WHEN bad_json THEN 'Invalid solution info file' "
           "WHEN solution_path IS NULL OR hint_path IS NULL THEN 'Missing required keys in solution info file' "
-          "WHEN solution_path NOT IN (SELECT path FROM listing) THEN 'Parsed solution file not found: ' || solution_path "
-          "WHEN hint_path NOT IN (SELECT path FROM listing) THEN 'Structure hint file not found: ' || hint_path END AS invalid_reason FROM p")],
+          "WHEN s.path IS NULL THEN 'Parsed solution file not found: ' || solution_path "
+          "WHEN h.path IS NULL THEN 'Structure hint file not found: ' || hint_path END AS invalid_reason "
+          "FROM p LEFT JOIN listing s ON s.path = p.solution_path LEFT JOIN listing h ON h.path = p.hint_path")],
     "SELECT assignment_id, invalid_reason IS NULL AS valid, invalid_reason, solution_path, hint_path FROM r"))
 def q_solution_manifest_check(spark, sf_dir):
     from ..sources.files import check_solution_manifest
