@@ -1,4 +1,4 @@
-"""Request text builders.
+"""Request builders.
 
 The instruction texts below are this project's own wording; deployments swap
 in their prompts through the ``templates`` arguments.  What the pipeline
@@ -26,6 +26,7 @@ PARSE_INSTRUCTION = ("Transcribe the submission files into markdown, keeping for
 SOLUTION_INSTRUCTION = ("Transcribe the model solution into markdown with one header per exercise, "
                         "one line per gradable unit with its points, and a **Solution.** paragraph each.\n"
                         "Structure hint:\n" + HINT_PLACEHOLDER + "\n")
+SOLUTION_EXTRACT_INSTRUCTION = "Transcribe the model solution.\n\n"
 
 # FIXED VALUES: separators between the parts of a grading request
 MODEL_SOLUTION_HEADER = "\n\nModel Solution:\n"
@@ -49,6 +50,35 @@ def build_grade_request(hint, solution, submission, template: str = GRADING_INST
                     F.lit(STUDENT_SUBMISSION_HEADER), _c(submission))
 
 
+# One part of a request: kind 'text' with its text, or kind 'file' with the path of a file to attach.
+PART = "struct<kind:string,text:string,ref:string>"
+
+
+def text_part(text) -> Column:
+    return F.struct(F.lit("text").alias("kind"), _c(text).alias("text"), F.lit(None).cast("string").alias("ref")).cast(PART)
+
+
+def file_part(ref) -> Column:
+    return F.struct(F.lit("file").alias("kind"), F.lit(None).cast("string").alias("text"), _c(ref).alias("ref")).cast(PART)
+
+
+def grade_parts(hint, solution_ref, submission_ref, template: str = GRADING_INSTRUCTION) -> Column:
+    """The grading request as ordered parts; solution and submission are attached as files."""
+    return F.array(text_part(fill_hint(template, hint)), text_part(F.lit(MODEL_SOLUTION_HEADER)), file_part(solution_ref),
+                   text_part(F.lit(STUDENT_SUBMISSION_HEADER)), file_part(submission_ref))
+
+
+def solution_extract_parts(pdf_ref, template: str = SOLUTION_EXTRACT_INSTRUCTION) -> Column:
+    """The first solution request: instruction, PDF."""
+    return F.array(text_part(F.lit(template)), file_part(pdf_ref))
+
+
+def solution_enhance_parts(hint, markdown_ref, image_refs, template: str = SOLUTION_INSTRUCTION) -> Column:
+    """The second solution request: instruction with the hint, extracted markdown, page images in order."""
+    images = F.coalesce(F.transform(_c(image_refs), file_part), F.array().cast(f"array<{PART}>"))
+    return F.concat(F.array(text_part(fill_hint(template, hint)), file_part(markdown_ref)), images)
+
+
 def _bullets(arr) -> Column:
     return F.array_join(F.transform(arr, lambda x: F.concat(F.lit("- "), x, F.lit("\n"))), "")
 

@@ -28,14 +28,25 @@ def grade_inputs(plan: DataFrame, parsed: DataFrame, key: str = "submission") ->
     return j.withColumn("parsed_text", text).filter(F.col("do_grade") & F.col("parsed_text").isNotNull())
 
 
-def grade_pipeline(submissions: DataFrame, solutions: DataFrame, client_factory: Callable,
+Answer = Callable[[DataFrame], DataFrame]
+
+
+def called(client_factory: Callable, **call_opts) -> Answer:
+    """The answering stage that calls a model: every response is written once."""
+    return lambda requests: E.persist_responses(E.invoke_model(requests, client_factory, **call_opts))
+
+
+def grade_pipeline(submissions: DataFrame, solutions: DataFrame, client_factory: Callable | None = None,
                    parsed_ledger: DataFrame | None = None, graded_ledger: DataFrame | None = None,
-                   mode: str = "incremental", parallel: int | None = None, **call_opts) -> dict[str, DataFrame]:
-    """``submissions``: submission, assignment_id, text; ``solutions``:
+                   mode: str = "incremental", parallel: int | None = None, answer: Answer | None = None,
+                   **call_opts) -> dict[str, DataFrame]:
+    """Answers come from ``client_factory``'s model, or from ``answer`` (such as ``requests.stored_answers``).
+    ``submissions``: submission, assignment_id, text; ``solutions``:
     assignment_id, solution, hint.  ``parsed_ledger``: submission, parsed_text
     of work already parsed (J1), which grading then reads; ``graded_ledger``:
     submissions already graded (J2).  Returns responses, scores, usage and status."""
     key = "submission"
+    answer = answer or called(client_factory, parallel=parallel, key=key, **call_opts)
     subs = submissions
     spark = subs.sparkSession
     empty = spark.createDataFrame([], f"{key} string, parsed_text string").withColumn(key, F.col(key).cast(subs.schema[key].dataType))
@@ -49,7 +60,7 @@ def grade_pipeline(submissions: DataFrame, solutions: DataFrame, client_factory:
     context = PR.build_context(F.col(key).cast("string"), F.lit(None), F.lit(None), F.lit(None), F.lit(None), F.lit(None))
     parse_req = plan.filter("do_parse").select(key, F.lit("parsing").alias("stage"),
                                               F.concat(F.lit(PR.PARSE_INSTRUCTION), context, F.lit("\n\n"), F.col("text")).alias("request"))
-    parsed = E.persist_responses(E.invoke_model(parse_req, client_factory, parallel=parallel, key=key, **call_opts))
+    parsed = answer(parse_req)
     parse_ok = parsed.select(key, (F.col("error").isNull() & ~PR.is_empty_reply(F.col("text"))).alias("parse_ok"),
                              PR.empty_reply(F.col("text")).alias("parsed_text"))
 
@@ -57,7 +68,7 @@ def grade_pipeline(submissions: DataFrame, solutions: DataFrame, client_factory:
                  .join(solutions, "assignment_id"))   # J4: AQE broadcasts the solutions side when small
     grade_req = graded_in.select(key, F.lit("grading").alias("stage"),
                                  PR.build_grade_request(F.col("hint"), F.col("solution"), F.col("parsed_text")).alias("request"))
-    graded = E.persist_responses(E.invoke_model(grade_req, client_factory, parallel=parallel, key=key, **call_opts))
+    graded = answer(grade_req)
 
     replies = SC.parse_replies(graded.filter(F.col("error").isNull()).select(key, F.col("text").alias("report")))
     scores = SC.flatten_scores(replies)
@@ -74,21 +85,23 @@ def grade_pipeline(submissions: DataFrame, solutions: DataFrame, client_factory:
     return {"responses": responses, "replies": replies, "scores": scores, "usage": usage, "status": status}
 
 
-def solution_pipeline(solutions: DataFrame, client_factory: Callable, **call_opts) -> dict[str, DataFrame]:
+def solution_pipeline(solutions: DataFrame, client_factory: Callable | None = None, answer: Answer | None = None,
+                      rubric: DataFrame | None = None, **call_opts) -> dict[str, DataFrame]:
     """``solutions``: assignment_id, solution_text, hint.  Two model calls
     (extract, then enhance with the hint), both retried and both with usage
-    rows (D5); then T9 units and T10 checks against the W1 rubric."""
+    rows (D5); then T9 units and T10 checks against ``rubric`` (default: the W1 rubric of the hints)."""
     key = "assignment_id"
+    answer = answer or called(client_factory, **call_opts)
     extract_req = solutions.select(key, F.lit("solution_extract").alias("stage"),
-                                   F.concat(F.lit("Transcribe the model solution.\n\n"), F.col("solution_text")).alias("request"))
-    extracted = E.persist_responses(E.invoke_model(extract_req, client_factory, **call_opts))
+                                   F.concat(F.lit(PR.SOLUTION_EXTRACT_INSTRUCTION), F.col("solution_text")).alias("request"))
+    extracted = answer(extract_req)
     enhance_req = extracted.join(solutions, key).select(
         key, F.lit("solution_enhance").alias("stage"),
         F.concat(PR.fill_hint(PR.SOLUTION_INSTRUCTION, F.col("hint")), F.lit("\n"),
                  F.coalesce(F.col("text"), F.lit(""))).alias("request"))
-    enhanced = E.persist_responses(E.invoke_model(enhance_req, client_factory, **call_opts))
+    enhanced = answer(enhance_req)
     units = RB.parse_solution_units(enhanced.filter(F.col("error").isNull()).select(key, F.col("text").alias("markdown")))
-    rubric = RB.parse_structure_hint(solutions.select(key, "hint"))
+    rubric = RB.parse_structure_hint(solutions.select(key, "hint")) if rubric is None else rubric
     checks = RB.validate_solution(units, rubric)
     responses = extracted.unionByName(enhanced)
     usage = responses.filter(F.col("error").isNull()).withColumn(
@@ -96,4 +109,4 @@ def solution_pipeline(solutions: DataFrame, client_factory: Callable, **call_opt
     return {"responses": responses, "units": units, "checks": checks, "usage": usage}
 
 
-__all__ = ["grade_inputs", "grade_pipeline", "solution_pipeline"]
+__all__ = ["called", "grade_inputs", "grade_pipeline", "solution_pipeline"]

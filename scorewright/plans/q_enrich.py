@@ -15,7 +15,6 @@ from ..operators import files as FO
 from ..session import shared_dir
 from ..sources.archives import expand_archives
 from ..sources.documents import extract_document_text
-from . import grading as GR
 from . import preprocess as PP
 from . import sqlgen as G
 from .fixtures import FX_FILES
@@ -128,7 +127,7 @@ def q_expand_archives(spark, sf_dir):
     return expand_archives(f.filter(F.col("category") == "archive")).drop("content")
 
 
-# ---- I1, I5, I6 with the offline client ---------------------------------------------
+# ---- I1 with the offline client ---------------------------------------------
 @query("invoke_model")
 def q_invoke_model(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
@@ -137,50 +136,6 @@ def q_invoke_model(spark, sf_dir):
     return E.persist_responses(E.invoke_model(req, _offline))
 
 
-def _conv_submissions(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
-    # one conversation = one submission; its turns are few, so the collect is bounded
-    return c.groupBy(F.col("conv_id").alias("submission")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n").alias("text")) \
-        .withColumn("assignment_id", (F.col("submission") % 3).cast("string"))
-
-
-@query("grade_pipeline")
-def q_grade_pipeline(spark, sf_dir):
-    subs = _conv_submissions(spark, sf_dir)
-    sol = fx(spark, sf_dir, "fx_hints").select("assignment_id", "hint", F.col("hint").alias("solution"))
-    out = GR.grade_pipeline(subs, sol, _offline)
-    cost = out["usage"].groupBy("submission").agg(F.sum("cost_usd").alias("cost_usd"))
-    nsc = out["scores"].groupBy("submission").agg(F.count(F.lit(1)).alias("n_scores"))
-    return out["status"].select("submission", "parsing", "grading", "json_status").join(nsc, "submission", "left") \
-        .join(cost, "submission", "left")
-
-
-def _solutions(spark, sf_dir):
-    h = fx(spark, sf_dir, "fx_hints")
-    return h.select("assignment_id", "hint", F.concat(F.lit("Solutions for "), F.col("assignment_id")).alias("solution_text"))
-
-
-@query("solution_pipeline")
-def q_solution_pipeline(spark, sf_dir):
-    out = GR.solution_pipeline(_solutions(spark, sf_dir), _offline)
-    return out["checks"]
-
-
-@query("parse_solution_units")
-def q_parse_solution_units(spark, sf_dir):
-    out = GR.solution_pipeline(_solutions(spark, sf_dir), _offline)
-    return out["units"]
-
-
-@query("validate_solution")
-def q_validate_solution(spark, sf_dir):
-    out = GR.solution_pipeline(_solutions(spark, sf_dir), _offline)
-    return out["checks"].groupBy("total_ok").agg(F.count(F.lit(1)).alias("exercises"),
-                                                 F.sum("points_mismatch").alias("points_mismatch"),
-                                                 F.sum("units_not_in_rubric").alias("units_not_in_rubric"))
-
-
 # ---- X1 -------------------------------------------------------------------------------
 @query("stream_intake", with_sql(("fx_files",), _CLS,
        f"SELECT submission, path, name, size_bytes, doc_id, {G.ext('name')} AS ext, skip_reason, skip_reason = '' AS should_process, "

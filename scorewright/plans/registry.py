@@ -55,7 +55,7 @@ def with_sql(fixtures: tuple[str, ...], steps: list[tuple[str, str]], final: str
 
 def load_all() -> None:
     """Import every query module so they register."""
-    from . import q_files, q_scores, q_usage, q_reports, q_rubric, q_enrich, q_sinks, q_solutions  # noqa: F401
+    from . import q_files, q_scores, q_usage, q_reports, q_rubric, q_enrich, q_sinks, q_solutions, q_requests  # noqa: F401
 
 
 __all__ = ["QUERIES", "ORACLES", "query", "fx", "table", "with_sql", "load_all", "register_tables"]
