@@ -153,3 +153,18 @@ def q_stream_intake(spark, sf_dir):
     q.awaitTermination()
     return spark.read.parquet(f"{run}/ledger").drop("batch_id").select(
         "submission", "path", "name", "size_bytes", "doc_id", "ext", "skip_reason", "should_process", "category")
+
+
+@query("intake_known_keys", with_sql(("fx_files",), [], "SELECT DISTINCT path FROM fx_files"))
+def q_intake_known_keys(spark, sf_dir):
+    """The intake run twice over the same files: the second run adds nothing, the state names every path."""
+    from ..streaming.intake import known_keys, stream_intake
+    run = shared_dir(spark, f"stream_intake/{uuid.uuid4().hex}")
+
+    def to_files(docs):
+        docs.createOrReplaceTempView("documents_stream")
+        return docs.sparkSession.sql(FX_FILES.replace("FROM documents) d", "FROM documents_stream) d"))
+
+    for _ in range(2):
+        stream_intake(spark, f"{sf_dir.rstrip('/')}/documents.parque[t]", f"{run}/ledger", f"{run}/checkpoint", to_files).awaitTermination()
+    return known_keys(spark, f"{run}/checkpoint")
