@@ -60,6 +60,27 @@ def occurrences(texts: DataFrame, min_chars: int) -> DataFrame:
     return texts.mapInArrow(run, "id long, mark long, line int, hi long, lo long")
 
 
+def _first_lines(texts: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame:
+    """``texts`` with only those lines that are the first of their kind, so that a line is looked at once however often it
+    is repeated.  Places travel as a bitmap of fixed size: what it lets through besides is a repeat, which changes nothing."""
+    first = F.col("first")
+    place = first["mark"].bitwiseXOR(F.shiftleft(first["id"], 13)).bitwiseXOR(F.shiftleft(first["line"].cast("long"), 1))
+    shared = texts.sparkSession.sparkContext.broadcast(_bits(firsts.select(place.alias("place")), "place"))
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in in_slices(batches):
+            doc = batch.column(1).to_numpy() ^ (batch.column(0).to_numpy() << 13)
+            left = []
+            for k, t in enumerate(batch.column(2).to_pylist()):
+                lines = [s.strip() for s in t.split("\n")]
+                there = _marked(shared.value, doc[k] ^ (np.arange(len(lines)) << 1)).tolist()
+                left.append("\n".join(s for s, x in zip(lines, there) if x and len(s) >= min_chars) or None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(left, pa.string())], ["id", "mark", "t"])
+
+    return texts.mapInArrow(run, "id long, mark long, t string").filter("t IS NOT NULL")
+
+
 def _chunks(lines: dict[int, str], chars: int = 1 << 19):
     """(ids, texts) of ``lines``, so many at a time that their arrays stay small."""
     ids, texts, size = [], [], 0
@@ -238,7 +259,9 @@ def dedup_lines(docs: DataFrame, most: int = MAX_EDITS, min_exact: int = MIN_EXA
     place = F.struct("id", "line", "mark")
     firsts = stored(seen.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
                     .withColumn("node", node), "line-classes")
-    joined = stored(connected_components(similar_lines(texts, most, min_similar)), "line-components")
+    different = stored(_first_lines(texts, firsts, min_similar), "different-lines")
+    joined = stored(connected_components(similar_lines(different, most, min_similar)), "line-components")
+    discard(different)
     grouped = firsts.join(joined, "node")
     winners = grouped.groupBy("component").agg(F.min("first").alias("winner"))
     near = grouped.join(winners, "component").select("hi", "lo", "winner")
