@@ -146,6 +146,44 @@ def letter_counts(lines: list[str], width: int = 32) -> np.ndarray:
                      for x in lines], np.int32).reshape(-1, width)
 
 
+def small_pairs(group: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places in the same group, for the groups of at most ``few`` members; ``group`` ascends."""
+    at = np.flatnonzero(np.bincount(group)[group] <= few) if len(group) else np.zeros(0, np.int64)
+    both = [(at[:-d], at[d:]) for d in range(1, min(few, len(at)))]
+    both = [(x[same], y[same]) for x, y in both for same in [group[x] == group[y]]]
+    return tuple(np.concatenate([np.zeros(0, np.int64), *side]) for side in (zip(*both) if both else ((), ())))
+
+
+def pairs_alike(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, block: int = 1 << 13) -> np.ndarray:
+    """Whether the sets of shingles at ``a`` and at ``b`` have a Jaccard similarity of ``ALIKE`` at least."""
+    size = np.array([len(x) for x in sets], np.int64)
+    out = np.minimum(size[a], size[b]) * ALIKE[1] >= ALIKE[0] * np.maximum(size[a], size[b])
+    names, code = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
+    begin = np.cumsum(size) - size
+    every = np.repeat(np.arange(len(sets)), size) * len(names) + code
+    left = np.flatnonzero(out)
+    for k in range(0, len(left), block):
+        some = left[k:k + block]
+        x, y = a[some], b[some]
+        which = np.repeat(np.arange(len(some)), size[x])
+        place = np.arange(len(which)) - np.repeat(np.cumsum(size[x]) - size[x], size[x]) + begin[x][which]
+        want = y[which] * len(names) + code[place]
+        spot = np.minimum(np.searchsorted(every, want), len(every) - 1)
+        both = np.bincount(which, every[spot] == want, len(some))
+        out[some] = both * ALIKE[1] >= ALIKE[0] * (size[x] + size[y] - both)
+    return out
+
+
+def pairs_within(lines: list[str], a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Whether the lines at ``a`` and at ``b`` are within ``most`` edits."""
+    size, counts = np.array([len(x) for x in lines], np.int64), letter_counts(lines)
+    out = np.abs(size[a] - size[b]) <= most
+    out[out] = np.abs(counts[a[out]] - counts[b[out]]).sum(1) <= 2 * most
+    for k in np.flatnonzero(out).tolist():
+        out[k] = within(lines[a[k]], lines[b[k]], most)
+    return out
+
+
 def alike(sets: list[np.ndarray], query: np.ndarray, index: np.ndarray) -> list[tuple[int, int]]:
     """Links that connect query lines with index lines whose sets of shingles have a Jaccard similarity of ``ALIKE`` at
     least; a line already connected to all others is not compared."""

@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 
 from .common import NO_ID, discard, in_slices, partitions_for, prepared, stored
 from .components import connected_components
-from .editjoin import LineKeys, alike, linked, probes
+from .editjoin import LineKeys, alike, linked, pairs_alike, pairs_within, probes, small_pairs
 
 MAX_EDITS, MIN_EXACT, MIN_SIMILAR, CHUNK = 2, 10, 20, 512
 #: Bits of the filter in front of the text fetch (16 MB).
 FILTER_BITS = 1 << 27
 BITMAP = 32768
+#: So many lines that meet are compared pair by pair, more of them line by line with all others.
+FEW = 8
 
 
 def _ids(line: str) -> tuple[int, int]:
@@ -221,19 +223,33 @@ def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_
             yield found(held)
 
     def found(pdf):
-        a, b, sets = [], [], _sets(pdf[(pdf["key"] & 1) == 1])
-        for _, g in pdf.groupby(["key", "lo", "hi"], sort=False):
-            line, own = g["line"].values, g["own"].values
-            runs = g["key"].iloc[0] & 1
-            what = [sets[i] for i in line.tolist()] if runs else g["s"].tolist()
-            side = (g["c"] == g["lo"]).values
-            cross = g["lo"].iloc[0] != g["hi"].iloc[0]
-            # a probe meets a segment; two probes that meet only each other need no look
-            for query, index in ((side, ~side & own), (~side, side & own)) if cross else ((np.ones(len(g), bool), own),):
-                for x, y in alike(what, query, index) if runs else linked(what, query, index, most):
-                    a.append(line[x])
-                    b.append(line[y])
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        runs, own = (pdf["key"].values & 1) == 1, pdf["own"].values
+        side, cross = (pdf["c"] == pdf["lo"]).values, (pdf["lo"] != pdf["hi"]).values
+        place = pdf[["key", "lo", "hi"]].values
+        group = np.r_[0, np.cumsum((place[1:] != place[:-1]).any(1))]
+        ids, at = np.unique(pdf["line"].values, return_inverse=True)
+        texts = dict(zip(pdf["line"].tolist(), pdf["s"].tolist()))
+        made = _sets(pdf[runs])
+        sets, lines = [made.get(i, np.zeros(0, np.uint64)) for i in ids.tolist()], [texts[i] for i in ids.tolist()]
+        out = [np.zeros((0, 2), np.int64)]
+        # few lines that meet: their pairs, each once; a probe meets a segment, two probes that meet only each other need no look
+        x, y = small_pairs(group, FEW)
+        look = (own[x] | own[y]) & ~(cross[x] & (side[x] == side[y]))
+        x, y = x[look], y[look]
+        for kind, test in ((runs[x], lambda *p: pairs_alike(sets, *p)), (~runs[x], lambda *p: pairs_within(lines, *p, most))):
+            pairs = np.unique(np.sort(np.c_[at[x[kind]], at[y[kind]]], 1), axis=0)
+            if len(pairs):
+                out.append(pairs[test(pairs[:, 0], pairs[:, 1])])
+        # many: lines already connected are not compared
+        for g in np.flatnonzero(np.bincount(group) > FEW).tolist():
+            lo, hi = np.searchsorted(group, [g, g + 1])
+            here, mine, first = at[lo:hi], own[lo:hi], side[lo:hi]
+            what = [(sets if runs[lo] else lines)[k] for k in here.tolist()]
+            for query, index in ((first, ~first & mine), (~first, first & mine)) if cross[lo] else ((np.ones(hi - lo, bool), mine),):
+                links = alike(what, query, index) if runs[lo] else linked(what, query, index, most)
+                out.append(here[np.array(links, np.int64).reshape(-1, 2)])
+        links = ids[np.concatenate(out)]
+        return pd.DataFrame({"a": links[:, 0], "b": links[:, 1]})
 
     n = partitions_for(texts.sparkSession)
     links = stored(tasks.join(lines, "line").repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
