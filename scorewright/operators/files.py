@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .. import rules
 from ..functions import paths as P
@@ -191,7 +191,15 @@ def cap_pages(pages: DataFrame, n: int = rules.MAX_PDF_PAGES, page_col: str = "p
     return pages.filter(F.col(page_col) <= n)
 
 
-def truncated_docs(pages: DataFrame, n: int = rules.MAX_PDF_PAGES, key: str = "doc_id",
+def first_pages(pages: DataFrame, n: int = rules.MAX_PDF_PAGES, key: str = "doc_id", order: str = "page_file") -> DataFrame:
+    """W3 for pages without numbers: the first ``n`` of each document by ``order``, numbered in ``page_no``.  Every task
+    keeps at most ``n`` rows of a document before the shuffle (``WindowGroupLimit``), so that a document with
+    very many pages costs no more than others."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    return pages.withColumn("page_no", place).filter(F.col("page_no") <= n)
+
+
+def truncated_docs(pages: DataFrame,n: int = rules.MAX_PDF_PAGES, key: str = "doc_id",
                    page_col: str = "page_no") -> DataFrame:
     """Pages per document, pages kept, and whether the cap cut it."""
     return (pages.groupBy(key)

@@ -256,7 +256,17 @@ def q_cap_pages(spark, sf_dir):
         "doc_id", F.col("page_no").cast("bigint").alias("page_no"), "width", "height")
 
 
-@query("truncated_docs", with_sql(("fx_page_images",), [], "SELECT doc_id, CAST(count(*) AS BIGINT) AS total_pages, "
+@query("first_pages", "SELECT user_id AS doc_id, 'img_' || event_id || '.jpg' AS page_file, CAST(row_number() OVER (PARTITION BY user_id "
+                      "ORDER BY 'img_' || event_id || '.jpg') AS BIGINT) AS page_no FROM events "
+                      "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY 'img_' || event_id || '.jpg') <= 30")
+def q_first_pages(spark, sf_dir):
+    """W3 over page images that carry no number, in the order of their names."""
+    pages = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("doc_id"), F.concat(F.lit("img_"), F.col("event_id").cast("string"), F.lit(".jpg")).alias("page_file"))
+    return FO.first_pages(pages).select("doc_id", "page_file", F.col("page_no").cast("bigint").alias("page_no"))
+
+
+@query("truncated_docs",with_sql(("fx_page_images",), [], "SELECT doc_id, CAST(count(*) AS BIGINT) AS total_pages, "
                                   "CAST(count_if(page_no <= 30) AS BIGINT) AS kept_pages, count(*) > 30 AS truncated FROM fx_page_images GROUP BY doc_id"))
 def q_truncated_docs(spark, sf_dir):
     return FO.truncated_docs(fx(spark, sf_dir, "fx_page_images"))
@@ -329,15 +339,30 @@ def q_read_preprocess_info(spark, sf_dir):
     return back.select("submission_name", *[F.col(f"summary.{c}").alias(c) for c in counts])
 
 
-@query("scan_files")
-def q_scan_files(spark, sf_dir):
-    """S2 over a real folder tree: the fixture inventory is written below a
-    fresh root in the shared folder, then listed per submission folder."""
+def _written_tree(spark, sf_dir):
+    """The fixture inventory as real files below a fresh root in the shared folder."""
     import uuid
     from ..session import shared_dir
-    from ..sources.files import scan_files, write_file_tree
+    from ..sources.files import write_file_tree
     root = shared_dir(spark, f"file_tree/{uuid.uuid4().hex}")
     root = root[5:] if root.startswith("file:") else root
     files = fx(spark, sf_dir, "fx_files").withColumn("rel", F.regexp_replace("path", "^/in/", ""))
     write_file_tree(files, root).count()
-    return scan_files(spark, root)
+    return root
+
+
+@query("scan_files")
+def q_scan_files(spark, sf_dir):
+    """S2 over a real folder tree."""
+    from ..sources.files import scan_files
+    return scan_files(spark, _written_tree(spark, sf_dir))
+
+
+@query("scan_file_tree", with_sql(("fx_files",), [], "SELECT DISTINCT split_part(path, '/', 3) AS submission, substr(path, 5) AS rel, name, "
+                                  "CAST(coalesce(strlen(content), 0) AS BIGINT) AS size_bytes FROM fx_files"))
+def q_scan_file_tree(spark, sf_dir):
+    """S2 with paths below the root, so that the listing can be held against the inventory that was written."""
+    from ..sources.files import scan_files
+    root = _written_tree(spark, sf_dir)
+    rel = F.substring("path", len(root.rstrip("/")) + 2, 1 << 20)
+    return scan_files(spark, root).select("submission", rel.alias("rel"), "name", "size_bytes")

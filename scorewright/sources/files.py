@@ -24,38 +24,48 @@ SCAN_SCHEMA = T.StructType([
 ])
 
 
-def scan_files(spark: SparkSession, root: str, partitions: int | None = None) -> DataFrame:
-    """Every file below each submission folder of ``root`` (hidden,
-    zero-byte and ``__MACOSX`` files included, unlike ``binaryFile``).
+_FOUND = T.StructType([*SCAN_SCHEMA.fields, T.StructField("is_folder", T.BooleanType())])
+
 
-    The driver lists only the top-level folders; each folder is walked by a
-    task, so a large tree is listed in parallel.  Content is read later, only
-    for the rows that need it (``binaryFile`` on the selected paths)."""
+def _list_folders(frames):
+    """What stands directly in each folder (submission, folder), ten thousand names at a time."""
     import os
+    import pandas as pd
+    from pyarrow import fs
+
+    names = [f.name for f in _FOUND.fields]
+    for pdf in frames:
+        for sub, folder in zip(pdf["submission"], pdf["folder"]):
+            store, path = fs.FileSystem.from_uri(folder)
+            local, prefix = isinstance(store, fs.LocalFileSystem), folder[:folder.find("://") + 3] if "://" in folder else ""
+            found = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+            for at in range(0, len(found), 10_000):
+                rows = [(sub, x.path if local else prefix + x.path, x.base_name, x.size, x.type == fs.FileType.Directory)
+                        for x in found[at:at + 10_000]
+                        if not (x.type == fs.FileType.Directory and local and os.path.islink(x.path))]
+                yield pd.DataFrame(rows, columns=names).astype({"size_bytes": "Int64"})
 
-    subs = sorted(d for d in os.listdir(root) if os.path.isdir(os.path.join(root, d)))
-    n = partitions or max(1, min(len(subs), spark.sparkContext.defaultParallelism * 4))
-    dirs = spark.createDataFrame([(s, os.path.join(root, s)) for s in subs], "submission string, dir string")
 
-    def walk(it):
-        import os as _os
-        import pandas as pd
-        for pdf in it:
-            rows = []
-            for sub, d in zip(pdf["submission"], pdf["dir"]):
-                for base, _dirs, names in _os.walk(d):
-                    for nm in names:
-                        p = _os.path.join(base, nm)
-                        try:
-                            size = _os.stat(p).st_size
-                        except OSError:
-                            size = None
-                        rows.append((sub, p, nm, size))
-            yield pd.DataFrame(rows, columns=["submission", "path", "name", "size_bytes"])
+def scan_files(spark: SparkSession, root: str, partitions: int | None = None) -> DataFrame:
+    """Every file below each submission folder of ``root`` (hidden, zero-byte and ``__MACOSX`` files included, unlike
+    ``binaryFile``).  ``root`` is a path or the URI of any store that Arrow's file systems open.
+
+    Breadth first: in each round tasks list the folders that the round before found, so a deep or wide submission is
+    spread like any other and the driver lists nothing; there are as many rounds as the tree is deep.  Linked folders
+    are not entered; files directly in ``root`` belong to no submission.  Content is read later, only for the rows that need it."""
+    from ..session import materialize, ship_package
 
-    from ..session import ship_package
     ship_package(spark)
-    return dirs.repartition(n, "submission").mapInPandas(walk, SCAN_SCHEMA)
+    n = partitions or spark.sparkContext.defaultParallelism * 4
+    level = spark.createDataFrame([(None, root)], "submission string, folder string")
+    out = spark.createDataFrame([], SCAN_SCHEMA)
+    while True:
+        found = materialize(level.mapInPandas(_list_folders, _FOUND), "folder_listing")
+        out = out.unionByName(found.filter("NOT is_folder AND submission IS NOT NULL").drop("is_folder"))
+        folders = found.filter("is_folder").select(F.coalesce("submission", "name").alias("submission"), F.col("path").alias("folder"))
+        if folders.isEmpty():
+            return out
+        level = folders.repartition(n, "folder")
 
 
 def write_file_tree(files: DataFrame, root: str) -> DataFrame:
