@@ -176,33 +176,47 @@ def pairs_alike(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, block: int
 
 def pairs_within(lines: list[str], a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Whether the lines at ``a`` and at ``b`` are within ``most`` edits."""
-    size, counts = np.array([len(x) for x in lines], np.int64), letter_counts(lines)
+    size = np.array([len(x) for x in lines], np.int64)
     out = np.abs(size[a] - size[b]) <= most
-    out[out] = np.abs(counts[a[out]] - counts[b[out]]).sum(1) <= 2 * most
+    some, at = np.unique(np.r_[a[out], b[out]], return_inverse=True)
+    counts = letter_counts([lines[k] for k in some.tolist()])
+    left, right = at.reshape(2, -1)
+    out[out] = np.abs(counts[left] - counts[right]).sum(1) <= 2 * most
     for k in np.flatnonzero(out).tolist():
         out[k] = within(lines[a[k]], lines[b[k]], most)
     return out
 
 
-def alike(sets: list[np.ndarray], query: np.ndarray, index: np.ndarray) -> list[tuple[int, int]]:
+def alike(sets: list[np.ndarray], query: np.ndarray, index: np.ndarray, cells: int = 1 << 22) -> list[tuple[int, int]]:
     """Links that connect query lines with index lines whose sets of shingles have a Jaccard similarity of ``ALIKE`` at
-    least; a line already connected to all others is not compared."""
+    least, none between lines already connected.  Only shingles of two lines or more can be in common; what each
+    pair shares is a product of matrices, of so many queries at a time that a matrix has ``cells`` cells at most or one row."""
+    size = np.array([len(x) for x in sets], np.int64)
+    names, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared, owner = times[code] > 1, np.repeat(np.arange(len(sets)), size)
+    column = (np.cumsum(times > 1) - 1)[code[shared]]
+    width = int((times > 1).sum())
+    begin = np.searchsorted(owner[shared], np.arange(len(sets) + 1))
     root, out = np.arange(len(sets)), []
-    size = np.array([len(x) for x in sets])
-    names, code = np.unique(np.concatenate(sets), return_inverse=True)
-    begin = np.cumsum(size) - size
-    for q in np.flatnonzero(query).tolist():
-        rows = index & (root != root[q])
-        if not rows.any():
-            continue
-        mark = np.zeros(len(names), np.int64)
-        mark[code[begin[q]:begin[q] + size[q]]] = 1
-        both = np.add.reduceat(mark[code], begin)
-        near = rows & (both * ALIKE[1] >= ALIKE[0] * (size[q] + size - both))
-        for r in np.flatnonzero(near).tolist():
-            if root[r] != root[q]:
-                root[root == root[r]] = root[q]
-                out.append((q, r))
+    asked = np.flatnonzero(query)
+    step = max(1, cells // max(1, width))
+    for k in range(0, len(asked), step):
+        some = asked[k:k + step]
+        table = np.zeros((len(some), max(1, width)), np.float32)
+        for row, q in enumerate(some.tolist()):
+            table[row, column[begin[q]:begin[q + 1]]] = 1
+        both = np.zeros((len(some), len(sets)), np.int64)
+        for r in range(0, len(sets), step):
+            part = slice(begin[r], begin[min(r + step, len(sets))])
+            other = np.zeros((min(step, len(sets) - r), max(1, width)), np.float32)
+            other[owner[shared][part] - r, column[part]] = 1
+            both[:, r:r + step] = table @ other.T
+        near = index & (both * ALIKE[1] >= ALIKE[0] * (size[some][:, None] + size - both))
+        for row, q in enumerate(some.tolist()):
+            for r in np.flatnonzero(near[row] & (root != root[q])).tolist():
+                if root[r] != root[q]:
+                    root[root == root[r]] = root[q]
+                    out.append((q, r))
     return out
 
 
