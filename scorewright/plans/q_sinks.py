@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import rules, sinks
 from ..operators import ledger as L
 from ..session import shared_dir
-from ..sources.files import read_text_files, read_usage_ledger
+from ..sources.files import read_preprocess_info, read_text_files, read_usage_ledger
 from . import preprocess as PP
 from . import sqlgen as G
 from .q_files import PRE_FX, PRE_STEPS, _pp
@@ -51,6 +51,24 @@ def q_preprocess_file_lists(spark, sf_dir):
     return sinks.read_runs(spark, f"{path}/files", FILE_COLUMNS).drop(*sinks.RUN)
 
 
+@query("preprocess_documents", with_sql(PRE_FX, PRE_STEPS,
+       "SELECT o.submission AS submission_name, o.channel, o.output_path, i.total_original_files, i.textual_outputs, i.visual_outputs, "
+       "i.skipped_files, i.failed_files, i.scanned_pdfs FROM info i JOIN outputs o ON o.submission = i.submission UNION ALL "
+       "SELECT submission, NULL, NULL, total_original_files, textual_outputs, visual_outputs, skipped_files, failed_files, scanned_pdfs "
+       "FROM info WHERE submission NOT IN (SELECT submission FROM outputs)"))
+def q_preprocess_documents(spark, sf_dir):
+    """K1 as nested documents of at most eight files each, read back by S6: their file lists as rows, beside the counts."""
+    pp, path = _pp(spark, sf_dir), _place(spark, "preprocess_documents")
+    sinks.write_preprocess_documents(PP.preprocess_info(pp), pp.outputs, path, DAY, files_per_document=8)
+    docs = read_preprocess_info(spark, path, multi_line=False)
+
+    def named(channel):
+        return F.transform(f"{channel}_files", lambda x: F.struct(F.lit(channel).alias("channel"), x.alias("output_path")))
+
+    listed = F.concat(named("textual"), named("visual"))
+    return docs.select("submission_name", F.inline_outer(listed), *[F.col(f"summary.{c}").alias(c) for c in sinks.SUMMARY_COUNTS])
+
+
 @query("failure_report_two_runs", with_sql(PRE_FX, PRE_STEPS,
        "SELECT submission, CAST(count(*) AS BIGINT) AS total_failed_files, CAST(count(DISTINCT filename) AS BIGINT) AS distinct_files, "
        "CASE WHEN CAST(substring(submission, 2) AS BIGINT) % 2 = 0 THEN 'a' ELSE 'b' END AS run_id FROM eff GROUP BY submission"))

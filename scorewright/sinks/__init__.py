@@ -12,9 +12,11 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import reports as R
+from ..operators.ranking import rank_within
 from ..session import materialize, path_exists
 
 RUN = ("run_date", "run_id")
+SUMMARY_COUNTS = ("total_original_files", "textual_outputs", "visual_outputs", "skipped_files", "failed_files", "scanned_pdfs")
 
 
 def _stamp(df: DataFrame, run_date: str | None, run_id: str) -> DataFrame:
@@ -42,6 +44,30 @@ def write_preprocess_info(info: DataFrame, files: DataFrame, path: str, run_date
     _write(_stamp(files, run_date, run_id), f"{path}/files", fmt)
 
 
+#: Files that one nested document lists at most.
+FILES_PER_DOCUMENT = 1000
+
+
+def write_preprocess_documents(info: DataFrame, outputs: DataFrame, path: str, run_date: str | None = None, run_id: str = "0",
+                               files_per_document: int = FILES_PER_DOCUMENT) -> None:
+    """K1 as nested documents (JSON lines, read by ``sources.files.read_preprocess_info``): the submission's name, time, counts
+    and the lists of its textual and visual outputs in the order of their paths.
+
+    A submission with more than ``files_per_document`` outputs has several documents, told by ``part``, each with all counts
+    and the next of its files: rows are numbered by ``rank_within``, so none is gathered that grows with the submission."""
+    ranked = rank_within(outputs.select("submission", "channel", "output_path"), ["submission"], ["channel", "output_path"], "__n")
+    lists = {f"{c}_files": F.sort_array(F.collect_list(F.when(F.col("channel") == c, F.col("output_path")))) for c in ("textual", "visual")}
+    parts = (ranked.withColumn("part", F.floor((F.col("__n") - 1) / files_per_document))
+             .groupBy("submission", "part").agg(*[x.alias(name) for name, x in lists.items()]))
+    counts = [F.col(c).cast("bigint").alias(c) for c in SUMMARY_COUNTS]
+    none = F.array().cast("array<string>")
+    docs = info.select("submission", F.struct(*counts).alias("summary")).join(parts, "submission", "left").select(
+        F.col("submission").alias("submission_name"), F.coalesce("part", F.lit(0)).alias("part"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("processing_timestamp"), "summary",
+        *[F.coalesce(F.col(name), none).alias(name) for name in lists])
+    _write(_stamp(docs, run_date, run_id), path, "json")
+
+
 def write_failure_report(failures: DataFrame, path: str, run_date: str | None = None, run_id: str = "0",
                          fmt: str = "parquet") -> None:
     """K2: failed files (only submissions that have any) and their counts."""
