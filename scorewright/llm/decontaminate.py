@@ -34,14 +34,13 @@ def _block(rows, size: int):
     items: dict[bytes, set[str]] = {}
     for r in rows:
         for w in windows(words_of((r.t or "").encode()), size):
-            items.setdefault(w, set()).add(str(r.item))
+            items.setdefault(w, set()).update(() if r.item is None else (r.item,))
     found = sorted(items)
     return found, [sorted(items[p]) for p in found]
 
 
 def _benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
     b = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("t"))
-    b = b.filter("item is not null")
     total = b.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-2 * total // block_bytes))
     for i in range(n):
@@ -54,7 +53,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per row of ``docs``: all its columns and ``n_words``, ``hits`` (numbers of the hit words, ascending),
     ``items`` (ids of the items with a window in the text, ascending as strings); columns of these names are replaced.
 
-    Null text has no words.  Items with null id are left out, items without words match nothing; an empty
+    Null text has no words.  Items with null id mark their words but have no id to list, items without words match nothing; an empty
     benchmark gives no hits.  Repeated rows are judged each for itself; an empty table gives an empty result."""
     spark = docs.sparkSession
     prepared(spark)

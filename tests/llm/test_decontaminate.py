@@ -20,16 +20,15 @@ def brute(docs, bench, size=10):
     windows = {}
     for item, t in bench:
         w = words(t)
-        if w and item is not None:
-            for i in range(max(1, len(w) - size + 1)):
-                windows.setdefault(tuple(w[i:i + size]), set()).add(str(item))
+        for i in range(max(1, len(w) - size + 1) if w else 0):
+            windows.setdefault(tuple(w[i:i + size]), set()).update({str(item)} - {"None"})
     out = []
     for d, t in docs:
         w, hit, items = words(t), set(), set()
         for k in {len(x) for x in windows}:
             for i in range(len(w) - k + 1):
                 found = windows.get(tuple(w[i:i + k]))
-                if found:
+                if found is not None:
                     hit.update(range(i, i + k))
                     items |= found
         out.append((d, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)))
@@ -60,7 +59,7 @@ def cases():
     bench = [(k, " ".join(w[k * 30:k * 30 + 25])) for k in range(6)] + [(10, "w1 W2"), (11, ""), (12, None), (None, "w3 w4"), (2, " ".join(w[60:85])),
                                                                       (13, "word, with; Punctuation!")]
     docs = [(i, " ".join(rng.choices(w, k=30) + w[(i % 8) * 30:(i % 8) * 30 + rng.randrange(25)] + rng.choices(w, k=5))) for i in range(60)]
-    return docs + [(100, None), (101, ""), (102, "..."), (1, docs[1][1]), (103, "a Word with punctuation-b"), (None, "w1\tw2")], bench
+    return docs + [(100, None), (101, ""), (102, "..."), (1, docs[1][1]), (103, "a Word with punctuation-b"), (104, "so w3 w4 stand here"), (None, "w1\tw2")], bench
 
 
 def test_equals_brute_force(spark):
