@@ -33,3 +33,24 @@ def test_solution_markdown_round_trip(spark):
     assert checks and all(c.total_ok and c.points_mismatch == 0 and c.units_not_in_rubric == 0 for c in checks)
     sols = units.filter(F.col("solution_text").isNull()).count()
     assert sols == 0
+
+
+def test_solutions_are_parsed_in_their_row(spark):
+    text = "\n".join([
+        "(a) Before any heading [1 point]", "kept", "## Exercise 1.1 (One). (Total: 3 points)", "(i) Sole [3 points]\r", "**Solution.**\r", "a\r", "", "b",
+        "## Exercise 1.2 (Two). (Total: 4 points)", "(i) Container", "not a unit's", "(h) Eight [1 point]", "(i) Letter [1 point]", "**Solution.**",
+        "(ii) Part [1.5 points]", "x (not a mark", "(b) Own [0.5 points]", ""])
+    md = spark.createDataFrame([("A", text), ("B", None), ("C", "no units"), (None, text)], "assignment_id string, markdown string")
+    units = RB.parse_solution_units(md)
+    plan = units._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+    want = [(None, None, None, 1, "a", None, "Before any heading", 1.0, "kept"),
+            ("Exercise 1.1", "One", 3.0, 4, None, None, "Sole", 3.0, "a\n\nb"),
+            ("Exercise 1.2", "Two", 4.0, 12, "i", "h", "Eight", 1.0, None),
+            ("Exercise 1.2", "Two", 4.0, 13, "i", "i", "Letter", 1.0, None),
+            ("Exercise 1.2", "Two", 4.0, 15, "ii", None, "Part", 1.5, "x (not a mark"),
+            ("Exercise 1.2", "Two", 4.0, 17, "b", None, "Own", 0.5, "")]
+    got = [tuple(r) for r in units.orderBy("assignment_id", "ord").collect()]
+    assert units.columns == ["assignment_id", "exercise", "title", "header_total", "ord", "part", "sub", "prompt", "points", "solution_text"]
+    assert [r[1:] for r in got if r[0] == "A"] == want
+    assert [r[1:] for r in got if r[0] is None] == [w[:-1] + (None,) for w in want] and len(got) == 12
