@@ -27,23 +27,38 @@ SCAN_SCHEMA = T.StructType([
 _FOUND = T.StructType([*SCAN_SCHEMA.fields, T.StructField("is_folder", T.BooleanType())])
 
 
-def _list_folders(frames):
-    """What stands directly in each folder (submission, folder), ten thousand names at a time."""
+#: Names that one batch of a listing has at most.
+_NAMES = 10_000
+
+
+def _list_folders(batches):
+    """What stands directly in each folder (submission, folder), ten thousand names at a time; small folders share a batch."""
     import os
-    import pandas as pd
+    import pyarrow as pa
     from pyarrow import fs
 
-    names = [f.name for f in _FOUND.fields]
-    for pdf in frames:
-        for sub, folder in zip(pdf["submission"], pdf["folder"]):
+    types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_()]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows), types)), [f.name for f in _FOUND.fields])
+
+    rows = []
+    for given in batches:
+        for sub, folder in zip(given.column(0), given.column(1)):
+            sub, folder = sub.as_py(), folder.as_py()
             store, path = fs.FileSystem.from_uri(folder)
             local, prefix = isinstance(store, fs.LocalFileSystem), folder[:folder.find("://") + 3] if "://" in folder else ""
-            found = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
-            for at in range(0, len(found), 10_000):
-                rows = [(sub, x.path if local else prefix + x.path, x.base_name, x.size, x.type == fs.FileType.Directory)
-                        for x in found[at:at + 10_000]
-                        if not (x.type == fs.FileType.Directory and local and os.path.islink(x.path))]
-                yield pd.DataFrame(rows, columns=names).astype({"size_bytes": "Int64"})
+            for x in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+                is_folder = x.type == fs.FileType.Directory
+                if is_folder and local and os.path.islink(x.path):
+                    continue
+                rows.append((sub, x.path if local else prefix + x.path, x.base_name, x.size, is_folder))
+                if len(rows) == _NAMES:
+                    yield batch(rows)
+                    rows = []
+    if rows:
+        yield batch(rows)
+    pa.default_memory_pool().release_unused()  # the worker process lives on
 
 
 def scan_files(spark: SparkSession, root: str, partitions: int | None = None) -> DataFrame:
@@ -60,7 +75,7 @@ def scan_files(spark: SparkSession, root: str, partitions: int | None = None) ->
     level = spark.createDataFrame([(None, root)], "submission string, folder string")
     out = spark.createDataFrame([], SCAN_SCHEMA)
     while True:
-        found = materialize(level.mapInPandas(_list_folders, _FOUND), "folder_listing")
+        found = materialize(level.mapInArrow(_list_folders, _FOUND), "folder_listing")
         out = out.unionByName(found.filter("NOT is_folder AND submission IS NOT NULL").drop("is_folder"))
         folders = found.filter("is_folder").select(F.coalesce("submission", "name").alias("submission"), F.col("path").alias("folder"))
         if folders.isEmpty():
@@ -78,21 +93,28 @@ def write_file_tree(files: DataFrame, root: str) -> DataFrame:
     from ..session import ship_package
     ship_package(files.sparkSession)
 
-    def write(it):
+    def write(batches):
         import os as _os
-        import pandas as pd
-        for pdf in it:
-            out = []
-            for rel, content in zip(pdf["rel"], pdf["content"]):
+        import pyarrow as pa
+        made = None
+        for batch in batches:
+            paths, sizes = [], []
+            # one text at a time leaves the batch
+            for rel, content in zip(batch.column(0), batch.column(1)):
+                rel, content = rel.as_py(), content.as_py()
                 target = _os.path.join(base, rel.lstrip("/"))
-                _os.makedirs(_os.path.dirname(target), exist_ok=True)
+                if made != _os.path.dirname(target):
+                    made = _os.path.dirname(target)
+                    _os.makedirs(made, exist_ok=True)
                 data = content.encode("utf-8") if isinstance(content, str) else bytes(content or b"")
                 with open(target, "wb") as fh:
                     fh.write(data)
-                out.append((target, len(data)))
-            yield pd.DataFrame(out, columns=["path", "bytes_written"])
+                paths.append(target)
+                sizes.append(len(data))
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], ["path", "bytes_written"])
+        pa.default_memory_pool().release_unused()  # the worker process lives on
 
-    return files.select("rel", "content").mapInPandas(write, "path string, bytes_written long")
+    return files.select("rel", "content").mapInArrow(write, "path string, bytes_written long")
 
 
 def read_file_contents(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:

@@ -37,3 +37,17 @@ def test_first_pages_limits_before_the_shuffle(spark):
 
 def test_first_pages_of_nothing(spark):
     assert first_pages(spark.createDataFrame([], "doc_id long, page_file string")).collect() == []
+
+
+def test_small_folders_share_a_batch():
+    import pyarrow as pa
+    from scorewright.sources.files import _list_folders
+    root = tempfile.mkdtemp(prefix="sw-listing-")
+    folders = [os.path.join(root, f"S{i}") for i in range(50)]
+    for f in folders:
+        os.makedirs(f)
+        open(os.path.join(f, "a.txt"), "wb").close()
+    asked = pa.RecordBatch.from_arrays([pa.array([None] * 50, pa.string()), pa.array(folders)], ["submission", "folder"])
+    out = list(_list_folders(iter([asked.slice(0, 20), asked.slice(20)])))
+    assert len(out) == 1 and out[0].column("path").to_pylist() == [f"{f}/a.txt" for f in folders]
+    assert list(_list_folders(iter([]))) == []
