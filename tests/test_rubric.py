@@ -54,3 +54,23 @@ def test_solutions_are_parsed_in_their_row(spark):
     assert units.columns == ["assignment_id", "exercise", "title", "header_total", "ord", "part", "sub", "prompt", "points", "solution_text"]
     assert [r[1:] for r in got if r[0] == "A"] == want
     assert [r[1:] for r in got if r[0] is None] == [w[:-1] + (None,) for w in want] and len(got) == 12
+
+
+def test_hints_are_parsed_in_one_pass(spark):
+    text = "\n".join([
+        "2 points", "a) [1 point] \r", "Exercise 1.1: [3 points]", "(h) 1 point", "i) 0.5 points", "v) 7 points", "b) none", "4 points",
+        "Exercise 1.2", "II) 6 points", "x) 2 points\u00e9", "a) 3 points\u00b2", "c) 1 point", "xi) 9 points, 1 point", "b) nothing", "Exercise: 5 points"])
+    hints = spark.createDataFrame([("A", text), ("B", None), ("C", "no units"), ("A", "1 point"), (None, text)], "assignment_id string, hint string")
+    units = RB.parse_structure_hint(hints)
+    plan = units._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+    assert "lambda" not in plan  # no fold that copies what it has at each line
+    want = [(1, None, None, None, 2.0), (2, None, "a", None, 1.0), (3, "Exercise 1.1", None, None, 3.0),
+            (4, "Exercise 1.1", "h", None, 1.0), (5, "Exercise 1.1", "i", None, 0.5), (6, "Exercise 1.1", "v", None, 7.0),
+            (8, "Exercise 1.1", None, None, 4.0), (10, "Exercise 1.2", "ii", None, 6.0), (12, "Exercise 1.2", "x", "a", 3.0),
+            (13, "Exercise 1.2", "x", "c", 1.0), (14, "Exercise 1.2", "xi", None, 9.0)]
+    got = [tuple(r) for r in units.collect()]
+    assert units.columns == ["assignment_id", "ord", "exercise", "part", "sub", "points"]
+    assert sorted((r[1:] for r in got if r[0] is None), key=lambda r: r[0]) == want
+    assert sorted((r[1:] for r in got if r[0] == "A"), key=lambda r: (r[0], r[1] or "", r[4])) == \
+        sorted([*want, (1, None, None, None, 1.0)], key=lambda r: (r[0], r[1] or "", r[4])) and len(got) == 23
