@@ -27,31 +27,54 @@ _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 # ---------------------------------------------------------------- tokens
+_MARKS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
+#: Letters and digits of one or two bytes; lower-cased, some letters end with a mark.
+_LETTER = np.array([chr(c).lower().isalpha() or c < 128 and chr(c).isdigit() for c in range(0x800)])
+
+
+def _halves(words):
+    """An Arrow array with two entries for each of ``words``: the word without the ASCII marks it ends with, and these, which
+    are a pre-token of their own after a letter or digit.  Words are whole where that could cut a special token, and after
+    letters of more than two bytes."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    _, ends, data = words.buffers()
+    ends, points = np.frombuffer(ends, "<i8", len(words) + 1), np.frombuffer(data or b"\0", np.uint8)
+    begin, end = ends[:-1], ends[1:]
+    bare = begin + pc.binary_length(pc.ascii_rtrim(words, _MARKS)).to_numpy()
+    last, before = points[np.maximum(bare - 1, 0)], points[np.maximum(bare - 2, 0)].astype(np.int64)
+    pair = (last >= 0x80) & (before >= 0xC2) & (before < 0xE0)
+    letter = _LETTER[np.where(pair, (before & 31) << 6 | last & 63, np.where(last < 0x80, last, 0))]
+    whole = ~letter | (bare == begin) | pc.match_substring(words, "<|").to_numpy(zero_copy_only=False)
+    places = np.r_[np.c_[begin, np.where(whole, end, bare)].ravel(), ends[-1:]]
+    return pa.Array.from_buffers(pa.large_binary(), 2 * len(words), [None, pa.py_buffer(places), data])
+
+
 class WordCache:
-    """Token ids of a text, as little-endian unsigned 32-bit bytes, word by word.
+    """Token ids, as little-endian unsigned 32-bit bytes, word by word.
 
     No pre-token of the vocabulary spans white space, so a text's ids are its words' ids one after the other.  Only words
-    not seen before reach the tokenizer.  The cache holds at most ``limit`` words; later ones are encoded each time."""
+    not seen before, marks at their ends aside, reach the tokenizer.  The cache holds at most ``limit`` words; later ones
+    are encoded each time."""
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
 
-    def ids(self, words: list[list[bytes]]) -> list[bytes]:
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of ``words``, which are all different."""
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        if new:
+        out = list(map(known.get, words))
+        later = [k for k, ids in enumerate(out) if ids is None]
+        if later:
+            new = [words[k] for k in later]
             coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            pairs = zip(new, (np.array(e.ids, "<u4").tobytes() for e in coded))
-            if len(known) + len(new) > self.limit:
-                known = known | dict(pairs)
-                room = self.limit - len(self.known)
-                for w in new[:max(0, room)]:
-                    self.known[w] = known[w]
-            else:
-                known.update(pairs)
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+            for k, w, e in zip(later, new, coded):
+                out[k] = ids = np.array(e.ids, "<u4").tobytes()
+                if len(known) < self.limit:
+                    known[w] = ids
+        return out
 
 
 _CACHES: dict[str, WordCache] = {}  # of this worker process, so that a later task starts with the words it knows
@@ -63,9 +86,30 @@ def _cache(path: str) -> WordCache:
     return _CACHES[path]
 
 
-def _words(text: bytes) -> list[bytes]:
-    """The tokenizer lower-cases anyway; done before, more words are alike.  Not where that could make a special token."""
-    return (text if b"<|" in text else text.lower()).split()
+def _words(texts):
+    """(words, places): the words of an Arrow string column, and where those of each text begin and end.
+
+    The tokenizer lower-cases anyway; done before, more words are alike.  Not where that could make a special token."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    lower = pa.array([t if b"<|" in t else t.lower() for t in byte_list(texts)], pa.large_binary())
+    lists = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), len(lower), lower.buffers()))
+    return lists.values, lists.offsets.to_numpy()
+
+
+def _ids(texts, cache: WordCache):
+    """(ids, ends): the ids of all ``texts``, an Arrow string column, one after the other, and the bytes at which those of
+    each begin and end.  A word of many texts is looked up once."""
+    import pyarrow as pa
+    words, places = _words(texts)
+    if not len(words):
+        return b"", places
+    coded = words.dictionary_encode()
+    halves = _halves(coded.dictionary).dictionary_encode()
+    each = pa.array(cache.ids(halves.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(halves.indices)
+    begin = np.frombuffer(each.buffers()[1], "<i8", len(each) + 1)[::2].copy()
+    every = pa.Array.from_buffers(pa.large_binary(), len(begin) - 1, [None, pa.py_buffer(begin), each.buffers()[2]]).take(coded.indices)
+    return every.buffers()[2] or b"", np.frombuffer(every.buffers()[1], "<i8", len(every) + 1)[places]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -79,11 +123,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches):
         import pyarrow as pa
         cache = _cache(tokenizer_path)
-        for batch in in_slices(batches, 500):
-            texts = [_words(x) for x in byte_list(batch.column(1))]
-            out = []
-            for doc, ids in zip(batch.column(0).to_pylist(), cache.ids(texts)):
-                ids += end
+        for batch in in_slices(batches):
+            every, ends = _ids(batch.column(1), cache)
+            every, out = memoryview(every), []
+            for doc, a, b in zip(batch.column(0).to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
+                ids = bytes(every[a:b]) + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

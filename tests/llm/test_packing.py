@@ -101,3 +101,25 @@ def test_one_length_holds_most_rows(spark):
         bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
     for parts in bins.values():
         assert sum(n for _, n in parts) <= 2048 and len({o for o, _ in parts}) == len(parts)
+
+
+def test_marks_at_the_end_are_looked_up_apart():
+    import pyarrow as pa
+
+    from scorewright.llm.packing import WordCache, _ids
+    cache = WordCache(vocabulary())
+    _ids(pa.array(["word, word.", "word!? İ, <|endoftext|>"]), cache)
+    assert {b"", b"word", b",", b".", b"!?", "İ,".encode(), b"<|endoftext|>"} == set(cache.known)
+    # ids are those of the whole text: marks after letters, other marks, contractions, ligatures, combining signs, blanks
+    ends = ["word", "dog's", "7", "é", "é", "İ", "ΣΑΣ", "»", "中", "\U0001f600", "٣", "²",
+            "ß", "ﬁ", "<|endoftext|>", "<|", "'", "ͅ", "ё", "Å", "Ⅰ", "\x00", " ", "x　", "אְ"]
+    texts = [f" {e}{m}\n{m}{e}{m} {e}{m}{e}" for e in ends for m in ["", ",", ".\"", "'", "'s", "'S.", "...", "|>", "$$$", "\t", "_x", "<"]]
+    texts = [*texts, None, "", " \n\t ", *texts[:7]]
+    column = pa.array([None, *texts, ""], pa.string())[1:-1]
+    every, places = _ids(column, cache)
+    got = [np.frombuffer(bytes(every[a:b]), "<u4").tolist() for a, b in zip(places[:-1], places[1:])]
+    want = cache.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert got == [w.ids for w in want]
+    small = WordCache(vocabulary(), 5)
+    assert all(bytes(_ids(column, small)[0][:places[-1]]) == bytes(every[:places[-1]]) and len(small.known) == 5 for _ in range(2))
+    assert _ids(pa.array([], pa.string()), cache)[1].tolist() == [0]
