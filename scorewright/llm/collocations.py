@@ -3,7 +3,7 @@
 A phrase's score is its lowest over all cuts into a first part and a rest; at the cut after k words it is at most
 1000 n / f(first k words), whatever follows.  So no phrase that starts with a word w scores above 1000 n / f(w).  Words are
 expanded best bound first, a block at a time: all frequent phrases that start with them are grown word by word, a pass over
-the texts for each length.  After each block the ``top``-th score among the surviving phrases of a language is a floor:
+the texts, cut into words and numbered once, for each length.  After each block the ``top``-th score among the surviving phrases of a language is a floor:
 words whose bound is below it are never expanded.  The search ends when no language has a word left at or above its
 floor, so that ties are settled too."""
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, prepared, stored
 from .hot_keys import lookup
-from .phrase_counts import LEAST_BITS, MOST_BITS, counted_phrases, counted_words, marked
+from .phrase_counts import LEAST_BITS, MOST_BITS, counted_numbers, counted_words, marked, numbered_words
 
 MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 #: Words of a first block hold so large a share of a language's text; each further block may hold twice as much.
@@ -44,13 +44,23 @@ def _bitmap(phrases: DataFrame) -> np.ndarray:
     return out
 
 
+def _numbered(texts: DataFrame, common: np.ndarray) -> DataFrame:
+    """(lang, names, codes): the frequent words of the texts as numbers, a buffer a row; no other word is in a candidate."""
+    common = texts.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches):
+        yield from numbered_words(batches, common.value)
+
+    return texts.mapInArrow(run, "lang string, names binary, codes binary")
+
+
 def _counted(texts: DataFrame, chain: np.ndarray, common, lengths: range) -> DataFrame:
-    """(lang, phrase, a, least, most) over all texts; what to look for travels as two bitmaps of at most 16 MB."""
+    """(lang, phrase, a, least, most) over all ``_numbered`` texts; what to look for travels as two bitmaps of at most 16 MB."""
     sc = texts.sparkSession.sparkContext
     chain, common = sc.broadcast(chain), common if common is None else sc.broadcast(common)
 
     def run(batches):
-        yield from counted_phrases(batches, chain.value, common and common.value, lengths)
+        yield from counted_numbers(batches, chain.value, common and common.value, lengths)
 
     return (texts.mapInArrow(run, COUNTS).groupBy("lang", "phrase")
             .agg(F.sum("a").alias("a"), F.min("least").alias("least"), F.max("most").alias("most")))
@@ -81,6 +91,7 @@ class Search:
                             .withColumn("floor", F.lit(0).cast("long")).withColumn("done", F.lit(0).cast("long")), "phrase-langs")
         self.frequent = frequent.select("lang", "phrase", "a")
         self.common = _bitmap(self.frequent)
+        self.numbered = stored(_numbered(self.texts, self.common), "phrase-texts")
         self.counts = [self.frequent]  # every phrase counted so far, with its count
         self.best: DataFrame | None = None
 
@@ -107,7 +118,7 @@ class Search:
         """Tables of the frequent phrases of 2, 3, ... words that start with ``words``."""
         chain, parents, levels = _bitmap(words), words, []
         for size in range(2, self.longest + 1):
-            found = _counted(self.texts, chain, self.common, range(size, size + 1)).filter(F.col("a") >= self.min_count)
+            found = _counted(self.numbered, chain, self.common, range(size, size + 1)).filter(F.col("a") >= self.min_count)
             # bitmaps also let through phrases that start with other words
             own = parents.select("lang", F.col("phrase").alias("start"))
             level = stored(found.withColumn("start", _part(F.lit(size - 1))).join(own, ["lang", "start"], "left_semi")
@@ -155,7 +166,7 @@ class Search:
         if not rests.isEmpty():
             parts = F.transform(F.sequence(F.lit(1), F.size(F.split("phrase", " "))), _part)
             chain = _bitmap(rests.select("lang", F.explode(parts).alias("phrase")).distinct())
-            found = _counted(self.texts, chain, None, range(2, self.longest))
+            found = _counted(self.numbered, chain, None, range(2, self.longest))
             found = stored(found.join(rests, ["lang", "phrase"], "left_semi").select("lang", "phrase", "a"), "phrase-rests")
             self.counts.append(found)
             late = found.select("lang", F.col("phrase").alias("right"), F.col("a").alias("late"))
@@ -207,6 +218,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LON
             search.settle(search.scored(levels))
         search.advance()
         share *= 2
+    discard(search.numbered)
     if search.best is None:
         best = search.langs.limit(0).select("lang", F.lit("").alias("phrase"), *[F.lit(0).cast("long").alias(c) for c in ("a", "l", "r", "n", "score")])
     else:

@@ -2,7 +2,9 @@
 
 Texts of a language are joined into one buffer with a cut between them.  Words get exact numbers by Arrow's dictionary;
 phrases are told apart by folding those numbers, so a count never rests on a hash.  Which phrases are looked at is decided
-by bitmaps of phrase hashes: a false hit only means that a phrase is counted that nobody asked for."""
+by bitmaps of phrase hashes: a false hit only means that a phrase is counted that nobody asked for.
+
+A buffer is cut into words once.  Its frequent words are kept as numbers, which all passes over the texts count from."""
 
 from __future__ import annotations
 
@@ -83,6 +85,28 @@ class Words:
     def hashes(self) -> np.ndarray:
         return word_hashes(self.lang, self.names.to_pylist())
 
+    def numbered(self, common: np.ndarray) -> tuple[bytes, bytes]:
+        """The different words in the bitmap ``common``, blanks between them, and where they stand: a 32-bit number for
+        each, its lowest bit set if the next word is kept and lies in the same piece.  Words without such a neighbour go."""
+        there = held_in(common, self.hashes)
+        kept = there[self.ids]
+        run = self.joined & kept[1:] & kept[:-1]
+        left = np.flatnonzero(np.r_[run, False][:len(kept)] | np.r_[False, run][:len(kept)])
+        used = np.zeros(len(there), bool)
+        used[self.ids[left]] = True
+        codes = (np.cumsum(used) - 1)[self.ids[left]] << 1 | np.r_[run, False][left]
+        return b" ".join(np.array(self.names.to_pylist(), object)[used]), codes.astype("<u4").tobytes()
+
+    @classmethod
+    def of_numbers(cls, lang: str, names: bytes, codes: bytes) -> Words:
+        """What ``numbered`` kept.  No word is joined to one left out: a word before every occurrence of a frequent phrase
+        is frequent itself."""
+        import pyarrow as pa
+        w, codes = cls.__new__(cls), np.frombuffer(codes, "<u4").astype(np.int64)
+        w.lang, w.names = lang, pa.array(names.split(b" ") if names else [], pa.binary())
+        w.ids, w.joined = codes >> 1, (codes[:-1] & 1).astype(bool)
+        return w
+
 
 def batch_of(lang: str, phrases, counts, least, most):
     import pyarrow as pa
@@ -104,36 +128,57 @@ def counted_words(batches):
             yield batch_of(lang, names, counts, np.zeros(len(counts), np.int64), np.zeros(len(counts), np.int64))
 
 
+def numbered_words(batches, common: np.ndarray):
+    """(lang, names, codes) of every buffer: its words in the bitmap ``common`` as numbers (see ``Words.numbered``)."""
+    import pyarrow as pa
+    for lang, text in buffers(batches):
+        names, codes = Words(lang, text).numbered(common)
+        if codes:
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([names], pa.binary()), pa.array([codes], pa.binary())],
+                                             ["lang", "names", "codes"])
+
+
+def counted_numbers(batches, chain: np.ndarray, common: np.ndarray | None, lengths: range):
+    """``counted_phrases`` of what ``numbered_words`` kept."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            w = Words.of_numbers(*(c[row].as_py() for c in batch.columns))
+            yield from _phrases(w, chain, common, lengths)
+
+
 def counted_phrases(batches, chain: np.ndarray, common: np.ndarray | None, lengths: range):
     """Phrases with their count in a buffer and the least and greatest hash of the word before them (0: none).
 
     A phrase of a length in ``lengths`` is counted if its words but the last, and each phrase that these begin with, are in
     ``chain``, and its last word is in ``common``; without ``common``, if the phrase itself is in ``chain``."""
     for lang, text in buffers(batches):
-        w = Words(lang, text)
-        if len(w.ids) < 2:
-            continue
-        hashes = w.hashes
-        at = np.flatnonzero(held_in(chain, hashes)[w.ids])  # where phrases start
-        last = np.ones(len(hashes), bool) if common is None else held_in(common, hashes)
-        before = np.zeros(len(w.ids), np.int64)
-        before[1:][w.joined] = (hashes | np.uint64(1)).view(np.int64)[w.ids[:-1][w.joined]]
-        value = hashes[w.ids[at]]
-        for size in range(2, lengths.stop):
-            more = at + size - 1 < len(w.ids)
-            more[more] = w.joined[at[more] + size - 2] & last[w.ids[at[more] + size - 1]]
-            at, value = at[more], value[more]
-            value = mixed(value, hashes[w.ids[at + size - 1]])
-            if common is None:
-                there = held_in(chain, value)
-                at, value = at[there], value[there]
-            if not len(at):
-                break
-            if size in lengths:
-                yield grouped(w, at, size, before[at])
-            if common is not None:
-                there = held_in(chain, value)
-                at, value = at[there], value[there]
+        yield from _phrases(Words(lang, text), chain, common, lengths)
+
+
+def _phrases(w: Words, chain: np.ndarray, common: np.ndarray | None, lengths: range):
+    if len(w.ids) < 2:
+        return
+    hashes = w.hashes
+    at = np.flatnonzero(held_in(chain, hashes)[w.ids])  # where phrases start
+    last = np.ones(len(hashes), bool) if common is None else held_in(common, hashes)
+    before = np.zeros(len(w.ids), np.int64)
+    before[1:][w.joined] = (hashes | np.uint64(1)).view(np.int64)[w.ids[:-1][w.joined]]
+    value = hashes[w.ids[at]]
+    for size in range(2, lengths.stop):
+        more = at + size - 1 < len(w.ids)
+        more[more] = w.joined[at[more] + size - 2] & last[w.ids[at[more] + size - 1]]
+        at, value = at[more], value[more]
+        value = mixed(value, hashes[w.ids[at + size - 1]])
+        if common is None:
+            there = held_in(chain, value)
+            at, value = at[there], value[there]
+        if not len(at):
+            break
+        if size in lengths:
+            yield grouped(w, at, size, before[at])
+        if common is not None:
+            there = held_in(chain, value)
+            at, value = at[there], value[there]
 
 
 def grouped(w: Words, at: np.ndarray, size: int, before: np.ndarray):

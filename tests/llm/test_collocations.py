@@ -114,3 +114,33 @@ def test_edges(spark, edge_docs, no_docs, folder):
     assert rows(got) == want
     no_docs.write.parquet(f"{folder}/documents.parquet")
     assert QUERIES["op11_collocations"](spark, folder).collect() == []
+
+
+def test_numbered_words_count_like_texts():
+    """Frequent phrases as from the texts, though only frequent words are kept; a rare word before a phrase is like none."""
+    import pyarrow as pa
+    from scorewright.llm.phrase_counts import counted_numbers, numbered_words
+    docs = [*corpus(11, 120), *[(f"rare{k} we go on. we go on; rare{k} only{k}", "en") for k in range(9)], ("", "en"), ("alone", "xx")]
+    batch = pa.RecordBatch.from_arrays([pa.array([d[1] or "und" for d in docs]), pa.array([d[0] for d in docs])], ["lang", "t"])
+    words = Counter()
+    for b in counted_words([batch]):
+        for lang, p, a in zip(*(b.column(k).to_pylist() for k in range(3))):
+            words[lang, p] += a
+    common = np.zeros(8192, np.uint8)
+    for lang, p in (k for k, a in words.items() if a >= 5 and k[1]):
+        h = phrase_hash(lang, p) & 65535
+        common[h >> 3] |= 1 << (h & 7)
+    every = np.full(8192, 255, np.uint8)
+
+    def total(batches):
+        out = defaultdict(list)
+        for b in batches:
+            for lang, p, *row in zip(*(b.column(k).to_pylist() for k in range(5))):
+                out[lang, p].append(row)
+        sums = {k: (sum(r[0] for r in v), min(r[1] for r in v), max(r[2] for r in v)) for k, v in out.items()}
+        return {k: (a, 0 if x != y else x) for k, (a, x, y) in sums.items() if a >= 5}
+    numbered = [*numbered_words([batch], common)]
+    assert not any(b"rare1" in n.split() or b"only1" in n.split() for b in numbered for n in b.column(1).to_pylist())
+    want = total(counted_phrases([batch], every, common, range(2, 6)))
+    assert want and total(counted_numbers(numbered, every, common, range(2, 6))) == want
+    assert want["en", "we go on"][0] == 18 and want["en", "we go on"][1] == 0
