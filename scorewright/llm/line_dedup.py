@@ -26,6 +26,8 @@ FILTER_BITS = 1 << 27
 BITMAP = 32768
 #: So many lines that meet are compared pair by pair, more of them line by line with all others.
 FEW = 8
+#: More than the lines that have a key.
+_OWN = 1 << 40
 
 
 def _ids(line: str) -> tuple[int, int]:
@@ -99,7 +101,8 @@ def _chunks(lines: dict[int, str], chars: int = 1 << 19):
 
 def _keys(texts: DataFrame, min_chars: int, most: int, met: np.ndarray | None = None) -> DataFrame:
     """(key, line, own) of every segment and probe; ``own`` if the key is a segment of the line.  A key with its lowest bit
-    set is a word shingle: long lines alike share one of their least.  With ``met`` only keys in this bitmap."""
+    set is a word shingle: long lines alike share one of their least.  With ``met`` only keys in this bitmap; without it
+    (key, seen), one row in place of line and own, which is 1 and ``_OWN`` more if own."""
     shared = None if met is None else texts.sparkSession.sparkContext.broadcast(met)
 
     def run(batches):
@@ -118,12 +121,14 @@ def _keys(texts: DataFrame, min_chars: int, most: int, met: np.ndarray | None =
                 long, run = every.least_shingles()
                 key = np.r_[key & ~np.uint64(1), run | np.uint64(1)].view(np.int64)
                 line, own = np.array(ids, np.int64)[np.r_[line, long]], np.r_[own, np.ones(len(long), bool)]
-                if shared is not None:
-                    there = _marked(shared.value, key)
-                    key, line, own = key[there], line[there], own[there]
+                if shared is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(1 + own * np.int64(_OWN))], ["key", "seen"])
+                    continue
+                there = _marked(shared.value, key)
+                key, line, own = key[there], line[there], own[there]
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(own)], ["key", "line", "own"])
 
-    return texts.mapInArrow(run, "key long, line long, own boolean")
+    return texts.mapInArrow(run, "key long, seen long" if shared is None else "key long, line long, own boolean")
 
 
 def _bits(rows: DataFrame, name: str) -> np.ndarray:
@@ -146,11 +151,11 @@ def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 def _meetings(texts: DataFrame, min_chars: int, most: int) -> DataFrame:
     """The (key, line, own) rows of keys that are a segment of one line and looked up by another, each once.
 
-    Which keys these are is an aggregation of a few numbers a key, combined before the shuffle, so that a key that many
-    lines have costs no more than others; their rows are then made again, past a bitmap of fixed size, and joined."""
-    keys = _keys(texts, min_chars, most)
-    met = (keys.groupBy("key").agg(F.min("line").alias("least"), F.max("line").alias("greatest"), F.max("own").alias("own"))
-           .filter((F.col("least") != F.col("greatest")) & F.col("own")).select("key"))
+    Which keys these may be is an aggregation of one number a key, combined before the shuffle, so that a key that many
+    lines have costs no more than others; their rows are then made again, past a bitmap of fixed size, and joined.  A key
+    that one line has twice is among them; ``_different`` leaves it out."""
+    seen = _keys(texts, min_chars, most).groupBy("key").agg(F.sum("seen").alias("seen"))
+    met = seen.filter((F.col("seen") >= _OWN) & (F.col("seen") % _OWN > 1)).select("key")
     met = stored(met, "met-keys")
     again = _keys(texts, min_chars, most, _bits(met, "key")).join(met, "key")
     out = stored(again.groupBy("key", "line").agg(F.max("own").alias("own")), "meetings")
@@ -161,7 +166,7 @@ def _meetings(texts: DataFrame, min_chars: int, most: int) -> DataFrame:
 def _different(meet: DataFrame) -> DataFrame:
     """(key, n) of one key for each set of lines: near copies meet in many keys, all with the same lines, told by two hashes."""
     hashes = [F.bit_xor(F.xxhash64(F.lit(k), "line", "own")) for k in (1, 2)]
-    sets = meet.groupBy("key").agg(F.count(F.lit(1)).alias("n"), hashes[0].alias("h"), hashes[1].alias("g"))
+    sets = meet.groupBy("key").agg(F.count(F.lit(1)).alias("n"), hashes[0].alias("h"), hashes[1].alias("g")).filter("n > 1")
     return sets.groupBy("n", "h", "g", F.col("key").bitwiseAND(F.lit(1))).agg(F.min("key").alias("key")).select("key", "n")
 
 

@@ -132,3 +132,18 @@ def test_edges(spark, edge_docs, edge_rows, no_docs):
     assert dedup_lines(no_docs).collect() == []
     again = spark.createDataFrame([(1, "a line of some length here"), (1, "a line of some length here")], "doc_id long, text string")
     assert [r.text for r in dedup_lines(again).collect()] == ["a line of some length here"] * 2
+
+
+def test_a_key_travels_as_one_number(spark):
+    """Which keys lines meet in is told by one number a key; one that only one line has, twice, links nothing."""
+    from scorewright.llm import line_dedup
+    rows = [(1, "a" * 40), (2, "the quick brown fox jumps over it"), (3, "the quick brown fox jumped over it")]
+    texts = line_dedup._texts(spark.createDataFrame(rows, "doc_id long, text string"))
+    keys = line_dedup._keys(texts, 20, 2)
+    assert keys.columns == ["key", "seen"]
+    assert {r.seen for r in keys.collect()} == {1, 1 + line_dedup._OWN}
+    meet = line_dedup._meetings(texts, 20, 2)
+    alone = {r.key for r in meet.groupBy("key").count().filter("count = 1").collect()}
+    assert alone and not alone & {r.key for r in line_dedup._different(meet).collect()}
+    ids = {line_dedup._ids(t)[0] & ~1 for _, t in rows[1:]}
+    assert {frozenset(r) for r in line_dedup.similar_lines(texts).collect()} == {frozenset(ids)}
