@@ -7,6 +7,8 @@ import xxhash
 
 #: Word shingles: words in one, words of a line that has them, and the share that like lines have in common.
 RUN, MIN_WORDS, ALIKE = 5, 20, (4, 5)
+#: Bits that stand for all shingles of a line.
+SKETCH = 256
 
 
 def cuts(length: int, parts: int) -> list[int]:
@@ -50,52 +52,81 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: A value for each code point.
+_VALUE = _mixed(np.arange(1, 0x110001, dtype=np.uint64))
+#: Powers of ``_BASE`` and of its inverse, as many as the longest text so far needed.
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: So many lowest bits a shingle's key leaves to a line's number, so that one plain sort puts both in order.
+_LOW = 16
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            more = np.full(1 << n.bit_length(), base, np.uint64)
+            more[0] = 1
+            _POWERS[k] = np.cumprod(more)
+    return _POWERS
+
+
 class LineKeys:
-    """Keys of many lines at once: any run of characters of a line is hashed from one running sum over the line."""
+    """Keys of many lines at once: any run of characters of a line is hashed from one running sum over all lines."""
 
     def __init__(self, lines: list[str]):
         self.sizes = np.array([len(x) for x in lines], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-        longest = int(self.sizes.max(initial=0)) + 1
-        power = np.full(longest, _BASE, np.uint64)
-        back = np.full(longest, pow(_BASE, -1, 1 << 64), np.uint64)
-        power[0] = back[0] = 1
-        power, self.back = np.cumprod(power), np.cumprod(back)
-        self.place = np.arange(len(self.points)) - np.repeat(self.starts, self.sizes)
-        value = _mixed(self.points.astype(np.uint64) + np.uint64(1)) * power[self.place]
-        self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(value)]
-
-    def runs(self, start: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Hashes of the characters from ``a`` to ``b`` of the lines that begin at ``start``."""
-        return (self.sums[start + b] - self.sums[start + a]) * self.back[a]
+        n = len(self.points)
+        power, self.back = _powers(n + 1)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_VALUE[self.points] * power[:n], out=self.sums[1:])
+
+    def runs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Hashes of the characters from place ``a`` to ``b`` of the joined lines."""
+        return (self.sums[b] - self.sums[a]) * self.back[a]
 
     def segments(self, plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line number, key, own) of every segment and probe; ``plan`` gives the ``probes`` of a length as an array."""
-        plans = [plan(n) for n in self.sizes.tolist()]
-        which = np.repeat(np.arange(len(plans)), [len(p) for p in plans])
+        kinds, kind = np.unique(self.sizes, return_inverse=True)
+        plans = [plan(n) for n in kinds.tolist()]
+        many = np.array([len(p) for p in plans], np.int64)
+        times = many[kind]
+        which = np.repeat(np.arange(len(kind)), times)
+        entry = np.arange(len(which)) + np.repeat((np.cumsum(many) - many)[kind] - (np.cumsum(times) - times), times)
         size, i, a, b, own = np.concatenate([*plans, np.zeros((0, 5), np.int64)]).T
-        return which, _mixed(self.runs(self.starts[which], a, b) + (size * 16 + i).astype(np.uint64) * _STEP), own == 1
+        start = self.starts[which]
+        salt = (size * 16 + i).astype(np.uint64) * _STEP
+        return which, _mixed(self.runs(start + a[entry], start + b[entry]) + salt[entry]), (own == 1)[entry]
 
     def shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """(line number, key) of the different runs of ``RUN`` words of every line of ``MIN_WORDS`` words or more, in order."""
-        blank = SPACE[np.minimum(self.points, 0x3000)] & (self.points <= 0x3000)
-        first, last = self.place == 0, np.r_[self.place[1:] == 0, True][:len(self.points)]
-        begin = np.flatnonzero(~blank & (first | np.r_[True, blank[:-1]][:len(blank)]))
-        end = np.flatnonzero(~blank & (last | np.r_[blank[1:], True][:len(blank)])) + 1
-        line = np.repeat(np.arange(len(self.sizes)), self.sizes)[begin]
-        words = self.runs(self.starts[line], self.place[begin], self.place[end - 1] + 1) if len(begin) else np.zeros(0, np.uint64)
-        many = np.bincount(line, minlength=len(self.sizes)) >= MIN_WORDS
-        at = np.arange(max(len(begin) - RUN + 1, 0))
-        at = at[many[line[at]] & (line[at] == line[at + RUN - 1])] if len(at) else at
-        key = np.zeros(len(at), np.uint64)
+        blank = SPACE[self.points] if self.points.max(initial=0) <= 0x3000 else SPACE[np.minimum(self.points, 0x3000)] & (self.points <= 0x3000)
+        first = np.zeros(len(blank) + 1, bool)
+        first[self.starts[self.sizes > 0]] = True
+        begin, end = ~blank, ~blank
+        begin[1:] &= blank[:-1] | first[1:-1]
+        end[:-1] &= blank[1:] | first[1:-1]
+        begin, end = np.flatnonzero(begin), np.flatnonzero(end) + 1
+        line = np.searchsorted(self.starts + self.sizes, begin, "right")
+        long = np.bincount(line, minlength=len(self.sizes)) >= MIN_WORDS
+        some = long[line]
+        begin, end, line = begin[some], end[some], line[some]
+        words = _mixed(self.runs(begin, end))
+        n = max(len(line) - RUN + 1, 0)
+        key = np.zeros(n, np.uint64)
         for k in range(RUN):
-            key = _mixed(key * _ODD + words[at + k])
-        owner = line[at]
-        order = np.lexsort((key, owner))
-        owner, key = owner[order], key[order]
-        new = np.r_[True, (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])][:len(key)]
-        return owner[new], key[new]
+            key = key * _ODD + words[k:k + n]
+        at = np.flatnonzero(line[:n] == line[RUN - 1:])
+        owner, key, out = line[at], _mixed(key[at]) >> np.uint64(_LOW), []
+        names = np.flatnonzero(long)
+        for k in range(0, len(names), 1 << _LOW):  # a key has 64 - _LOW bits, the number of its line the others
+            here = names[k:k + (1 << _LOW)]
+            lo, hi = np.searchsorted(owner, [here[0], here[-1] + 1])
+            both = np.sort(np.searchsorted(here, owner[lo:hi]).astype(np.uint64) << np.uint64(64 - _LOW) | key[lo:hi])
+            both = both[np.r_[True, both[1:] != both[:-1]][:len(both)]]
+            out.append((here[both >> np.uint64(64 - _LOW)], both << np.uint64(_LOW)))
+        none = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+        return tuple(np.concatenate(x) for x in zip(*(out or none)))
 
     def least_shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """The least of each line's n shingles, so many that lines with ``ALIKE`` of theirs in common share one of these."""
@@ -174,6 +205,30 @@ def pairs_alike(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, block: int
     return out
 
 
+def sketches(owner: np.ndarray, runs: np.ndarray, n: int) -> np.ndarray:
+    """``SKETCH`` bits for each of ``n`` lines: one is set if an odd number of the line's shingles fall on it.  A shingle
+    that only one of two lines has changes one bit, so two sketches differ in no more bits than the sets in shingles."""
+    bit = (runs >> np.uint64(_LOW)) % np.uint64(SKETCH)
+    odd = np.bincount(owner * SKETCH + bit.astype(np.int64), minlength=n * SKETCH) & 1
+    return np.packbits(odd.reshape(n, SKETCH).astype(np.uint8), axis=1).view(np.uint64)
+
+
+def may_be_alike(size: np.ndarray, marks: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether lines at ``a`` and ``b`` may have the share ``ALIKE`` of shingles in common: of the shingles of both, in all
+    (``ALIKE`` as p of q) no more than q - p in q + p are then without a partner."""
+    both, out = (size[a] + size[b]) * (ALIKE[1] - ALIKE[0]), np.abs(size[a] - size[b]) * (ALIKE[1] + ALIKE[0])
+    out = out <= both
+    left = np.flatnonzero(out)
+    apart = np.bitwise_count(marks[a[left]] ^ marks[b[left]]).sum(1, dtype=np.int64)
+    out[left] = apart * (ALIKE[1] + ALIKE[0]) <= both[left]
+    return out
+
+
+def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A key for each pair of line ids."""
+    return _mixed(_mixed(a.astype(np.int64).view(np.uint64)) * _ODD + b.astype(np.int64).view(np.uint64))
+
+
 def pairs_within(lines: list[str], a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Whether the lines at ``a`` and at ``b`` are within ``most`` edits."""
     size = np.array([len(x) for x in lines], np.int64)

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import NO_ID, discard, in_slices, partitions_for, prepared, stored
 from .components import connected_components
-from .editjoin import LineKeys, alike, linked, pairs_alike, pairs_within, probes, small_pairs
+from .editjoin import (LineKeys, alike, linked, may_be_alike, pair_keys, pairs_alike, pairs_within, probes, sketches,
+                       small_pairs)
 
 MAX_EDITS, MIN_EXACT, MIN_SIMILAR, CHUNK = 2, 10, 20, 512
 #: Bits of the filter in front of the text fetch (16 MB).
@@ -26,6 +27,8 @@ FILTER_BITS = 1 << 27
 BITMAP = 32768
 #: So many lines that meet are compared pair by pair, more of them line by line with all others.
 FEW = 8
+#: Buckets of keys to a partition, one in memory at a time, and keys packed at once.
+BUCKETS, PACK = 4, 1 << 18
 #: More than the lines that have a key.
 _OWN = 1 << 40
 
@@ -99,36 +102,80 @@ def _chunks(lines: dict[int, str], chars: int = 1 << 19):
         yield ids, texts
 
 
-def _keys(texts: DataFrame, min_chars: int, most: int, met: np.ndarray | None = None) -> DataFrame:
-    """(key, line, own) of every segment and probe; ``own`` if the key is a segment of the line.  A key with its lowest bit
-    set is a word shingle: long lines alike share one of their least.  With ``met`` only keys in this bitmap; without it
-    (key, seen), one row in place of line and own, which is 1 and ``_OWN`` more if own."""
-    shared = None if met is None else texts.sparkSession.sparkContext.broadcast(met)
-
+def _made(batches, min_chars: int, most: int):
+    """(key, line, own) arrays of every segment and probe of the lines in ``batches``; ``own`` if the key is a segment of the
+    line.  A key with its lowest bit set is a word shingle: long lines alike share one of their least."""
+    plan = lru_cache(maxsize=4096)(lambda n: np.array(probes(n, most), np.int64).reshape(-1, 5))
+    for batch in in_slices(batches):
+        lines = {}
+        for t in batch.column(2).to_pylist():
+            for s in t.split("\n"):
+                s = s.strip()
+                if len(s) >= min_chars:
+                    lines[_ids(s)[0] & ~1] = s
+        for ids, some in _chunks(lines):
+            every = LineKeys(some)
+            line, key, own = every.segments(plan)
+            long, run = every.least_shingles()
+            yield (np.r_[key & ~np.uint64(1), run | np.uint64(1)], np.array(ids, np.int64)[np.r_[line, long]],
+                   np.r_[own, np.ones(len(long), bool)])
+
+
+def _keys(texts: DataFrame, min_chars: int, most: int) -> DataFrame:
+    """(key, seen) of every segment and probe, a row each; ``seen`` is 1 and ``_OWN`` more if the key is a segment of the line."""
     def run(batches):
         import pyarrow as pa
-        plan = lru_cache(maxsize=4096)(lambda n: np.array(probes(n, most), np.int64).reshape(-1, 5))
-        for batch in in_slices(batches):
-            lines = {}
-            for t in batch.column(2).to_pylist():
-                for s in t.split("\n"):
-                    s = s.strip()
-                    if len(s) >= min_chars:
-                        lines[_ids(s)[0] & ~1] = s
-            for ids, some in _chunks(lines):
-                every = LineKeys(some)
-                line, key, own = every.segments(plan)
-                long, run = every.least_shingles()
-                key = np.r_[key & ~np.uint64(1), run | np.uint64(1)].view(np.int64)
-                line, own = np.array(ids, np.int64)[np.r_[line, long]], np.r_[own, np.ones(len(long), bool)]
-                if shared is None:
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(1 + own * np.int64(_OWN))], ["key", "seen"])
-                    continue
-                there = _marked(shared.value, key)
-                key, line, own = key[there], line[there], own[there]
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(own)], ["key", "line", "own"])
-
-    return texts.mapInArrow(run, "key long, seen long" if shared is None else "key long, line long, own boolean")
+        for key, _, own in _made(batches, min_chars, most):
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(1 + own * np.int64(_OWN))], ["key", "seen"])
+
+    return texts.mapInArrow(run, "key long, seen long")
+
+
+def _packed(texts: DataFrame, min_chars: int, most: int, buckets: int) -> DataFrame:
+    """(bucket, pairs): the keys of ``_keys`` with their lines, dealt by key.  ``pairs`` are key and line of 8 bytes each;
+    the lowest bit of a key says ``own`` here, the next one that it is a word shingle."""
+    def rows(held):
+        import pyarrow as pa
+        pairs = np.concatenate(held)
+        bucket = (pairs[:, 0] >> np.uint64(2)) % np.uint64(buckets)
+        order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32), kind="stable")
+        ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))
+        there = np.flatnonzero(np.diff(ends, prepend=0))
+        offsets = np.r_[0, ends[there]].astype(np.int32) * 16
+        packed = pa.Array.from_buffers(pa.binary(), len(there), [None, pa.py_buffer(offsets), pa.py_buffer(pairs[order])])
+        return pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), packed], ["bucket", "pairs"])
+
+    def run(batches):
+        held, size = [], 0
+        for key, line, own in _made(batches, min_chars, most):
+            key = key & ~np.uint64(3) | (key & np.uint64(1)) << np.uint64(1) | own
+            held.append(np.c_[key, line.view(np.uint64)])
+            size += len(key)
+            if size >= PACK:
+                yield rows(held)
+                held, size = [], 0
+        if size:
+            yield rows(held)
+
+    return texts.mapInArrow(run, "bucket int, pairs binary")
+
+
+def _met(pairs: np.ndarray):
+    """(key, line, own) of the keys in ``pairs`` of ``_packed`` that are there twice and a segment at least once, each row once."""
+    import pyarrow as pa
+    key = np.ascontiguousarray(pairs[:, 0])
+    order = np.argsort(key)
+    key = key[order]
+    begin = np.flatnonzero(np.r_[True, (key[1:] ^ key[:-1]) > 1])
+    many = np.diff(np.r_[begin, len(key)])
+    some = np.repeat((many > 1) & (np.bitwise_or.reduceat(key, begin) & np.uint64(1) == 1), many)
+    key, line = key[some], pairs[order[some], 1].view(np.int64)
+    order = np.lexsort((key, line, key >> np.uint64(1)))
+    key, line = key[order], line[order]
+    last = np.r_[(key[1:] ^ key[:-1] > 1) | (line[1:] != line[:-1]), True][:len(key)]  # of a line's rows those that are own
+    key, line = key[last], line[last]
+    out = (key & ~np.uint64(3) | (key >> np.uint64(1)) & np.uint64(1)).view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(out), pa.array(line), pa.array(key & np.uint64(1) == 1)], ["key", "line", "own"])
 
 
 def _bits(rows: DataFrame, name: str) -> np.ndarray:
@@ -151,16 +198,27 @@ def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 def _meetings(texts: DataFrame, min_chars: int, most: int) -> DataFrame:
     """The (key, line, own) rows of keys that are a segment of one line and looked up by another, each once.
 
-    Which keys these may be is an aggregation of one number a key, combined before the shuffle, so that a key that many
-    lines have costs no more than others; their rows are then made again, past a bitmap of fixed size, and joined.  A key
-    that one line has twice is among them; ``_different`` leaves it out."""
-    seen = _keys(texts, min_chars, most).groupBy("key").agg(F.sum("seen").alias("seen"))
-    met = seen.filter((F.col("seen") >= _OWN) & (F.col("seen") % _OWN > 1)).select("key")
-    met = stored(met, "met-keys")
-    again = _keys(texts, min_chars, most, _bits(met, "key")).join(met, "key")
-    out = stored(again.groupBy("key", "line").agg(F.max("own").alias("own")), "meetings")
-    discard(met)
-    return out
+    Keys are made once and shuffled with their lines as numbers of fixed size, many to a row; a task sorts one bucket of
+    keys after another.  A key that one line has twice is among them; ``_different`` leaves it out."""
+    n = partitions_for(texts.sparkSession)
+
+    def run(batches):
+        held, bucket = [], None
+        for batch in batches:
+            which, packed = batch.column(0).to_numpy(), batch.column(1)
+            bounds = np.flatnonzero(np.r_[True, which[1:] != which[:-1]]).tolist() + [len(which)]
+            for lo, hi in zip(bounds, bounds[1:]):
+                if which[lo] != bucket and held:
+                    yield _met(np.concatenate(held))
+                    held = []
+                bucket = which[lo]
+                held.append(np.frombuffer(b"".join(packed.slice(lo, hi - lo).to_pylist()), np.uint64).reshape(-1, 2))
+        if held:
+            yield _met(np.concatenate(held))
+
+    dealt = (_packed(texts, min_chars, most, n * BUCKETS).repartitionById(n, F.pmod("bucket", F.lit(n)))
+             .sortWithinPartitions("bucket"))
+    return stored(dealt.mapInArrow(run, "key long, line long, own boolean"), "meetings")
 
 
 def _different(meet: DataFrame) -> DataFrame:
@@ -202,9 +260,111 @@ def _sets(rows: pd.DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
+def _by_task(frames, work):
+    """``work`` on the rows of whole tasks (key, lo, hi), which come one after another."""
+    held = None
+    for pdf in frames:
+        if held is not None:
+            pdf = pd.concat([held, pdf], ignore_index=True)
+        place = pdf[["key", "lo", "hi"]].values
+        last = int(np.flatnonzero((place != place[-1]).any(1))[-1]) + 1 if (place != place[-1]).any() else 0
+        held = pdf[last:]
+        if last:
+            yield work(pdf[:last])
+    if held is not None and len(held):
+        yield work(held)
+
+
+def _sketched(lines: DataFrame) -> DataFrame:
+    """``lines`` (line, s) with the number of a line's shingles and their sketch."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in in_slices(batches):
+            texts, n, marks = dict(enumerate(batch.column(1).to_pylist())), [], []
+            for _, some in _chunks(texts):
+                owner, runs = LineKeys(some).shingles()
+                n.append(np.bincount(owner, minlength=len(some)))
+                marks.append(sketches(owner, runs, len(some)))
+            if n:
+                marks = np.concatenate(marks)
+                offsets = (np.arange(len(marks) + 1) * marks.itemsize * marks.shape[1]).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(marks), [None, pa.py_buffer(offsets), pa.py_buffer(marks)])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(n)), packed], ["line", "s", "n", "sketch"])
+
+    return lines.mapInArrow(run, "line long, s string, n long, sketch binary")
+
+
+def _hopeful(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of whole tasks by shingles the lines with a partner that may be alike, as far as sizes and sketches tell.  If there are
+    few such pairs in a task, each becomes a task of its own, the same whichever key the pair met in."""
+    place, line = pdf[["key", "lo", "hi"]].values, pdf["line"].values
+    group = np.r_[0, np.cumsum((place[1:] != place[:-1]).any(1))]
+    side, cross, n = (pdf["c"] == pdf["lo"]).values, (pdf["lo"] != pdf["hi"]).values, pdf["n"].values
+    marks = np.frombuffer(b"".join(pdf["sketch"].tolist()), np.uint64).reshape(len(pdf), -1)
+    x, y = small_pairs(group, FEW)
+    near = may_be_alike(n, marks, x, y) & ~(cross[x] & (side[x] == side[y]))
+    pairs, rows = [np.c_[x[near], y[near]]], []
+    for g in np.flatnonzero(np.bincount(group) > FEW).tolist():
+        lo, hi = np.searchsorted(group, [g, g + 1])
+        here = np.arange(lo, hi)
+        left, right = (here[side[lo:hi]], here[~side[lo:hi]]) if cross[lo] else (here, here)
+        found = [np.zeros((0, 2), np.int64)]
+        step = max(1, (1 << 18) // max(1, len(right)))
+        for k in range(0, len(left), step):
+            a, b = (z.ravel() for z in np.meshgrid(left[k:k + step], right, indexing="ij"))
+            if not cross[lo]:
+                a, b = a[a < b], b[a < b]
+            near = may_be_alike(n, marks, a, b)
+            found.append(np.c_[a[near], b[near]])
+        found = np.concatenate(found)
+        if len(found) <= 2 * len(here):
+            pairs.append(found)
+        else:
+            rows.append(np.unique(found))
+    a, b = np.sort(line[np.concatenate(pairs)], 1).T
+    alone = np.unique(np.c_[a, b], axis=0)
+    a, b = alone.T
+    key = pair_keys(a, b).view(np.int64) | 1
+    out = pd.DataFrame({"line": np.r_[a, b], "own": True, "key": np.r_[key, key], "lo": 0, "hi": 0, "c": 0})
+    kept = pdf.iloc[np.concatenate([np.zeros(0, np.int64), *rows])][list(out.columns)]
+    return pd.concat([out, kept], ignore_index=True).astype({"lo": "int32", "hi": "int32", "c": "int32"})
+
+
+def _links(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
+    """Links (a, b) of the lines in whole tasks ``pdf``."""
+    runs, own = (pdf["key"].values & 1) == 1, pdf["own"].values
+    side, cross = (pdf["c"] == pdf["lo"]).values, (pdf["lo"] != pdf["hi"]).values
+    place = pdf[["key", "lo", "hi"]].values
+    group = np.r_[0, np.cumsum((place[1:] != place[:-1]).any(1))]
+    ids, at = np.unique(pdf["line"].values, return_inverse=True)
+    texts = dict(zip(pdf["line"].tolist(), pdf["s"].tolist()))
+    made = _sets(pdf[runs])
+    sets, lines = [made.get(i, np.zeros(0, np.uint64)) for i in ids.tolist()], [texts[i] for i in ids.tolist()]
+    out = [np.zeros((0, 2), np.int64)]
+    # few lines that meet: their pairs, each once; a probe meets a segment, two probes that meet only each other need no look
+    x, y = small_pairs(group, FEW)
+    look = (own[x] | own[y]) & ~(cross[x] & (side[x] == side[y]))
+    x, y = x[look], y[look]
+    for kind, test in ((runs[x], lambda *p: pairs_alike(sets, *p)), (~runs[x], lambda *p: pairs_within(lines, *p, most))):
+        pairs = np.unique(np.sort(np.c_[at[x[kind]], at[y[kind]]], 1), axis=0)
+        if len(pairs):
+            out.append(pairs[test(pairs[:, 0], pairs[:, 1])])
+    # many: lines already connected are not compared
+    for g in np.flatnonzero(np.bincount(group) > FEW).tolist():
+        lo, hi = np.searchsorted(group, [g, g + 1])
+        here, mine, first = at[lo:hi], own[lo:hi], side[lo:hi]
+        what = [(sets if runs[lo] else lines)[k] for k in here.tolist()]
+        for query, index in ((first, ~first & mine), (~first, first & mine)) if cross[lo] else ((np.ones(hi - lo, bool), mine),):
+            links = alike(what, query, index) if runs[lo] else linked(what, query, index, most)
+            out.append(here[np.array(links, np.int64).reshape(-1, 2)])
+    links = ids[np.concatenate(out)]
+    return pd.DataFrame({"a": links[:, 0], "b": links[:, 1]})
+
+
 def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_SIMILAR, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) of line ids (``hi`` without its lowest bit) whose components are those of all lines within ``most``
-    edits or alike in their word shingles.  A key that many lines meet in is cut into chunks, each pair of chunks verified by itself."""
+    edits or alike in their word shingles.  A key that many lines meet in is cut into chunks, each pair of chunks verified by itself.
+    Most lines that meet in a shingle have little else in common; what their sizes and sketches rule out goes without its text."""
     meet = _meetings(texts, min_chars, most)
     sizes = stored(_different(meet).withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int")), "line-sets")
     once = stored(meet.join(sizes, "key"), "line-tasks")
@@ -212,54 +372,15 @@ def similar_lines(texts: DataFrame, most: int = MAX_EDITS, min_chars: int = MIN_
     tasks = (once.withColumn("c", F.pmod(F.xxhash64("line"), F.col("chunks")).cast("int"))
              .withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
              .select("line", "own", "key", F.least("c", "d").alias("lo"), F.greatest("c", "d").alias("hi"), "c"))
-    lines = stored(_fetched(texts, once.select("line").distinct(), min_chars), "lines")
-
-    def verify(frames):
-        held = None
-        for pdf in frames:
-            if held is not None:
-                pdf = pd.concat([held, pdf], ignore_index=True)
-            place = pdf[["key", "lo", "hi"]].values
-            last = int(np.flatnonzero((place != place[-1]).any(1))[-1]) + 1 if (place != place[-1]).any() else 0
-            held = pdf[last:]
-            if last:
-                yield found(pdf[:last])
-        if held is not None and len(held):
-            yield found(held)
-
-    def found(pdf):
-        runs, own = (pdf["key"].values & 1) == 1, pdf["own"].values
-        side, cross = (pdf["c"] == pdf["lo"]).values, (pdf["lo"] != pdf["hi"]).values
-        place = pdf[["key", "lo", "hi"]].values
-        group = np.r_[0, np.cumsum((place[1:] != place[:-1]).any(1))]
-        ids, at = np.unique(pdf["line"].values, return_inverse=True)
-        texts = dict(zip(pdf["line"].tolist(), pdf["s"].tolist()))
-        made = _sets(pdf[runs])
-        sets, lines = [made.get(i, np.zeros(0, np.uint64)) for i in ids.tolist()], [texts[i] for i in ids.tolist()]
-        out = [np.zeros((0, 2), np.int64)]
-        # few lines that meet: their pairs, each once; a probe meets a segment, two probes that meet only each other need no look
-        x, y = small_pairs(group, FEW)
-        look = (own[x] | own[y]) & ~(cross[x] & (side[x] == side[y]))
-        x, y = x[look], y[look]
-        for kind, test in ((runs[x], lambda *p: pairs_alike(sets, *p)), (~runs[x], lambda *p: pairs_within(lines, *p, most))):
-            pairs = np.unique(np.sort(np.c_[at[x[kind]], at[y[kind]]], 1), axis=0)
-            if len(pairs):
-                out.append(pairs[test(pairs[:, 0], pairs[:, 1])])
-        # many: lines already connected are not compared
-        for g in np.flatnonzero(np.bincount(group) > FEW).tolist():
-            lo, hi = np.searchsorted(group, [g, g + 1])
-            here, mine, first = at[lo:hi], own[lo:hi], side[lo:hi]
-            what = [(sets if runs[lo] else lines)[k] for k in here.tolist()]
-            for query, index in ((first, ~first & mine), (~first, first & mine)) if cross[lo] else ((np.ones(hi - lo, bool), mine),):
-                links = alike(what, query, index) if runs[lo] else linked(what, query, index, most)
-                out.append(here[np.array(links, np.int64).reshape(-1, 2)])
-        links = ids[np.concatenate(out)]
-        return pd.DataFrame({"a": links[:, 0], "b": links[:, 1]})
-
-    n = partitions_for(texts.sparkSession)
-    links = stored(tasks.join(lines, "line").repartition(n, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-                   .mapInPandas(verify, "a long, b long").distinct(), "line-links")
-    discard(once, sizes, lines)
+    lines = stored(_sketched(_fetched(texts, once.select("line").distinct(), min_chars)), "lines")
+    n, place = partitions_for(texts.sparkSession), ["key", "lo", "hi"]
+    runs = F.col("key").bitwiseAND(F.lit(1)) == 1
+    hopeful = (tasks.filter(runs).join(lines.select("line", "n", "sketch"), "line").repartition(n, *place).sortWithinPartitions(*place)
+               .mapInPandas(lambda frames: _by_task(frames, _hopeful), "line long, own boolean, key long, lo int, hi int, c int"))
+    left = stored(hopeful.distinct().unionByName(tasks.filter(~runs)), "line-tasks")
+    links = stored(left.join(lines.select("line", "s"), "line").repartition(n, *place).sortWithinPartitions(*place)
+                   .mapInPandas(lambda frames: _by_task(frames, lambda pdf: _links(pdf, most)), "a long, b long").distinct(), "line-links")
+    discard(once, sizes, lines, left)
     return links
 
 
