@@ -2,9 +2,9 @@
 
 Lines are told apart by a 128-bit hash; equal lines are one class from the first shuffle on.  Lines within ``most`` edits
 of each other are found through shared segments: every line puts its ``most`` + 1 segments into an index by key and looks
-up the substrings that a line of similar length could have as a segment.  Only keys that two lines meet in go on, and
-only texts of lines that their sizes and sketches leave are moved to be verified.  Of each component of equal and similar
-lines the first occurrence (smallest doc_id, then line) stays."""
+up the substrings that a line of similar length could have as a segment.  Only keys that two lines meet in go on; only
+those lines' texts are moved, and only the pairs that sizes and sketches leave are verified by them.  Of each component of
+equal and similar lines the first occurrence (smallest doc_id, then line) stays."""
 
 from __future__ import annotations
 
