@@ -74,3 +74,67 @@ def test_hints_are_parsed_in_one_pass(spark):
     assert sorted((r[1:] for r in got if r[0] is None), key=lambda r: r[0]) == want
     assert sorted((r[1:] for r in got if r[0] == "A"), key=lambda r: (r[0], r[1] or "", r[4])) == \
         sorted([*want, (1, None, None, None, 1.0)], key=lambda r: (r[0], r[1] or "", r[4])) and len(got) == 23
+
+
+def test_checks_are_counted_as_a_join_gives_them(spark):
+    import itertools
+    import math
+    import random
+
+    pick = random.Random(4).choice
+    keys, exercises, parts, subs = ("A", "B", "L9", None), ("Exercise 1.1", "Exercise 1.2", None), ("i", "", None), ("a", None)
+    points, totals = (0.0, -0.0, 0.5, 1.0, 2.0, None, math.nan), (None, 2.0, 3.5)
+    units = [(pick(keys), pick(exercises), pick(parts), pick(subs), pick(points), pick(totals)) for _ in range(150)] + \
+        [("T", "Exercise 2", "i", None, 1.5, 2.5), ("T", "Exercise 2", "ii", None, 1.0, 2.5), ("U", "Exercise 3", "i", None, 1.0, 1.0)]
+    rubric = [(pick(keys), pick(exercises), pick(parts), pick(subs), pick(points)) for _ in range(150)] + \
+        [("T", "Exercise 2", "i", None, 1.5), ("T", "Exercise 2", "ii", None, 3.0), ("R", "Exercise 4", "i", "a", 1.0)]
+    place = "assignment_id string, exercise string, part string, sub string, points double"
+    got = RB.validate_solution(spark.createDataFrame(units, place + ", header_total double"), spark.createDataFrame(rubric, place))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan  # both sides are dealt once and nothing after them
+
+    def joins(u, r):
+        return u[0] is not None and u[1] is not None and u[:4] == r[:4]
+
+    pairs = [(u, r) for u, r in itertools.product(units, rubric) if joins(u, r)]
+    pairs += [(u, None) for u in units if not any(joins(u, r) for r in rubric)] + [(None, r) for r in rubric if not any(joins(u, r) for u in units)]
+    want = {}
+    for u, r in pairs:
+        of = want.setdefault((u or r)[:2], [None, 0.0, 0, 0, 0])
+        if u and u[5] is not None:
+            of[0] = max(u[5], of[0] or u[5])
+        of[1] += u[4] if u and u[4] is not None else 0.0
+        here, there = bool(u) and u[0] is not None, bool(r) and r[0] is not None
+        of[2] += here and not there
+        of[3] += not here
+        if here and there and u[4] is not None and r[4] is not None:  # to Spark NaN equals itself
+            of[4] += u[4] != r[4] and not (math.isnan(u[4]) and math.isnan(r[4]))
+    rows = {tuple(r[:2]): r for r in got.collect()}
+    assert set(rows) == set(want) and got.columns == [
+        "assignment_id", "exercise", "header_total", "unit_points", "units_not_in_rubric", "units_omitted", "points_mismatch", "total_ok"]
+    for k, (total, n, *counts) in want.items():
+        r = rows[k]
+        assert r[2] == total and [*r[4:7]] == counts, k
+        assert r[3] == n or math.isnan(r[3]) and math.isnan(n), k
+        assert r[7] is (total is not None and abs(total - n) < 1e-9 and counts[1] == 0), k
+    assert rows["T", "Exercise 2"][2:] == (2.5, 2.5, 0, 0, 1, True) and rows["R", "Exercise 4"][2:] == (None, 0.0, 0, 1, 0, False)
+
+
+def test_line_items_are_dealt_before_they_are_text(spark, tmp_path):
+    from scorewright.plans import q_solutions
+
+    items = [(7, 2, 20, 5, 3.0, 99.9), (7, 1, 14, 6, 4.0, 10.0), (8, 1, 15, 7, 5.0, 11.5), (8, 1, 15, 7, 5.0, 11.5), (None, 1, 14, 6, 4.0, 10.0), (9, 1, None, 1, 1.0, 1.0)]
+    spark.createDataFrame(items, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    md = q_solutions._solutions(spark, str(tmp_path))
+    plan = md._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    dealt = plan[plan.index("Exchange"):]
+    assert "l_orderkey" in dealt and "collect_list" not in dealt and "Exercise" not in dealt
+    assert "Exchange" not in spark.table("lineitem")._jdf.queryExecution().executedPlan().toString()
+    one = "(i) Question one [4 points]\n**Solution.**\nOne of 1.14.6.10\n(ii) Question two [6.0 points]\n**Solution.**\nTwo"
+    one = f"## Exercise 1.14.6.10 (Title of 1.14.6.10). (Total: 11 points)\n{one}"
+    two = ("## Exercise 2.20.5.99 (Title of 2.20.5.99). (Total: 2 points)\n(i) The question. [2 points]\n**Solution.**\n"
+           "First line\n\nlast line of 2.20.5.99")
+    got = {r.assignment_id: r.markdown for r in md.collect()}
+    assert got["L7"] == f"{one}\n{two}" and got[None] == one and got["L8"].count("## Exercise 1.15.7.11 ") == 2 and set(got) == {"L7", "L8", "L9", None}
